@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from ..session import ensure_checkpoint_dir
 
 BUCKET_SHIFT = X.HASH_BITS - 20  # 2^20 buckets at most
 SEED = 42
@@ -56,3 +57,25 @@ def hash_split(df: DataFrame, key: str = "primaryid", seed: int = SEED, test_siz
     r = ranked(df, key, seed)
     s = (F.when(F.col("_rank") < n_test, "test").when(F.col("_rank") < n_test + n_val, "val").otherwise("train"))
     return r.withColumn("split", s).drop("_h")
+
+
+def global_rank(df: DataFrame, order: list, n_parts: int | None = None) -> DataFrame:
+    """Add ``_rank`` = 0-based position in ascending ``order`` (must be a total order).
+
+    Distributed: range-partition and sort within partitions, number rows with
+    ``monotonically_increasing_id`` (partition id in the high bits), and add
+    each partition's offset from a table with one row per partition.  The
+    sorted table is checkpointed so both passes see the same partitions.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    s = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+         .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    s = s.withColumn("_pid", F.shiftright("_mid", 33))
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return s.join(F.broadcast(offsets), "_pid").withColumn("_rank", F.col("_off") + local).drop("_pid", "_off", "_mid")
