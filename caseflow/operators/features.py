@@ -12,8 +12,13 @@ no join and no shuffle, whatever the number of cases.
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,17 +120,34 @@ def fit_tfidf(docs: DataFrame, text: str = "text", key: str = "doc_id", min_df:
 
 
 def tfidf_vector(text: Column, terms: list[str], idf: list[float]) -> Column:
-    """M3 transform: raw counts x idf, L2-normalised (all zeros stay zeros)."""
+    """M3 transform: raw counts x idf, L2-normalised (all zeros stay zeros).
+
+    A vectorised (Arrow) UDF: per batch, each text is tokenised once by the
+    regex engine and only the fitted terms (at most ``TFIDF_TERMS``) are
+    looked up — a narrow map with no shuffle, whatever the text length.
+    """
     if not terms:
         return F.array().cast("array<double>")
-    toks = text_tokens(text)
-
-    def count_of(term: str) -> Column:
-        return F.size(F.filter(toks, lambda x: x == F.lit(term))).cast("double")
-
-    raw = F.array(*[count_of(t) * F.lit(w) for t, w in zip(terms, idf)])
-    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda acc, v: acc + v * v))
-    return F.transform(raw, lambda v: F.when(norm > 0, v / norm).otherwise(F.lit(0.0)))
+    index = {t: i for i, t in enumerate(terms)}
+    weights = np.asarray(idf, dtype=np.float64)
+    width = len(terms)
+
+    @F.pandas_udf("array<double>")
+    def _tfidf(texts: pd.Series) -> pd.Series:
+        pat = re.compile(TOKEN_PATTERN)
+        out = []
+        for txt in texts:
+            v = np.zeros(width)
+            if isinstance(txt, str):
+                counts = Counter(pat.findall(txt))
+                for t, j in index.items():
+                    v[j] = counts.get(t, 0)
+            v *= weights
+            nrm = np.sqrt((v * v).sum())
+            out.append(v / nrm if nrm > 0 else v)
+        return pd.Series(out)
+
+    return _tfidf(text)
 
 
 def medians(df: DataFrame) -> tuple[float, float]:
