@@ -48,14 +48,15 @@ def normalise_demo(df: DataFrame) -> DataFrame:
     )
 
 
-def latest_version(df: DataFrame, key: str = "primaryid", order: tuple[str, ...] = ("_file", "_row")) -> DataFrame:
+def latest_version(df: DataFrame, key: str = "primaryid", order: tuple[str, ...] = ("_file", "_row"),
+                   keep_order: bool = False) -> DataFrame:
     """Keep the last row per key in (file, row) order.
 
     ``max_by`` over a struct of the order columns is a hash aggregate with a
     map-side partial, so a key with very many versions never gathers its rows
     in one place.
     """
-    payload = [c for c in df.columns if c != key and c not in order]
+    payload = [c for c in df.columns if c != key and (keep_order or c not in order)]
     ordk = F.struct(*[F.col(c) for c in order])
     agg = df.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in payload]), ordk).alias("_v"))
     return agg.select(key, *[F.col("_v")[c].alias(c) for c in payload])
