@@ -12,6 +12,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def dominates(p: str, q: str, objs: tuple[str, ...]) -> Column:
@@ -34,39 +35,43 @@ def dominance_pairs(points: DataFrame, key: str = "ind", objs: tuple[str, ...] =
 
 
 def nondominated(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
-    """Points no other point dominates (equal points do not dominate each other)."""
-    p = points.select(key, *objs).alias("p")
+    """Points no other point dominates (equal points do not dominate each other):
+    one anti-join against the broadcast point set (a population)."""
+    p = points.alias("p")
     q = points.select(key, *objs).alias("q")
-    beaten = q.join(F.broadcast(p), dominates("p", "q", objs), "left_semi").select(F.col(key))
-    return points.join(beaten, key, "left_anti")
+    return p.join(F.broadcast(q), dominates("q", "p", objs), "left_anti").select("p.*")
 
 
-def pareto_rank(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
-    """Add ``front`` (0 = non-dominated).  One peel per front."""
-    from ..session import ensure_checkpoint_dir
+ROWS_PER_PARTITION = 50_000
+
 
-    ensure_checkpoint_dir(points.sparkSession)
-    # every peel is checkpointed: the next peel starts from a plan of constant size
-    remaining = points.select(key, *objs).checkpoint(eager=True)
-    parts = []
+def pareto_rank(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
+    """Add ``front`` (0 = non-dominated).  One peel per front.
+
+    Each peel is one job over a plan of constant size: the points still
+    unassigned are the cached point set minus the ids already placed (a
+    literal list bounded by the population size), so no lineage builds up.
+    """
+    spark = points.sparkSession
+    n_left = points.count()
+    # partitions sized by volume (~50k points each): a small set needs few tasks per peel
+    pts = points.select(key, *objs).repartition(max(1, -(-n_left // ROWS_PER_PARTITION)), key).cache()
+    pts.count()
+    placed: list = []
+    fronts: list[tuple] = []
     front = 0
-    n_left = remaining.count()
     while n_left > 0:
-        nd = nondominated(remaining, key, objs).select(key).withColumn("front", F.lit(front)).checkpoint(eager=True)
-        n_front = nd.count()
-        parts.append(nd)
-        remaining = remaining.join(nd.select(key), key, "left_anti").checkpoint(eager=True)
-        n_left = remaining.count()
-        front += 1
-        if n_front == 0:  # cannot happen for a strict partial order; guards the loop
+        rem = pts.where(~F.col(key).isin(placed)) if placed else pts
+        ids = [r[0] for r in nondominated(rem, key, objs).select(key).collect()]  # one front: population-bounded
+        if not ids:  # cannot happen for a strict partial order; guards the loop
             break
-    if not parts:
-        return points.withColumn("front", F.lit(None).cast("int"))
-    fronts = parts[0]
-    for p in parts[1:]:
-        fronts = fronts.unionByName(p)
-    fronts = fronts.checkpoint(eager=True)  # cut the per-front lineage
-    return points.join(fronts, key, "inner")
+        fronts.extend((i, front) for i in ids)
+        placed.extend(ids)
+        n_left -= len(ids)
+        front += 1
+    pts.unpersist()
+    table = spark.createDataFrame(fronts, T.StructType([points.schema[key], T.StructField("front", T.IntegerType())]))
+    return points.join(table, key, "inner")
 
 
 def crowding(ranked: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2"), front: str = "front") -> DataFrame:
