@@ -67,15 +67,20 @@ def py_title_expr(c: str | Column) -> Column:
     return F.when(col(c).isNull(), F.lit(None).cast("string")).otherwise(F.array_join(cap, ""))
 
 
-@F.pandas_udf("string")
-def _title(s: pd.Series) -> pd.Series:
+def _title_series(s: pd.Series) -> pd.Series:
     return s.str.title()
 
 
+_TITLE_UDF = None
+
+
 def py_title(c: str | Column) -> Column:
     """Python ``str.title()`` exactly, Arrow-batched (faster than the array
     lambda of ``py_title_expr``, which the JVM evaluates element by element)."""
-    return _title(col(c))
+    global _TITLE_UDF
+    if _TITLE_UDF is None:  # built on first use: a UDF needs an active session
+        _TITLE_UDF = F.pandas_udf(_title_series, "string")
+    return _TITLE_UDF(col(c))
 
 
 def num_or_null(c: str | Column) -> Column:
