@@ -243,3 +243,19 @@ def test_crossover_children_are_complementary(spark):
         assert np.allclose(np.array(r["c1"]) + np.array(r["c2"]), [6.0, 8.0, 10.0, 12.0])
     with pytest.raises(ValueError):
         EV.crossover(pairs, "nope")
+
+
+def test_ridge_matches_numpy(spark):
+    from caseflow.operators import select as SEL
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(60, 5))
+    labs = [[int(i % 3)] + ([2] if i % 4 == 0 else []) for i in range(60)]
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]], labs[i]) for i in range(60)],
+                               "case_id int, features array<double>, labels array<int>").repartition(4)
+    xx, xy = SEL.gram_arrays(df, 5, 3)
+    y = np.zeros((60, 3))
+    for i, ls in enumerate(labs):
+        y[i, sorted(set(ls))] = 1.0
+    assert np.allclose(xx, x.T @ x) and np.allclose(xy, x.T @ y)
+    w = SEL.ridge_weights(xx, xy)
+    assert np.allclose(w, np.linalg.solve(x.T @ x + 5.0 * np.eye(5), x.T @ y))
