@@ -72,6 +72,14 @@ def ridge_weights(xx: np.ndarray, xy: np.ndarray, cols: np.ndarray | None = None
     return np.linalg.solve(xx + alpha * np.eye(xx.shape[0]), xy)
 
 
+def apply_mask(df: DataFrame, mask: list[bool] | np.ndarray, features: str = "features", out: str | None = None) -> DataFrame:
+    """keep the feature positions whose mask bit is set (fixed positions:
+    an array projection, no shuffle)."""
+    keep = [i for i, b in enumerate(mask) if b]
+    arr = F.array(*[F.element_at(features, i + 1) for i in keep]) if keep else F.array().cast("array<double>")
+    return df.withColumn(out or features, arr)
+
+
 def zscore(scores: DataFrame, label: str = "label_id", s: str = "score", out: str = "z") -> DataFrame:
     """Per-label z-score (population std, +1e-9)."""
     stats = scores.groupBy(label).agg(F.avg(s).alias("_m"), F.stddev_pop(s).alias("_sd"))
@@ -100,29 +108,65 @@ def mask_fitness(val: DataFrame, masks: np.ndarray, xx: np.ndarray, xy: np.ndarr
     W = np.stack(weights)  # m x k x L (bounded by population and feature width)
     sc = val.sparkSession.sparkContext
     bw = sc.broadcast(W)
+    data = val.select(features, labels)
 
-    def run(batches):
+    def moments(batches):
+        # pass 1: per task (count, mean, M2) of every mask's scores per label
+        n = 0
+        mean = np.zeros((m, n_labels))
+        m2 = np.zeros((m, n_labels))
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[features].to_numpy()])
+            s = np.einsum("nk,mkl->mnl", x, bw.value)
+            nb, bm = len(pdf), s.mean(1)
+            bm2 = ((s - bm[:, None, :]) ** 2).sum(1)
+            delta = bm - mean
+            tot = n + nb
+            mean = mean + delta * nb / tot
+            m2 = m2 + bm2 + delta ** 2 * n * nb / tot
+            n = tot
+        if n:
+            yield pd.DataFrame({"n": [n], "mean": [mean.ravel().tolist()], "m2": [m2.ravel().tolist()]})
+
+    parts = data.mapInPandas(moments, "n long, mean array<double>, m2 array<double>").collect()  # one row per task
+    n_all, mu, m2_all = 0, np.zeros(m * n_labels), np.zeros(m * n_labels)
+    for r in parts:
+        nb, bm, bm2 = r["n"], np.asarray(r["mean"]), np.asarray(r["m2"])
+        delta, tot = bm - mu, n_all + nb
+        mu, m2_all, n_all = mu + delta * nb / tot, m2_all + bm2 + delta ** 2 * n_all * nb / tot, tot
+    sd = np.sqrt(m2_all / max(n_all, 1)).reshape(m, n_labels)
+    mu = mu.reshape(m, n_labels)
+    stats = sc.broadcast((mu, sd))
+    g = np.asarray(grid)
+    nbk = len(grid) + 1
+
+    def counts(batches):
+        # pass 2: z-score, sigmoid, bucket; only (mask, label, bucket) counts leave the task
+        mu_, sd_ = stats.value
+        tot_n = np.zeros((m, n_labels * nbk))
+        tot_p = np.zeros((m, n_labels * nbk))
+        off = np.arange(n_labels) * nbk
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[features].to_numpy()])
-            rows = []
-            for r in range(bw.value.shape[0]):
-                s = x @ bw.value[r]
-                rows.append(pd.DataFrame({"mask": r, "case": pdf["case_id"].to_numpy().repeat(n_labels),
-                                          "label_id": np.tile(np.arange(n_labels), len(pdf)), "score": s.ravel()}))
-            yield pd.concat(rows, ignore_index=True)
-
-    scores = val.select("case_id", features).mapInPandas(run, "mask int, case long, label_id int, score double")
-    stats = scores.groupBy("mask", "label_id").agg(F.avg("score").alias("_m"), F.stddev_pop("score").alias("_sd"))
-    z = scores.join(F.broadcast(stats), ["mask", "label_id"]).select(
-        "mask", "case", "label_id", ((F.col("score") - F.col("_m")) / (F.col("_sd") + F.lit(1e-9))).alias("z"))
-    y = val.select(F.col("case_id").alias("case"), F.explode(labels).alias("label_id")).withColumn("y", F.lit(1))
-    zy = z.join(y, ["case", "label_id"], "left").fillna(0, subset=["y"])
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("z")))))
-    fit = CAL.macro_best_f1(zy.withColumn("p", p), grid, group="mask", n_labels=n_labels).toPandas()
-    f1 = np.zeros(m)
-    f1[fit["mask"].to_numpy()] = fit["fitness"].to_numpy()
+            y = _dense_y(pdf[labels], len(pdf), n_labels).astype(np.float64).ravel()
+            s = np.einsum("nk,mkl->mnl", x, bw.value)
+            z = (s - mu_[:, None, :]) / (sd_[:, None, :] + 1e-9)
+            p = 1.0 / (1.0 + np.exp(-np.clip(z, -30.0, 30.0)))
+            for r in range(m):
+                flat = (np.searchsorted(g, p[r], side="right") + off).ravel()
+                tot_n[r] += np.bincount(flat, minlength=n_labels * nbk)
+                tot_p[r] += np.bincount(flat, weights=y, minlength=n_labels * nbk)
+        yield pd.DataFrame({"n": [tot_n.ravel().tolist()], "pos": [tot_p.ravel().tolist()]})
+
+    rows = data.mapInPandas(counts, "n array<double>, pos array<double>").collect()  # one row per task, bounded
+    cn = np.sum([np.asarray(r["n"]) for r in rows], axis=0).reshape(m, n_labels, nbk)
+    cp = np.sum([np.asarray(r["pos"]) for r in rows], axis=0).reshape(m, n_labels, nbk)
+    from .evolve import fitness_np
+    f1 = fitness_np(cn, cp)
     empty = masks.sum(1) == 0
     f1[empty] = 0.0
     frac = masks.sum(1) / masks.shape[1]

@@ -81,6 +81,11 @@ def drug_scores(predicted: DataFrame, mapped: DataFrame, known: DataFrame, vocab
         F.array_join(F.array_sort("predicted"), "|").alias("predicted_effects"))
 
 
+def validation_report(scores: DataFrame) -> DataFrame:
+    """T4: drugs ordered by F1 (unscored last), then by number of predictions."""
+    return scores.orderBy(F.desc_nulls_last("f1"), F.desc("n_predicted"), "drug")
+
+
 def validation_summary(scores: DataFrame) -> DataFrame:
     """A15 + F9: means over drugs with a score, mapped and total counts."""
     return scores.agg(

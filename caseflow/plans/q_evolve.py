@@ -398,3 +398,29 @@ def q_sweep(spark, sf_dir):
                  grid=[("p_mutation", 0.01), ("p_mutation", 0.1), ("p_crossover", 0.6), ("crossover", "one_point"),
                        ("crossover", "arithmetic"), ("generations", 3)])
 
+
+
+@query("elites", "T6", f"""WITH {POP_SQL}
+    SELECT ind, fitness FROM f ORDER BY fitness DESC, ind LIMIT {EV.ELITISM}""")
+def q_elites(spark, sf_dir):
+    return EV.elites(emb_population(spark, sf_dir).select("ind", "fitness"), EV.ELITISM)
+
+
+MASK_SQL = """mk AS (SELECT i, avg(v) > 0 AS keep FROM (SELECT CAST(generate_subscripts(genome, 1) - 1 AS BIGINT) AS i,
+                     unnest(genome) AS v FROM f) GROUP BY i)"""
+
+
+@query("masked_features", "F10", f"""WITH {POP_SQL}, {GENES_SQL}, {MASK_SQL},
+    kept AS (SELECT gl.ind, gl.gene, gl.v FROM gl JOIN mk ON gl.gene = mk.i WHERE mk.keep)
+    SELECT ind, CAST(count(*) AS INTEGER) AS n_features, round(sum(v), 9) AS total FROM kept GROUP BY ind""")
+def q_masked_features(spark, sf_dir):
+    """The mask keeps dimensions whose mean over the population is positive."""
+    pop = emb_population(spark, sf_dir)
+    means = EV.genes_of(pop.select("ind", "genome")).groupBy("gene").agg(F.avg("value").alias("m"))
+    mask_rows = means.collect()  # one row per dimension (bounded by the genome width)
+    mask = [False] * len(mask_rows)
+    for r in mask_rows:
+        mask[int(r["gene"])] = r["m"] > 0
+    m = SEL.apply_mask(pop.select("ind", F.col("genome").alias("features")), mask)
+    return m.select("ind", F.size("features").cast("int").alias("n_features"),
+                    F.round(F.aggregate("features", F.lit(0.0), lambda a, v: a + v), 9).alias("total"))

@@ -259,3 +259,35 @@ def test_ridge_matches_numpy(spark):
     assert np.allclose(xx, x.T @ x) and np.allclose(xy, x.T @ y)
     w = SEL.ridge_weights(xx, xy)
     assert np.allclose(w, np.linalg.solve(x.T @ x + 5.0 * np.eye(5), x.T @ y))
+
+
+def test_mask_fitness_matches_brute_force(spark):
+    from caseflow.operators import select as SEL
+    rng = np.random.default_rng(21)
+    n, k, L = 90, 6, 3
+    x = rng.normal(size=(n, k))
+    labs = [[int(rng.integers(0, L))] for _ in range(n)]
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]], labs[i]) for i in range(n)],
+                               "case_id int, features array<double>, labels array<int>").repartition(5)
+    masks = np.array([[True, False, True, True, False, True], [True] * k, [False] * k])
+    xx, xy = SEL.gram_arrays(df, k, L)
+    fit, f1 = SEL.mask_fitness(df, masks, xx, xy, L)
+    y = np.zeros((n, L), dtype=bool)
+    for i, ls in enumerate(labs):
+        y[i, ls] = True
+    for r in range(2):
+        cols = np.nonzero(masks[r])[0]
+        w = np.linalg.solve(x[:, cols].T @ x[:, cols] + 5.0 * np.eye(len(cols)), x[:, cols].T @ y.astype(float))
+        s = x[:, cols] @ w
+        p = 1 / (1 + np.exp(-np.clip((s - s.mean(0)) / (s.std(0) + 1e-9), -30, 30)))
+        best = []
+        for j in range(L):
+            b = 0.0
+            for t in CAL.FIT_GRID:
+                pred = p[:, j] >= t
+                tp, pp, ap = (pred & y[:, j]).sum(), pred.sum(), y[:, j].sum()
+                b = max(b, 2 * tp / (pp + ap) if pp + ap else 0.0)
+            best.append(b)
+        assert f1[r] == pytest.approx(np.mean(best), abs=1e-12)
+        assert fit[r] == pytest.approx(np.mean(best) - SEL.PARSIMONY * len(cols) / k, abs=1e-12)
+    assert fit[2] == 0.0
