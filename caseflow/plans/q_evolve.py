@@ -424,3 +424,12 @@ def q_masked_features(spark, sf_dir):
     m = SEL.apply_mask(pop.select("ind", F.col("genome").alias("features")), mask)
     return m.select("ind", F.size("features").cast("int").alias("n_features"),
                     F.round(F.aggregate("features", F.lit(0.0), lambda a, v: a + v), 9).alias("total"))
+
+
+@query("final_fit", "E19 M13 A8-A11")
+def q_final_fit(spark, sf_dir):
+    """Rows-only: short search on train, thresholds on validation, the metrics record on test."""
+    from ..plans.pipeline import train_and_test
+    _, best_fit, _, metrics, seconds = train_and_test(emb_labelled(spark, sf_dir), EMB_SHAPE, _small_cfg())
+    rows = [("best_fitness_train", float(best_fit))] + [(k, float(v)) for k, v in metrics.items()] + [("seconds", seconds)]
+    return spark.createDataFrame(rows, "metric string, value double")

@@ -291,3 +291,20 @@ def test_mask_fitness_matches_brute_force(spark):
         assert f1[r] == pytest.approx(np.mean(best), abs=1e-12)
         assert fit[r] == pytest.approx(np.mean(best) - SEL.PARSIMONY * len(cols) / k, abs=1e-12)
     assert fit[2] == 0.0
+
+
+def test_array_evaluation_matches_long_form(spark):
+    from caseflow.operators.score import NetShape
+    from caseflow.plans import pipeline as PL
+    rng = np.random.default_rng(8)
+    shape = NetShape(4, 3, 3)
+    g = rng.normal(size=shape.n_params)
+    rows = [(i, [float(v) for v in rng.normal(size=4)], [int(i % 3)] + ([0] if i % 5 == 0 else [])) for i in range(80)]
+    df = spark.createDataFrame(rows, "case_id int, features array<double>, labels array<int>").repartition(3)
+    fast = PL.evaluate_genome(df, df, g, shape)
+    labels = spark.range(3).select(F.col("id").cast("int").alias("label_id"))
+    thr = CAL.best_thresholds(PL.dense_scores(df, g, shape), CAL.FINE_GRID, labels=labels)
+    from caseflow.operators import score as SC
+    slow = M.summary(SC.predict_flags(PL.dense_scores(df, g, shape), thr), n_labels=3).first().asDict()
+    for k, v in slow.items():
+        assert fast[k] == pytest.approx(v, abs=1e-12), k
