@@ -13,10 +13,20 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# One BLAS thread per Python worker: Spark already runs one worker per core, so
+# multi-threaded BLAS inside each worker would oversubscribe the cores.
+WORKER_ENV = {"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1", "MKL_NUM_THREADS": "1"}
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, app: str = "caseflow") -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on)."""
+    for k, v in WORKER_ENV.items():  # local workers inherit the driver's environment
+        os.environ.setdefault(k, v)
+    builder = SparkSession.builder.master(f"local[{cores}]")
+    for k, v in WORKER_ENV.items():  # executors on a cluster get it from the session config
+        builder = builder.config(f"spark.executorEnv.{k}", v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
