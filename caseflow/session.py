@@ -48,7 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the configured checkpoint folder; set a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only local sessions without one get a fresh folder under /tmp.
+    is (a cluster session without one is an error).  Only local sessions
+    without one get a fresh folder under /tmp.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -56,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        # a machine-local folder would not survive executor loss on a cluster
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed by iterative operators)")
     path = tempfile.mkdtemp(prefix="caseflow-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
