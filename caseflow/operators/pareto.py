@@ -45,8 +45,73 @@ def nondominated(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("
 ROWS_PER_PARTITION = 50_000
 
 
+def layers_2d(o1: np.ndarray, o2: np.ndarray) -> np.ndarray:
+    """Front index of every point (two maximised objectives) by one sweep.
+
+    Points are visited by o1 descending, then o2 descending, so every
+    dominator of a point is visited before it.  A point's front is the first
+    layer holding none of its dominators (layers holding one are a prefix).
+    ``best[k]`` is the largest o2 in layer k among points with a strictly
+    larger o1 (those dominate when their o2 is >=); points with an equal o1
+    dominate only with a strictly larger o2, tracked per group.
+    """
+    n = len(o1)
+    order = np.lexsort((-o2, -o1))
+    front = np.empty(n, dtype=np.int64)
+    best: list[float] = []
+    i = 0
+    while i < n:
+        j = i
+        while j < n and o1[order[j]] == o1[order[i]]:
+            j += 1
+        group: dict[int, float] = {}
+        for p in order[i:j]:
+            k = 0
+            while (k < len(best) and best[k] >= o2[p]) or group.get(k, -np.inf) > o2[p]:
+                k += 1
+            front[p] = k
+            group[k] = max(group.get(k, -np.inf), o2[p])
+        for k in sorted(group):
+            if k < len(best):
+                best[k] = max(best[k], group[k])
+            else:
+                best.append(group[k])
+        i = j
+    return front
+
+
 def pareto_rank(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
-    """Add ``front`` (0 = non-dominated).  One peel per front.
+    """Add ``front`` (0 = non-dominated) in one job.
+
+    The point set is a population (bounded by configuration), broadcast to
+    every task exactly as the peel's anti-join would broadcast it; each task
+    places its own rows with one sweep over the broadcast copy.
+    """
+    import pandas as pd
+
+    if len(objs) != 2:
+        return pareto_rank_peel(points, key, objs)
+    spark = points.sparkSession
+    rows = points.select(key, *objs).collect()  # the population: bounded by configuration
+    ids = [r[0] for r in rows]
+    a1 = np.array([r[1] for r in rows], dtype=np.float64)
+    a2 = np.array([r[2] for r in rows], dtype=np.float64)
+    bc = spark.sparkContext.broadcast((ids, a1, a2))
+
+    def run(batches):
+        ids_, x1, x2 = bc.value
+        where = {v: i for i, v in enumerate(ids_)}
+        fr = layers_2d(x1, x2)
+        for pdf in batches:
+            yield pd.DataFrame({key: pdf[key], "front": [int(fr[where[v]]) for v in pdf[key]]})
+
+    schema = T.StructType([points.schema[key], T.StructField("front", T.IntegerType())])
+    table = points.select(key).mapInPandas(run, schema)
+    return points.join(table, key, "inner")
+
+
+def pareto_rank_peel(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
+    """W6 for any number of objectives: one peel (one job) per front.
 
     Each peel is one job over a plan of constant size: the points still
     unassigned are the cached point set minus the ids already placed (a

@@ -308,3 +308,14 @@ def test_array_evaluation_matches_long_form(spark):
     slow = M.summary(SC.predict_flags(PL.dense_scores(df, g, shape), thr), n_labels=3).first().asDict()
     for k, v in slow.items():
         assert fast[k] == pytest.approx(v, abs=1e-12), k
+
+
+def test_layer_sweep_matches_peeling(spark):
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        pts = np.round(rng.random((60, 2)) * 5) / 5  # many ties and duplicates
+        assert list(PA.layers_2d(pts[:, 0], pts[:, 1])) == list(PA.fronts_np(pts))
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "ind int, o1 double, o2 double")
+    a = {r["ind"]: r["front"] for r in PA.pareto_rank(df).collect()}
+    b = {r["ind"]: r["front"] for r in PA.pareto_rank_peel(df).collect()}
+    assert a == b
