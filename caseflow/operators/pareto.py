@@ -110,6 +110,34 @@ def pareto_rank(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o
     return points.join(table, key, "inner")
 
 
+def dominator_counts(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
+    """J12 as counts: (key, n_dominators) without emitting dominance pairs — each
+    task counts, for its own rows, the points of the broadcast population that
+    are >= on every objective and > on one."""
+    import pandas as pd
+
+    spark = points.sparkSession
+    rows = points.select(key, *objs).collect()  # the population: bounded by configuration
+    ids = [r[0] for r in rows]
+    mat = np.array([[float(v) for v in r[1:]] for r in rows], dtype=np.float64).reshape(len(rows), len(objs))
+    bc = spark.sparkContext.broadcast((ids, mat))
+
+    def run(batches):
+        ids_, m = bc.value
+        where = {v: i for i, v in enumerate(ids_)}
+        for pdf in batches:
+            out = []
+            for v in pdf[key]:
+                p = m[where[v]]
+                ge = (m >= p).all(1)
+                gt = (m > p).any(1)
+                out.append(int((ge & gt).sum()))
+            yield pd.DataFrame({key: pdf[key], "n_dominators": out})
+
+    schema = T.StructType([points.schema[key], T.StructField("n_dominators", T.LongType())])
+    return points.select(key).mapInPandas(run, schema)
+
+
 def pareto_rank_peel(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
     """W6 for any number of objectives: one peel (one job) per front.
 

@@ -216,9 +216,9 @@ def supplier_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pareto_rank(spark, sf_dir):
     pts = supplier_points(spark, sf_dir).cache()
     ranked = PA.pareto_rank(pts)
-    n_dom = PA.dominance_pairs(pts).groupBy(F.col("dominated").alias("ind")).agg(F.count(F.lit(1)).alias("n_dominators"))
-    return ranked.join(n_dom, "ind", "left").select("ind", F.col("front").cast("int").alias("front"),
-                                                      F.coalesce("n_dominators", F.lit(0)).cast("bigint").alias("n_dominators"))
+    n_dom = PA.dominator_counts(pts)
+    return ranked.join(n_dom, "ind", "inner").select("ind", F.col("front").cast("int").alias("front"),
+                                                       F.col("n_dominators").cast("bigint").alias("n_dominators"))
 
 
 @query("crowding", "W5", f"""WITH RECURSIVE {PTS_SQL}, {FRONT_SQL}, {CROWD_SQL}

@@ -319,3 +319,14 @@ def test_layer_sweep_matches_peeling(spark):
     a = {r["ind"]: r["front"] for r in PA.pareto_rank(df).collect()}
     b = {r["ind"]: r["front"] for r in PA.pareto_rank_peel(df).collect()}
     assert a == b
+
+
+def test_dominator_counts_match_pairs(spark):
+    rng = np.random.default_rng(9)
+    pts = np.round(rng.random((40, 2)) * 4) / 4
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "ind int, o1 double, o2 double")
+    counts = {r["ind"]: r["n_dominators"] for r in PA.dominator_counts(df).collect()}
+    pairs = PA.dominance_pairs(df).groupBy("dominated").count().collect()
+    want = {i: 0 for i in range(40)}
+    want.update({r["dominated"]: r["count"] for r in pairs})
+    assert counts == want
