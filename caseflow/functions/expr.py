@@ -34,6 +34,9 @@ NUMBER_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 # Sigmoid input clip.
 SIGMOID_CLIP = 30.0
 
+# Characters Python's str.strip() removes: every code point with isspace(), by rule.
+WHITESPACE = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+
 HASH_BITS = 48
 HASH_SCALE = float(2 ** HASH_BITS)
 
@@ -43,8 +46,9 @@ def col(c: str | Column) -> Column:
 
 
 def strip_ws(c: str | Column) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace
+    (``btrim`` over the whitespace set: no regular expression per row)."""
+    return F.btrim(col(c), F.lit(WHITESPACE))
 
 
 def null_tokens(c: str | Column) -> Column:

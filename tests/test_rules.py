@@ -330,3 +330,8 @@ def test_dominator_counts_match_pairs(spark):
     want = {i: 0 for i in range(40)}
     want.update({r["dominated"]: r["count"] for r in pairs})
     assert counts == want
+
+
+def test_strip_matches_python(spark):
+    vals = ["\t a b \n", "　x ", "\x1cy\x85", "  ", "z", "​q"]
+    assert col(spark, vals, X.strip_ws) == [v.strip() for v in vals]
