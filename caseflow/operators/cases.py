@@ -81,13 +81,14 @@ def role_sets(raw_drugs: DataFrame) -> DataFrame:
     """
     role = X.norm_code("role_cod")
     d = raw_drugs.select("primaryid", role.alias("role"), drug_name().alias("drug"))
+    named = F.length("drug") > 0  # blank and missing names never enter a set (collect_set skips nulls)
     agg = d.groupBy("primaryid").agg(
         F.max((F.col("role") == SUSPECT_ROLE).cast("int")).alias("_has_ps"),
-        F.collect_set(F.when(F.col("role") == SUSPECT_ROLE, F.col("drug"))).alias("_ps"),
-        F.collect_set(F.when(F.col("role").isin(CONCOMITANT_ROLES), F.col("drug"))).alias("_other"),
+        F.collect_set(F.when((F.col("role") == SUSPECT_ROLE) & named, F.col("drug"))).alias("_ps"),
+        F.collect_set(F.when(F.col("role").isin(CONCOMITANT_ROLES) & named, F.col("drug"))).alias("_other"),
     )
-    ps = F.array_sort(X.clean_terms(F.col("_ps")))
-    other = F.array_sort(F.array_except(X.clean_terms(F.col("_other")), F.col("drug")))
+    ps = F.array_sort(F.col("_ps"))
+    other = F.array_sort(F.array_except(F.col("_other"), F.col("drug")))
     return (
         agg.where(F.col("_has_ps") == 1)
         .select("primaryid", ps.alias("drug"), "_other")
@@ -98,8 +99,9 @@ def role_sets(raw_drugs: DataFrame) -> DataFrame:
 def term_sets(raw: DataFrame, term_col: str, out_col: str) -> DataFrame:
     """P7 + A2: title-case terms and aggregate a sorted distinct set per case."""
     t = X.py_title(X.strip_ws(term_col))
-    agg = raw.select("primaryid", t.alias("_t")).groupBy("primaryid").agg(F.collect_set("_t").alias("_s"))
-    return agg.select("primaryid", F.array_sort(X.clean_terms(F.col("_s"))).alias(out_col))
+    agg = (raw.select("primaryid", t.alias("_t")).groupBy("primaryid")
+           .agg(F.collect_set(F.when(F.length("_t") > 0, F.col("_t"))).alias("_s")))
+    return agg.select("primaryid", F.array_sort(F.col("_s")).alias(out_col))
 
 
 def assemble_cases(demo: DataFrame, drugs: DataFrame, reactions: DataFrame, indications: DataFrame) -> DataFrame:
