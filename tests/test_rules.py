@@ -335,3 +335,14 @@ def test_dominator_counts_match_pairs(spark):
 def test_strip_matches_python(spark):
     vals = ["\t a b \n", "　x ", "\x1cy\x85", "  ", "z", "​q"]
     assert col(spark, vals, X.strip_ws) == [v.strip() for v in vals]
+
+
+def test_hash_split_sizes_and_stability(spark):
+    from caseflow.operators import split as SP
+    assert SP.split_sizes(10) == (3, 0) and SP.split_sizes(101) == (31, 7)
+    df = spark.range(1001).select(F.col("id").cast("string").alias("k"))
+    a = {r["k"]: r["split"] for r in SP.hash_split(df.repartition(1), "k").collect()}
+    b = {r["k"]: r["split"] for r in SP.hash_split(df.repartition(7), "k").collect()}
+    assert a == b
+    counts = {s: sum(1 for v in a.values() if v == s) for s in ("test", "val", "train")}
+    assert counts == {"test": 301, "val": 70, "train": 630}
