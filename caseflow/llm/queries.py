@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_counts
+from . import bpe, exact_dedup, pii, token_counts
 from .registry import query
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,3 +36,29 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = token_counts.token_lengths(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
     return token_counts.suffix_sums(token_counts.length_histogram(lengths))
+
+
+@query(
+    "op2_exact_dedup",
+    r"""
+    WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+    SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+    FROM d WINDOW w AS (PARTITION BY t)
+    """,
+)
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = exact_dedup.exact_groups(documents(spark, sf_dir))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def joined_spans(spans) -> Column:
+    one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    return F.array_join(F.transform(spans, one), ",")
+
+
+@query("op7_personal_data")
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select("doc_id", *map(count, pii.BASE_KINDS), F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
