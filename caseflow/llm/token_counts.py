@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import codec
-from .common import column, slices
+from .common import column, cut, slices
 
-#: Lengths per block of the two-level suffix sums: the upper level has (longest document / BLOCK) rows.
-BLOCK = 4096
+#: Lengths per block of the two-level suffix sums: the upper level has (longest document / BLOCK) rows at most.
+BLOCK = 256
 
 
 def token_lengths(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -43,10 +43,11 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
 
     Columns: context_limit (the length), n_docs, docs_at_least, docs_at_most, docs_over, total_tokens (all documents),
     tokens_below (in shorter documents), truncated_total (sum of min(length, context_limit)) and lost_tokens
-    (total - truncated). Sums run inside blocks of BLOCK lengths and over the blocks' totals, so no task sorts the whole
+    (total - truncated). The histogram is read twice, so it is written once and the documents are encoded once. Sums run inside blocks of BLOCK lengths and over the blocks' totals, so no task sorts the whole
     histogram. An empty histogram gives no rows; null lengths are not expected and count as 0.
     """
-    h = histogram.select(F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), "n_docs").withColumn("block", F.expr(f"n_tokens div {BLOCK}"))
+    h = histogram.select(F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), "n_docs")
+    h = cut(h, "lengths").withColumn("block", F.expr(f"n_tokens div {BLOCK}"))
     h = h.groupBy("block", "n_tokens").agg(F.sum("n_docs").alias("n_docs")).withColumn("tokens", F.col("n_docs") * F.col("n_tokens"))
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("b_docs"), F.sum("tokens").alias("b_tokens"))
     order = Window.orderBy("block")
