@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, pii, token_counts
+from . import bpe, exact_dedup, pii, quality, token_counts
 from .registry import query
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -62,3 +62,31 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
     return found.select("doc_id", *map(count, pii.BASE_KINDS), F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
+
+
+@query(
+    "op9_quality_rules",
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT rid, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+    g AS (SELECT rid, i, list_slice(ws, i, i + 7) AS win FROM w, unnest(range(1, len(ws) - 6)) AS u(i)),
+    p AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM g) WHERE n > 1),
+    r AS (SELECT rid, count(DISTINCT k) AS n_repeat_words FROM p, unnest(range(i, i + 8)) AS u(k) GROUP BY rid),
+    m AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+                 length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                 length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS caps,
+                 len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+                 coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN r USING (rid)),
+    b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR 2 * caps > word_chars
+                OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+    FROM b
+    """,
+)
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    rows = quality.measured(documents(spark, sf_dir), counts)
+    base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return rows.select("doc_id", *counts, base_failed.alias("base_failed"), (~base_failed & F.col("failed_rule").isNull()).alias("kept"))

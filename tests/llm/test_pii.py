@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -33,7 +34,7 @@ def brute(text):
 FINDER = pii.Finder()
 
 
-@settings(max_examples=3000, deadline=None)
+@settings(max_examples=1000, deadline=None)
 @given(st.lists(st.sampled_from(["@", ".", "1", "2", "0", "25", "256", "+", " ", "-", "(", ")", "a", "b.c", "é", "a@b.c", "1.2.3.4", "4111 1111 1111 1111", "+1 (619) 555-0053", "\n", "٣"]), max_size=25).map("".join))
 def test_base_spans_equal_patterns(text):
     assert [s for s in FINDER.spans(text) if s[1] < 4] == brute(text)
@@ -41,7 +42,9 @@ def test_base_spans_equal_patterns(text):
 
 def test_long_runs_are_linear():
     for text in ("1" * 200_000, "1.1" * 70_000, "a" * 200_000 + "@", "a@" * 100_000, "+1" * 100_000, "1 -" * 70_000, "password" * 20_000, "://" * 50_000):
-        assert [s for s in FINDER.spans(text) if s[1] < 4] == brute(text) if len(set(text)) < 3 and "a" not in text else FINDER.spans(text) is not None
+        began = time.process_time()
+        FINDER.spans(text)
+        assert time.process_time() - began < 5
 
 
 def test_query_equals_patterns(spark):
