@@ -40,7 +40,7 @@ def let(value: Column, body) -> Column:
 
 def words(text: Column) -> Column:
     """Array of the maximal runs of non-white characters (null text: empty array)."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{WS}+|{WS}+$", "")
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{WS}+"))
 
 

@@ -109,13 +109,15 @@ MORE_RULES = (
 
 
 def _prepared(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` as a struct beside its text and words, so that its column names cannot clash with the measures'."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    return rows.withColumn("ws", words(F.col("text")))
+    """``docs`` as a struct beside its text, so that its column names cannot clash with the measures'."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
 
-def _inline(name: str) -> Column:
-    return MEASURES[name](F.col("text"), F.col("ws"))
+def _with_words(body: Callable[[Callable[[str], Column], Column], Column]) -> Column:
+    """``body(measure, words)``; the words are bound by ``let``, for a filter on a projected array would be pushed below
+    the projection and split the text again for every element of a lambda."""
+    text = F.col("text")
+    return let(words(text), lambda ws: body(lambda name: MEASURES[name](text, ws), ws))
 
 
 def order_rules(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
@@ -123,9 +125,8 @@ def order_rules(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text"
 
     The sample is the first ``sample_rows`` rows that Spark finds; only their flags and work reach the driver.
     """
-    text, ws = F.col("text"), F.col("ws")
-    flags = [F.coalesce(r.rejects(_inline), F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules)]
-    work = [r.work(F.length(text), F.size(ws)).cast("double").alias(f"w{i}") for i, r in enumerate(rules)]
+    flags = [_with_words(lambda m, ws, r=r: F.coalesce(r.rejects(m), F.lit(False))).alias(f"r{i}") for i, r in enumerate(rules)]
+    work = [_with_words(lambda m, ws, r=r: r.work(F.length("text"), F.size(ws)).cast("double")).alias(f"w{i}") for i, r in enumerate(rules)]
     seen = _prepared(docs, text_col).limit(sample_rows).select(*flags, *work).collect()
     if not seen:
         return list(rules)
@@ -149,7 +150,7 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES
     empty table stays empty. The measures sit inside the cascade, so a rejected document costs nothing further.
     """
     ordered = order_rules(docs, rules, text_col)
-    return _prepared(docs, text_col).where(verdict(ordered, _inline).isNull()).select("row.*")
+    return _prepared(docs, text_col).where(_with_words(lambda m, ws: verdict(ordered, m)).isNull()).select("row.*")
 
 
 def measured(docs: DataFrame, names: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -160,5 +161,7 @@ def measured(docs: DataFrame, names: list[str], id_col: str = "doc_id", text_col
     """
     needed = list(dict.fromkeys([*names, *MEASURES]))
     ordered = order_rules(docs, BASE_RULES + MORE_RULES, text_col)
-    rows = _prepared(docs, text_col).select(F.col("row")[id_col].alias("id"), *[_inline(n).alias(n) for n in needed])
+    rows = _prepared(docs, text_col).withColumn("ws", words(F.col("text")))
+    inline = lambda n: MEASURES[n](F.col("text"), F.col("ws")).alias(n)
+    rows = rows.select(F.col("row")[id_col].alias("id"), *map(inline, needed))
     return rows.select(F.col("id").alias(id_col), *names, verdict(ordered, F.col).alias("failed_rule"))

@@ -23,7 +23,7 @@ def test_query_equals_sql(spark):
 
 
 TEXTS = [None, "", " \n\t", "a b c d e f g h", "a b c d e f g h " * 2, "x " * 30, "a b c d e f g h i j k " * 3 + "tail", "l1 a\nl1 a\n \nl1 a\r\nend",
-         "# é|| $$ \x85 w\x0bw", "A B C\n" * 50_000, " ".join(f"w{i}" for i in range(60_000)), "abcdefgh " + " ".join(map(str, range(40))), "#" * 20 + " a" * 30]
+         "# é|| $$ \x85 w\x0bw", "A B C\n" * 50_000, " ".join(f"w{i}" for i in range(60_000)), "abcdefgh " + " ".join(map(str, range(100, 140))), "#" * 20 + " a" * 30]
 
 
 def test_measures_equal_brute_force(spark):
@@ -39,7 +39,7 @@ def test_cascade_keeps_what_no_rule_rejects(spark):
     assert kept.columns == df.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [10, 11, None, None]
     for order in (quality.BASE_RULES + quality.MORE_RULES, (quality.MORE_RULES + quality.BASE_RULES)[::-1]):
-        flagged = quality._prepared(df, "text").select("row.doc_id", quality.verdict(list(order), quality._inline).alias("v")).collect()
+        flagged = quality._prepared(df, "text").select("row.doc_id", quality._with_words(lambda m, ws: quality.verdict(list(order), m)).alias("v")).collect()
         assert sorted((r.doc_id for r in flagged if r.v is None), key=str) == [10, 11, None, None]
     assert quality.keep_good(df.limit(0)).count() == 0
 
