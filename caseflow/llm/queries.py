@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, pii, quality, token_counts
+from . import bpe, exact_dedup, page_diff, pii, quality, token_counts
 from .registry import query
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -90,3 +90,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.measured(documents(spark, sf_dir), counts)
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return rows.select("doc_id", *counts, base_failed.alias("base_failed"), (~base_failed & F.col("failed_rule").isNull()).alias("kept"))
+
+
+@query("op10_page_text")
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = page_diff.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
