@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, page_diff, pii, quality, token_counts
+from . import bpe, exact_dedup, line_templates, mixing, page_diff, pii, quality, token_counts
 from .registry import query
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -96,3 +96,64 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = page_diff.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query(
+    "op3_mixing",
+    """
+    WITH RECURSIVE w AS (SELECT source, count(*) AS rows, greatest(1, CAST(round(1000 * pow(count(*), 0.5)) AS BIGINT)) AS weight FROM documents GROUP BY source),
+    t AS (SELECT *, CAST(sum(weight) OVER () AS BIGINT) AS al, greatest(1000, 10 * count(*) OVER ()) AS total, count(*) OVER () AS ns FROM w),
+    u AS (SELECT *, weight * (total - ns) // al AS whole, weight * (total - ns) % al AS rest FROM t),
+    v AS (SELECT source, rows, total, row_number() OVER (ORDER BY source IS NULL, source) AS rank,
+                 1 + whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, source IS NULL, source) <= total - ns - CAST(sum(whole) OVER () AS BIGINT) THEN 1 ELSE 0 END AS slots
+          FROM u),
+    s AS (SELECT list(slots ORDER BY rank) AS sl, max(total) AS d FROM v),
+    e(slot, had, pick) AS (
+        SELECT CAST(-1 AS BIGINT), list_transform(sl, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM s
+        UNION ALL
+        SELECT slot + 1, list_transform(had, lambda n, i: CASE WHEN i = p THEN n + 1 ELSE n END), p
+        FROM (SELECT e.slot, e.had, s.d,
+                     list_min(list_transform(sl, lambda a, i: CASE WHEN had[i] * d // a <= slot + 1 THEN ((had[i] + 1) * d + a - 1) // a * 100000 + i END)) % 100000 AS p
+              FROM e, s WHERE e.slot + 1 < s.d)),
+    sched AS (SELECT pick, slot AS in_period, had[pick] - 1 AS k FROM e WHERE slot >= 0),
+    ends AS (SELECT (rows + 15) // 16 * total // slots AS e, sum(slots) OVER (ORDER BY (rows + 15) // 16 * total // slots, slots ROWS UNBOUNDED PRECEDING) AS gone, total FROM v),
+    h AS (SELECT min(e) AS horizon FROM ends WHERE gone * 1000 >= total * 500),
+    n AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS n FROM documents),
+    b AS (SELECT n.doc_id, n.source, n // 16 AS block, n % 16 AS place, (n // 16) // slots * total + in_period AS slot
+          FROM n JOIN v ON n.source IS NOT DISTINCT FROM v.source JOIN sched ON pick = rank AND k = (n // 16) % slots)
+    SELECT doc_id, source, block, place, slot, slot < horizon AS in_mix FROM b, h
+    """,
+)
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "source"))
+    return mixed.select("row.doc_id", "source", "block", "place", "slot", "in_mix")
+
+
+LINES_SQL = r"""
+    l AS (SELECT DISTINCT rid, doc_id, line FROM (SELECT rid, doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]+([\x20\x09-\x0D]+[^\x20\x09-\x0D]+){2}')),
+    k AS (SELECT *, list_transform(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> ''),
+                                   lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tk FROM l),
+    f AS (SELECT *, len(tk) AS n, list_slice(tk, 1, 3) AS lead, count(*) OVER (PARTITION BY len(tk), list_slice(tk, 1, 3)) AS c FROM k),
+    g AS (SELECT n, lead, line, tk, count(*) AS docs FROM f WHERE c >= 10 GROUP BY ALL),
+    a AS (SELECT n, lead, line, docs, i, tk[i] AS tok FROM g, unnest(range(1, n + 1)) AS u(i)),
+    x AS (SELECT *, tok <> '<*>' AND sum(docs) OVER (PARTITION BY n, lead, i, tok) >= 10 AS fixed FROM a),
+    m AS (SELECT n, lead, line, list(CASE WHEN fixed THEN tok ELSE '<*>' END ORDER BY i) AS template FROM x GROUP BY ALL HAVING 10 * count(*) FILTER (fixed) >= 8 * n),
+    p AS (SELECT rid, doc_id, line, template FROM f JOIN m USING (n, lead, line)),
+    r AS (SELECT template, min(doc_id) AS first_id FROM p GROUP BY template HAVING count(DISTINCT doc_id) >= 10),
+    z AS (SELECT DISTINCT rid, line FROM p JOIN r USING (template) WHERE doc_id > first_id),
+    o AS (SELECT rid, generate_subscripts(string_split(t, chr(10)), 1) AS i, unnest(string_split(t, chr(10))) AS line FROM d),
+    q AS (SELECT o.rid, count(*) FILTER (regexp_matches(o.line, '[^\x20\x09-\x0D]')) AS n_lines, count(z.rid) AS n_dropped,
+                 coalesce(string_agg(o.line, chr(10) ORDER BY i) FILTER (z.rid IS NULL), '') AS kept FROM o LEFT JOIN z ON o.rid = z.rid AND o.line = z.line GROUP BY o.rid)
+"""
+
+
+@query(
+    "op8_line_dedup",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), {LINES_SQL}
+    SELECT doc_id, n_lines, n_dropped, kept AS text FROM d JOIN q USING (rid)
+    """,
+)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.drop_recurring_lines(documents(spark, sf_dir)).select("row.doc_id", "n_lines", "n_dropped", "text")
