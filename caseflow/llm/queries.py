@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_templates, mixing, page_diff, pii, quality, token_counts
+from . import bpe, exact_dedup, line_templates, mixing, ngram_join, page_diff, pii, quality, token_counts
 from .registry import query
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -157,3 +157,8 @@ LINES_SQL = r"""
 )
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.drop_recurring_lines(documents(spark, sf_dir)).select("row.doc_id", "n_lines", "n_dropped", "text")
+
+
+@query("op6_ngram_join")
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(documents(spark, sf_dir))
