@@ -28,13 +28,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _Recent
 from .common import column, cut, slices
 from .components import connected_components
+from .packed import bucket_bits, chunk_numbers, emit, from_planes, planes, rows_by_key
 
 WORDS = 5
 #: Similarity as a fraction: links have NUM / DEN or more.
@@ -103,41 +103,6 @@ def least_overlap(a: int) -> int:
 # ---------------------------------------------------------------- packed exchange
 
 
-def planes(a: np.ndarray) -> bytes:
-    """Whole numbers as byte planes, so that the shuffle's compression drops the high zero bytes."""
-    return a.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def from_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
-
-
-def _rows_by_key(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[int, Iterator[dict]]]:
-    """Runs of equal ``name`` in sorted rows, each to be read before the next."""
-    from itertools import groupby
-
-    rows = (row for batch in batches for part in range(0, batch.num_rows, 64) for row in batch.slice(part, 64).to_pylist())
-    return groupby(rows, key=lambda r: r[name])
-
-
-def _emit(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[]] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
-
-
-def _next_chunk() -> Iterator[int]:
-    task = TaskContext.get()
-    base = (task.partitionId() if task else 0) << 20
-    while True:
-        yield base
-        base += 1
-
-
-def bucket_bits(spark) -> int:
-    """Log2 of the hash buckets: as many buckets as shuffle partitions, 64 at least."""
-    return max(6, math.ceil(math.log2(int(spark.conf.get("spark.sql.shuffle.partitions")))))
-
-
 _EXCHANGE = "key long, chunk long, payload binary"
 _EXCHANGE_NAMES, _EXCHANGE_KINDS = ["key", "chunk", "payload"], [pa.int64(), pa.int64(), pa.binary()]
 
@@ -165,7 +130,7 @@ def shared_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     bits = bucket_bits(docs.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = _next_chunk()
+        chunks = chunk_numbers()
         ids: list = []
         sets: list[np.ndarray] = []
         size = 0
@@ -179,7 +144,7 @@ def shared_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             out.append((hash(chunk) % (1 << bits), chunk, pickle.dumps((list(ids), [len(s) for s in sets], local.tolist(), digests))))
             for i in range(0, len(out), 64):
-                yield _emit([(k if j < len(out) - 1 - i else -1 - k, c, p) for j, (k, c, p) in enumerate(out[i : i + 64])], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
+                yield emit([(k if j < len(out) - 1 - i else -1 - k, c, p) for j, (k, c, p) in enumerate(out[i : i + 64])], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
 
         for whole in batches:
             for batch in slices(whole, "text", 8 << 20):
@@ -195,10 +160,10 @@ def shared_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield from flush()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, group in _rows_by_key(batches, "key"):
+        for key, group in rows_by_key(batches, "key"):
             if key < 0:  # a chunk's own row passes through
                 for r in group:
-                    yield _emit([(1, r["chunk"], r["payload"])], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
+                    yield emit([(1, r["chunk"], r["payload"])], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
                 continue
             chunks, parts, tags, sizes = [], [], [], []
             for r in group:
@@ -219,10 +184,10 @@ def shared_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for c in np.unique(owner):
                 mine = owner == c
                 payload = pickle.dumps((planes(pair[mine] & _MULTI), planes(n[mine])))
-                yield _emit([(0, chunks[c], payload)], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
+                yield emit([(0, chunks[c], payload)], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, group in _rows_by_key(batches, "chunk"):
+        for _, group in rows_by_key(batches, "chunk"):
             hits: list[tuple[np.ndarray, np.ndarray]] = []
             for r in group:  # answers first, then the chunk's own row
                 if r["key"] == 0:
@@ -263,13 +228,13 @@ def packed_nodes(docs: DataFrame, candidates: DataFrame, id_col: str, text_col:
             for batch in slices(whole, "text", 8 << 20):
                 out = [(i, shingler().set_of(t)) for i, t in zip(column(batch, "id").to_pylist(), column(batch, "text").to_pylist())]
                 out = [(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), i, s.tobytes()) for i, s in out if len(s)]
-                yield _emit(out, ["digest", "id", "members"], [pa.binary(), pa.int64(), pa.binary()])
+                yield emit(out, ["digest", "id", "members"], [pa.binary(), pa.int64(), pa.binary()])
 
     # Copies are combined before and after the shuffle: the set is part of the grouping key, equal digests alone do not merge.
     nodes = rows.mapInArrow(sets, "digest binary, id long, members binary").groupBy("digest", "members").agg(F.min("id").alias("id"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = _next_chunk()
+        chunks = chunk_numbers()
         held: list[tuple] = []
         size = 0
         for batch in batches:
@@ -277,10 +242,10 @@ def packed_nodes(docs: DataFrame, candidates: DataFrame, id_col: str, text_col:
                 held.append((r["digest"], r["id"], r["members"]))
                 size += len(r["members"]) // 8 + 16
                 if size >= CHUNK:
-                    yield _emit([(next(chunks), pickle.dumps(held))], ["chunk", "payload"], [pa.int64(), pa.binary()])
+                    yield emit([(next(chunks), pickle.dumps(held))], ["chunk", "payload"], [pa.int64(), pa.binary()])
                     held, size = [], 0
         if held:
-            yield _emit([(next(chunks), pickle.dumps(held))], ["chunk", "payload"], [pa.int64(), pa.binary()])
+            yield emit([(next(chunks), pickle.dumps(held))], ["chunk", "payload"], [pa.int64(), pa.binary()])
 
     return cut(nodes.select("digest", "id", "members").mapInArrow(pack, _NODES), "nodes")
 
@@ -294,7 +259,7 @@ def node_rows(nodes: DataFrame) -> DataFrame:
                 held = pickle.loads(r["payload"])
                 for at in range(0, len(held), 256):
                     out = [(r["chunk"] << 21 | (at + j), *x) for j, x in enumerate(held[at : at + 256])]
-                    yield _emit(out, ["node", "digest", "id", "members"], [pa.int64(), pa.binary(), pa.int64(), pa.binary()])
+                    yield emit(out, ["node", "digest", "id", "members"], [pa.int64(), pa.binary(), pa.int64(), pa.binary()])
 
     return nodes.mapInArrow(run, "node long, digest binary, id long, members binary")
 
@@ -309,11 +274,11 @@ def rare_prefixes(nodes: DataFrame) -> DataFrame:
                 sets = [np.frombuffer(m, np.uint64) for _, _, m in pickle.loads(r["payload"])]
                 _, _, _, out = _send(r["chunk"], sets, bits, False)
                 for i in range(0, len(out), 64):
-                    yield _emit(out[i : i + 64], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
+                    yield emit(out[i : i + 64], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Number of nodes that have each shingle, back to each chunk in the order it asked."""
-        for key, group in _rows_by_key(batches, "key"):
+        for key, group in rows_by_key(batches, "key"):
             chunks, parts, counts = [], [], []
             for r in group:
                 deltas, n = pickle.loads(r["payload"])
@@ -324,11 +289,11 @@ def rare_prefixes(nodes: DataFrame) -> DataFrame:
             total = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)[place]
             at = 0
             for chunk, part in zip(chunks, parts):
-                yield _emit([(key, chunk, planes(total[at : at + len(part)]))], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
+                yield emit([(key, chunk, planes(total[at : at + len(part)]))], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
                 at += len(part)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, group in _rows_by_key(batches, "chunk"):
+        for chunk, group in rows_by_key(batches, "chunk"):
             answers = []
             for r in group:  # answers by bucket, then the chunk itself
                 if r["key"] < 1 << bits:
@@ -486,16 +451,16 @@ def _small_groups(members: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        for _, group in _rows_by_key(batches, "comp"):
+        for _, group in rows_by_key(batches, "comp"):
             rows = [(r["node"], np.frombuffer(r["members"], np.uint64)) for r in group]
             for (node, _), root in zip(rows, link_group([s for _, s in rows])):
                 if node != rows[root][0]:
                     out.append((node, rows[root][0]))
             if len(out) > 4096:
-                yield _emit(out, ["a", "b"], [pa.int64(), pa.int64()])
+                yield emit(out, ["a", "b"], [pa.int64(), pa.int64()])
                 out = []
         if out:
-            yield _emit(out, ["a", "b"], [pa.int64(), pa.int64()])
+            yield emit(out, ["a", "b"], [pa.int64(), pa.int64()])
 
     return members.repartition("comp").sortWithinPartitions("comp", "node").mapInArrow(run, "a long, b long")
 
@@ -511,7 +476,7 @@ def _search_blocks(index: DataFrame, queries: DataFrame) -> DataFrame:
     rows = rows.withColumn("place", F.concat_ws(":", "comp", "block"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, group in _rows_by_key(batches, "place"):
+        for _, group in rows_by_key(batches, "place"):
             nodes, sets, lists = [], [], None
             out: list[tuple] = []
             for r in group:
@@ -523,10 +488,10 @@ def _search_blocks(index: DataFrame, queries: DataFrame) -> DataFrame:
                 lists = lists or ListIndex(sets)
                 out += [(r["node"], nodes[j]) for j, _ in lists.search(s) if nodes[j] != r["node"]]
                 if len(out) > 4096:
-                    yield _emit(out, ["a", "b"], [pa.int64(), pa.int64()])
+                    yield emit(out, ["a", "b"], [pa.int64(), pa.int64()])
                     out = []
             if out:
-                yield _emit(out, ["a", "b"], [pa.int64(), pa.int64()])
+                yield emit(out, ["a", "b"], [pa.int64(), pa.int64()])
 
     return rows.repartition("comp", "block").sortWithinPartitions("place", "kind").mapInArrow(run, "a long, b long")
 

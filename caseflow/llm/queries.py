@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_templates, mixing, ngram_join, page_diff, pii, quality, token_counts
+from . import bpe, exact_dedup, line_templates, mixing, ngram_join, page_diff, pii, quality, suffix_tree, token_counts
 from .registry import query
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -162,3 +162,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_ngram_join")
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(documents(spark, sf_dir))
+
+
+@query("op4_lm_scoring")
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(documents(spark, sf_dir))
