@@ -12,13 +12,8 @@ no join and no shuffle, whatever the number of cases.
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from dataclasses import dataclass, field
 
-import numpy as np
-import pandas as pd
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,9 +106,11 @@ def fit_tfidf(docs: DataFrame, text: str = "text", key: str = "doc_id", min_df:
     """M3 fit + A5: terms with df >= min_df, the max_terms with the highest corpus
     frequency (ties by term), idf = ln((1+n)/(1+df)) + 1; returned alphabetically."""
     n = docs.count()
-    tf = docs.select(key, F.explode(text_tokens(F.col(text))).alias("term")).groupBy(key, "term").agg(
-        F.count(F.lit(1)).alias("tf"))
-    st = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ctf")).where(F.col("df") >= min_df)
+    # one row for each token and one for each distinct token of a document: only the vocabulary is shuffled
+    tokens = text_tokens(F.col(text))
+    one = lambda arr, c, d: F.transform(arr, lambda t: F.struct(t.alias("term"), F.lit(c).alias("c"), F.lit(d).alias("d")))
+    marks = docs.select(F.explode(F.transform(F.array(tokens), lambda a: F.concat(one(a, 1, 0), one(F.array_distinct(a), 0, 1)))[0]).alias("m"))
+    st = marks.groupBy("m.term").agg(F.sum("m.d").alias("df"), F.sum("m.c").alias("ctf")).where(F.col("df") >= min_df)
     top = st.orderBy(F.desc("ctf"), "term").limit(max_terms).collect()  # at most max_terms rows
     top = sorted(top, key=lambda r: r["term"])
     return [r["term"] for r in top], [math.log((1 + n) / (1 + r["df"])) + 1.0 for r in top]
@@ -122,40 +119,55 @@ def fit_tfidf(docs: DataFrame, text: str = "text", key: str = "doc_id", min_df:
 def tfidf_vector(text: Column, terms: list[str], idf: list[float]) -> Column:
     """M3 transform: raw counts x idf, L2-normalised (all zeros stay zeros).
 
-    A vectorised (Arrow) UDF: per batch, each text is tokenised once by the
-    regex engine and only the fitted terms (at most ``TFIDF_TERMS``) are
-    looked up — a narrow map with no shuffle, whatever the text length.
+    Array expressions on the row: the text is tokenised once, tokens outside the fitted terms (at most ``TFIDF_TERMS``)
+    are dropped, and what is left is counted for each term; no shuffle and no Python.
     """
     if not terms:
         return F.array().cast("array<double>")
-    index = {t: i for i, t in enumerate(terms)}
-    weights = np.asarray(idf, dtype=np.float64)
-    width = len(terms)
-
-    @F.pandas_udf("array<double>")
-    def _tfidf(texts: pd.Series) -> pd.Series:
-        pat = re.compile(TOKEN_PATTERN)
-        out = []
-        for txt in texts:
-            v = np.zeros(width)
-            if isinstance(txt, str):
-                counts = Counter(pat.findall(txt))
-                for t, j in index.items():
-                    v[j] = counts.get(t, 0)
-            v *= weights
-            nrm = np.sqrt((v * v).sum())
-            out.append(v / nrm if nrm > 0 else v)
-        return pd.Series(out)
-
-    return _tfidf(text)
+    known = _lit_array(terms)
+    weights = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(float(w)).alias("w")) for t, w in zip(terms, idf)])
+    tokens = F.filter(text_tokens(F.coalesce(text, F.lit(""))), lambda t: F.array_contains(known, t))
+    counted = lambda ts: F.transform(weights, lambda k: F.size(F.filter(ts, lambda t: t == k["t"])) * k["w"])
+    norm = lambda xs: F.sqrt(F.aggregate(xs, F.lit(0.0), lambda a, x: a + x * x))
+    unit = lambda xs, n: F.transform(xs, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)))
+    # each array is bound once: tokens, weighted counts, their norm
+    return F.transform(F.array(tokens), lambda ts: F.transform(F.array(counted(ts)), lambda xs: F.transform(F.array(norm(xs)), lambda n: unit(xs, n))[0])[0])[0]
+
+
+MEDIAN_BUCKETS = 1024
+
+
+def exact_median(df: DataFrame, col: str) -> float | None:
+    """Interpolated median of the finite values; None when there are none.
+
+    Each pass counts the values between two bounds in MEDIAN_BUCKETS equal buckets and goes on inside the bucket of the
+    middle: sums over the data, whatever its size, and no task sees the distinct values of another.
+    """
+    x = F.col(col).cast("double")
+    values = df.where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))).select(x.alias("x"))
+    n, lo, hi = values.agg(F.count("*"), F.min("x"), F.max("x")).first()
+    if not n:
+        return None
+    low, high, before = (n - 1) // 2, n // 2, 0
+    while lo < hi:
+        bucket = F.least(F.lit(MEDIAN_BUCKETS - 1), F.floor((F.col("x") - lo) / (hi - lo) * MEDIAN_BUCKETS))
+        rows = values.where(F.col("x").between(lo, hi)).groupBy(bucket.alias("b")).agg(F.count("*").alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        ends = []  # of the buckets that hold the two middle ranks
+        at = before
+        for r in sorted(rows.collect()):  # at most MEDIAN_BUCKETS rows
+            ends += [(r, at) for rank in (low, high) if at <= rank < at + r["c"]]
+            at += r["c"]
+        (a, start), (b, _) = ends
+        if a["b"] != b["b"]:  # the last value of one bucket and the first of the next
+            return (a["hi"] + b["lo"]) / 2
+        lo, hi, before = a["lo"], a["hi"], start
+    return float(lo)
 
 
 def medians(df: DataFrame) -> tuple[float, float]:
-    """A4: interpolated medians of age and weight; 50 / 70 when there is none."""
-    r = df.agg(F.percentile("age_years", 0.5).alias("a"), F.percentile("weight_kg", 0.5).alias("w")).first()
-    a = r["a"] if r["a"] is not None and math.isfinite(r["a"]) else AGE_DEFAULT
-    w = r["w"] if r["w"] is not None and math.isfinite(r["w"]) else WEIGHT_DEFAULT
-    return float(a), float(w)
+    """A4: medians of age and weight; 50 / 70 when there is none."""
+    age, weight = exact_median(df, "age_years"), exact_median(df, "weight_kg")
+    return AGE_DEFAULT if age is None else age, WEIGHT_DEFAULT if weight is None else weight
 
 
 def fit_features(train: DataFrame, top_drugs: int = TOP_DRUGS, top_indi: int = TOP_INDICATIONS,
@@ -184,10 +196,11 @@ def demographics(model: FeatureModel) -> list[Column]:
 
 
 def multi_hot(arr: Column, vocab: list[str]) -> Column:
-    """M2: one flag per vocabulary term."""
-    toks = norm_terms(arr)
-    return F.array(*[F.array_contains(toks, F.lit(t)).cast("double") for t in vocab]) if vocab else \
-        F.array().cast("array<double>")
+    """M2: one flag per vocabulary term; the terms are normalised once a row."""
+    if not vocab:
+        return F.array().cast("array<double>")
+    flags = lambda toks: F.transform(_lit_array(vocab), lambda t: F.array_contains(toks, t).cast("double"))
+    return F.transform(F.array(norm_terms(arr)), flags)[0]
 
 
 def transform_features(df: DataFrame, model: FeatureModel, out: str = "features") -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .report import dimension
+
 # Reaction terms that are not adverse drug reactions and are
 # never used as labels.
 NON_ADR_LABELS = [
@@ -77,9 +79,10 @@ def label_vocab(cases: DataFrame, min_freq: int = MIN_REACTION_FREQ, exclusions:
 
 
 def label_pairs(cases: DataFrame, vocab: DataFrame, key: str = "primaryid", col: str = "reactions") -> DataFrame:
-    """M5 / J9 (long form): (key, label_id, label) for every valid label of a case."""
+    """M5 / J9 (long form): (key, label_id, label) for every valid label of a case.  A vocabulary of checked size is
+    broadcast, so a label of a third of all cases is no join key."""
     ex = cases.select(key, F.explode(col).alias("label"))
-    return ex.join(vocab.select("label", "label_id"), "label", "inner").select(key, "label_id", "label")
+    return ex.join(dimension(vocab.select("label", "label_id")), "label", "inner").select(key, "label_id", "label")
 
 
 def label_cases(cases: DataFrame, vocab: DataFrame, key: str = "primaryid", col: str = "reactions") -> DataFrame:

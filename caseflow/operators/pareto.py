@@ -1,170 +1,38 @@
 """Pareto analysis for two maximised objectives.
 
-Fronts are peeled one at a time: the non-dominated points of what remains
-form the next front (a theta self-join per front).  The point sets are
-populations — bounded by the configured population size — so the theta
-join runs as a broadcast nested-loop join.  Crowding distance is a window
-per front.
+Point sets are populations: bounded by configuration, which is checked (``MAX_POINTS``).  A checked set is placed in one
+small task by the sweep that the searches use (``step.layers``); crowding distance is a window per front.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import step as ST
 
-def dominates(p: str, q: str, objs: tuple[str, ...]) -> Column:
-    """p dominates q: >= on every objective and > on at least one (maximisation)."""
-    ge = None
-    gt = None
-    for o in objs:
-        a, b = F.col(f"{p}.{o}"), F.col(f"{q}.{o}")
-        ge = (a >= b) if ge is None else (ge & (a >= b))
-        gt = (a > b) if gt is None else (gt | (a > b))
-    return ge & gt
-
-
-def dominance_pairs(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
-    """Every (dominating, dominated) pair."""
-    p = points.select(key, *objs).alias("p")
-    q = points.select(key, *objs).alias("q")
-    return p.join(F.broadcast(q), dominates("p", "q", objs), "inner").select(
-        F.col(f"p.{key}").alias("dominating"), F.col(f"q.{key}").alias("dominated"))
-
+MAX_POINTS = 20_000
 
-def nondominated(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
-    """Points no other point dominates (equal points do not dominate each other):
-    one anti-join against the broadcast point set (a population)."""
-    p = points.alias("p")
-    q = points.select(key, *objs).alias("q")
-    return p.join(F.broadcast(q), dominates("q", "p", objs), "left_anti").select("p.*")
 
+def pareto_rank(points: DataFrame, key: str = "ind", objs: tuple[str, str] = ("o1", "o2")) -> DataFrame:
+    """W6 + J12: add ``front`` (0 = non-dominated) and ``n_dominators`` to a population.
 
-ROWS_PER_PARTITION = 50_000
-
-
-def layers_2d(o1: np.ndarray, o2: np.ndarray) -> np.ndarray:
-    """Front index of every point (two maximised objectives) by one sweep.
-
-    Points are visited by o1 descending, then o2 descending, so every
-    dominator of a point is visited before it.  A point's front is the first
-    layer holding none of its dominators (layers holding one are a prefix).
-    ``best[k]`` is the largest o2 in layer k among points with a strictly
-    larger o1 (those dominate when their o2 is >=); points with an equal o1
-    dominate only with a strictly larger o2, tracked per group.
-    """
-    n = len(o1)
-    order = np.lexsort((-o2, -o1))
-    front = np.empty(n, dtype=np.int64)
-    best: list[float] = []
-    i = 0
-    while i < n:
-        j = i
-        while j < n and o1[order[j]] == o1[order[i]]:
-            j += 1
-        group: dict[int, float] = {}
-        for p in order[i:j]:
-            k = 0
-            while (k < len(best) and best[k] >= o2[p]) or group.get(k, -np.inf) > o2[p]:
-                k += 1
-            front[p] = k
-            group[k] = max(group.get(k, -np.inf), o2[p])
-        for k in sorted(group):
-            if k < len(best):
-                best[k] = max(best[k], group[k])
-            else:
-                best.append(group[k])
-        i = j
-    return front
-
-
-def pareto_rank(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
-    """Add ``front`` (0 = non-dominated) in one job.
-
-    The point set is a population (bounded by configuration), broadcast to
-    every task exactly as the peel's anti-join would broadcast it; each task
-    places its own rows with one sweep over the broadcast copy.
+    Over MAX_POINTS points raise: that is no population any more.
     """
-    import pandas as pd
-
-    if len(objs) != 2:
-        return pareto_rank_peel(points, key, objs)
-    spark = points.sparkSession
-    rows = points.select(key, *objs).collect()  # the population: bounded by configuration
-    ids = [r[0] for r in rows]
-    a1 = np.array([r[1] for r in rows], dtype=np.float64)
-    a2 = np.array([r[2] for r in rows], dtype=np.float64)
-    bc = spark.sparkContext.broadcast((ids, a1, a2))
+    if points.limit(MAX_POINTS + 1).count() > MAX_POINTS:
+        raise ValueError(f"over {MAX_POINTS} points: Pareto layering is for populations")
 
     def run(batches):
-        ids_, x1, x2 = bc.value
-        where = {v: i for i, v in enumerate(ids_)}
-        fr = layers_2d(x1, x2)
-        for pdf in batches:
-            yield pd.DataFrame({key: pdf[key], "front": [int(fr[where[v]]) for v in pdf[key]]})
-
-    schema = T.StructType([points.schema[key], T.StructField("front", T.IntegerType())])
-    table = points.select(key).mapInPandas(run, schema)
-    return points.join(table, key, "inner")
-
-
-def dominator_counts(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
-    """J12 as counts: (key, n_dominators) without emitting dominance pairs — each
-    task counts, for its own rows, the points of the broadcast population that
-    are >= on every objective and > on one."""
-    import pandas as pd
+        whole = pd.concat(list(batches), ignore_index=True)
+        at = whole[list(objs)].to_numpy(dtype=np.float64)
+        beaten = [int(((at >= p).all(1) & (at > p).any(1)).sum()) for p in at]
+        yield whole.assign(front=ST.layers(at).astype(np.int32), n_dominators=np.array(beaten, dtype=np.int64))
 
-    spark = points.sparkSession
-    rows = points.select(key, *objs).collect()  # the population: bounded by configuration
-    ids = [r[0] for r in rows]
-    mat = np.array([[float(v) for v in r[1:]] for r in rows], dtype=np.float64).reshape(len(rows), len(objs))
-    bc = spark.sparkContext.broadcast((ids, mat))
-
-    def run(batches):
-        ids_, m = bc.value
-        where = {v: i for i, v in enumerate(ids_)}
-        for pdf in batches:
-            out = []
-            for v in pdf[key]:
-                p = m[where[v]]
-                ge = (m >= p).all(1)
-                gt = (m > p).any(1)
-                out.append(int((ge & gt).sum()))
-            yield pd.DataFrame({key: pdf[key], "n_dominators": out})
-
-    schema = T.StructType([points.schema[key], T.StructField("n_dominators", T.LongType())])
-    return points.select(key).mapInPandas(run, schema)
-
-
-def pareto_rank_peel(points: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
-    """W6 for any number of objectives: one peel (one job) per front.
-
-    Each peel is one job over a plan of constant size: the points still
-    unassigned are the cached point set minus the ids already placed (a
-    literal list bounded by the population size), so no lineage builds up.
-    """
-    spark = points.sparkSession
-    n_left = points.count()
-    # partitions sized by volume (~50k points each): a small set needs few tasks per peel
-    pts = points.select(key, *objs).repartition(max(1, -(-n_left // ROWS_PER_PARTITION)), key).cache()
-    pts.count()
-    placed: list = []
-    fronts: list[tuple] = []
-    front = 0
-    while n_left > 0:
-        rem = pts.where(~F.col(key).isin(placed)) if placed else pts
-        ids = [r[0] for r in nondominated(rem, key, objs).select(key).collect()]  # one front: population-bounded
-        if not ids:  # cannot happen for a strict partial order; guards the loop
-            break
-        fronts.extend((i, front) for i in ids)
-        placed.extend(ids)
-        n_left -= len(ids)
-        front += 1
-    pts.unpersist()
-    table = spark.createDataFrame(fronts, T.StructType([points.schema[key], T.StructField("front", T.IntegerType())]))
-    return points.join(table, key, "inner")
+    schema = T.StructType([*points.schema.fields, T.StructField("front", T.IntegerType()), T.StructField("n_dominators", T.LongType())])
+    return points.coalesce(1).mapInPandas(run, schema)
 
 
 def crowding(ranked: DataFrame, key: str = "ind", objs: tuple[str, ...] = ("o1", "o2"), front: str = "front") -> DataFrame:
@@ -190,42 +58,6 @@ def survivors(ranked_crowded: DataFrame, n: int, key: str = "ind") -> DataFrame:
 
 
 def front_stats(ranked: DataFrame, objs: tuple[str, ...] = ("o1", "o2")) -> DataFrame:
-    """A19 (front form): size of front 0 and the maximum of each objective over all points."""
+    """A19 (front form): size of front 0, maximum and mean of each objective over all points."""
     return ranked.agg(F.sum((F.col("front") == 0).cast("long")).alias("front0_size"),
-                      *[F.max(o).alias(f"max_{o}") for o in objs])
-
-
-# --- small-array forms used by the NSGA-II driver loop (population-sized) ---
-def fronts_np(objs: np.ndarray) -> np.ndarray:
-    """Front index per row of an (n, 2) array, by repeated peeling."""
-    n = len(objs)
-    front = np.full(n, -1)
-    left = np.arange(n)
-    f = 0
-    while len(left):
-        o = objs[left]
-        ge = (o[:, None, :] >= o[None, :, :]).all(-1)
-        gt = (o[:, None, :] > o[None, :, :]).any(-1)
-        dom = ge & gt  # dom[i, j]: i dominates j
-        nd = ~dom.any(0)
-        front[left[nd]] = f
-        left = left[~nd]
-        f += 1
-    return front
-
-
-def crowding_np(objs: np.ndarray, members: np.ndarray) -> np.ndarray:
-    """Crowding distance for the rows ``members`` of ``objs`` (ties by row index)."""
-    d = np.zeros(len(members))
-    if len(members) == 0:
-        return d
-    for m in range(objs.shape[1]):
-        order = np.lexsort((members, objs[members, m]))
-        d[order[0]] = d[order[-1]] = np.inf
-        lo, hi = objs[members[order[0]], m], objs[members[order[-1]], m]
-        span = hi - lo
-        if span <= 0:
-            continue
-        for k in range(1, len(members) - 1):
-            d[order[k]] += (objs[members[order[k + 1]], m] - objs[members[order[k - 1]], m]) / span
-    return d
+                      *[f(o).alias(f"{name}_{o}") for o in objs for name, f in (("max", F.max), ("mean", F.avg))])

@@ -17,6 +17,15 @@ SEX_WORDS = {"M": "sex male", "F": "sex female"}
 UNKNOWN = "unknown"
 
 
+# Rows of a dimension table that is broadcast.
+MAX_DIMENSION = 100_000
+
+
+def dimension(table: DataFrame) -> DataFrame:
+    """The table marked for broadcast if it has MAX_DIMENSION rows at most, else as it is."""
+    return F.broadcast(table) if table.limit(MAX_DIMENSION + 1).count() <= MAX_DIMENSION else table
+
+
 def _clean(s: Column, max_chars: int) -> Column:
     txt = X.strip_ws(F.replace(s, F.lit("|"), F.lit(", ")))
     blank = s.isNull() | (F.length(X.strip_ws(s)) == 0)
@@ -35,9 +44,9 @@ def patient_text(age: Column, sex: Column, weight: Column, drugs: Column, other:
 
 def translate(df: DataFrame, col: str, table: DataFrame, src: str = "effect", dst: str = "effect_local",
               out: str | None = None) -> DataFrame:
-    """Dictionary translation with fallback to the original (the table is
-    a dimension of distinct terms, joined; AQE broadcasts it when small)."""
-    t = table.select(F.col(src).alias("_src"), F.col(dst).alias("_dst"))
+    """Dictionary translation with fallback to the original.  A dictionary of up to MAX_DIMENSION terms is broadcast,
+    so the rows are not shuffled by their (often very common) terms; a larger one is joined by them."""
+    t = dimension(table.select(F.col(src).alias("_src"), F.col(dst).alias("_dst")))
     j = df.join(t, df[col] == t["_src"], "left")
     return j.withColumn(out or col, F.coalesce(F.col("_dst"), F.col(col))).drop("_src", "_dst")
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,15 +37,11 @@ class NetShape:
         c = b + self.h * self.o
         return [("W1", 0, a), ("b1", a, self.h), ("W2", b, self.h * self.o), ("b2", c, self.o)]
 
-    def unpack(self, g: np.ndarray):
-        g = np.asarray(g, dtype=np.float64)
-        d, h, o = self.d, self.h, self.o
-        i = 0
-        w1 = g[i:i + d * h].reshape(d, h); i += d * h
-        b1 = g[i:i + h]; i += h
-        w2 = g[i:i + h * o].reshape(h, o); i += h * o
-        b2 = g[i:i + o]
-        return w1, b1, w2, b2
+    def unpack(self, genome: np.ndarray) -> list[np.ndarray]:
+        """The blocks as arrays, in genome order; weight blocks as matrices."""
+        width = {"W1": (self.d, self.h), "W2": (self.h, self.o)}
+        genes = np.asarray(genome, dtype=np.float64)
+        return [genes[at:at + count].reshape(width.get(name, count)) for name, at, count in self.segments()]
 
 
 def forward(x: np.ndarray, genome: np.ndarray, shape: NetShape) -> np.ndarray:
@@ -57,12 +52,6 @@ def forward(x: np.ndarray, genome: np.ndarray, shape: NetShape) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-z))
 
 
-def _matrix(series: pd.Series, d: int) -> np.ndarray:
-    if len(series) == 0:
-        return np.zeros((0, d))
-    return np.stack([np.asarray(v, dtype=np.float64) for v in series.to_numpy()])
-
-
 def score(df: DataFrame, genome, shape: NetShape, features: str = "features", keep: list[str] | None = None,
           out: str = "probs") -> DataFrame:
     """M6: add ``out`` = probability array (length o) for every row of ``df``."""
@@ -71,13 +60,16 @@ def score(df: DataFrame, genome, shape: NetShape, features: str = "features", ke
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(out, T.ArrayType(T.DoubleType()))])
 
     def run(batches):
-        for pdf in batches:
-            probs = forward(_matrix(pdf[features], shape.d), g, shape)
-            res = pdf[keep].copy()
-            res[out] = list(probs)
-            yield res
+        import pyarrow as pa
+
+        for rb in batches:
+            flat = rb.column(len(keep)).flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+            probs = forward(flat.reshape(rb.num_rows, shape.d), g, shape)
+            ends = pa.array(np.arange(rb.num_rows + 1, dtype=np.int32) * shape.o)
+            yield pa.RecordBatch.from_arrays([*rb.columns[:len(keep)], pa.ListArray.from_arrays(ends, pa.array(probs.ravel()))],
+                                             names=[*keep, out])
 
-    return df.select(*keep, features).mapInPandas(run, schema)
+    return df.select(*keep, features).mapInArrow(run, schema)
 
 
 def long_probs(scored: DataFrame, key: str, probs: str = "probs") -> DataFrame:

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import calibrate as CAL
-from .evolve import _dense_y
+from . import step as ST
+from .evolve import _dense_y, fitness_np
+from .sums import array_total, collected_total
 
 # Binary search configuration.
 POP = 40
@@ -29,39 +31,45 @@ RIDGE_ALPHA = 5.0
 SEED = 42
 
 
-def gram_parts(data: DataFrame, k: int, n_labels: int, features: str = "features", labels: str = "labels") -> DataFrame:
-    """Long (block, i, j, value) sums of XᵀX (block 'xx') and XᵀY (block 'xy')."""
+def _blocks(pdf: pd.DataFrame, features: str, labels: str, n_labels: int, rows: int = 1024):
+    """(X, Y) of a batch in blocks of rows, which bounds what a block of scores for many masks takes."""
+    for at in range(0, len(pdf), rows):
+        part = pdf.iloc[at:at + rows]
+        x = np.stack([np.asarray(v, dtype=np.float64) for v in part[features].to_numpy()])
+        yield x, _dense_y(part[labels], len(part), n_labels)
+
+
+def gram_total(data: DataFrame, k: int, n_labels: int, features: str = "features", labels: str = "labels") -> DataFrame:
+    """One row ``acc`` with XᵀX, XᵀY, the column sums of X and the row count, end to end."""
 
     def run(batches):
-        xx = np.zeros((k, k))
-        xy = np.zeros((k, n_labels))
+        xx, xy, sx, n = np.zeros((k, k)), np.zeros((k, n_labels)), np.zeros(k), 0
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[features].to_numpy()])
-            y = _dense_y(pdf[labels], len(pdf), n_labels).astype(np.float64)
-            xx += x.T @ x
-            xy += x.T @ y
-        ii, jj = np.meshgrid(np.arange(k), np.arange(k), indexing="ij")
-        a = pd.DataFrame({"block": "xx", "i": ii.ravel(), "j": jj.ravel(), "value": xx.ravel()})
-        ii, jj = np.meshgrid(np.arange(k), np.arange(n_labels), indexing="ij")
-        b = pd.DataFrame({"block": "xy", "i": ii.ravel(), "j": jj.ravel(), "value": xy.ravel()})
-        yield pd.concat([a, b], ignore_index=True)
-
-    part = data.select(features, labels).mapInPandas(run, "block string, i int, j int, value double")
-    return part.groupBy("block", "i", "j").agg(F.sum("value").alias("value"))
+            for x, y in _blocks(pdf, features, labels, n_labels):
+                xx += x.T @ x
+                xy += x.T @ y
+                sx += x.sum(0)
+                n += len(x)
+        if n:
+            yield pd.DataFrame({"acc": [np.concatenate([xx.ravel(), xy.ravel(), sx, [n]]).tolist()]})
+
+    return array_total(data.select(features, labels).mapInPandas(run, "acc array<double>"), k * k + k * n_labels + k + 1)
+
+
+def gram_parts(data: DataFrame, k: int, n_labels: int, features: str = "features", labels: str = "labels") -> DataFrame:
+    """Long (block, i, j, value) sums of XᵀX (block 'xx') and XᵀY (block 'xy')."""
+    cell = gram_total(data, k, n_labels, features, labels).select(F.posexplode("acc").alias("at", "value")).where(F.col("at") < k * (k + n_labels))
+    inside = F.col("at") < k * k
+    at, width = F.when(inside, F.col("at")).otherwise(F.col("at") - k * k), F.when(inside, k).otherwise(n_labels)
+    return cell.select(F.when(inside, "xx").otherwise("xy").alias("block"), F.floor(at / width).cast("int").alias("i"),
+                       (at % width).cast("int").alias("j"), "value")
 
 
 def gram_arrays(data: DataFrame, k: int, n_labels: int, features: str = "features", labels: str = "labels"):
-    """(XᵀX, XᵀY) as numpy arrays (k x k and k x L: bounded by the feature width)."""
-    pdf = gram_parts(data, k, n_labels, features, labels).toPandas()
-    xx = np.zeros((k, k))
-    xy = np.zeros((k, n_labels))
-    a = pdf[pdf["block"] == "xx"]
-    b = pdf[pdf["block"] == "xy"]
-    xx[a["i"].to_numpy(), a["j"].to_numpy()] = a["value"].to_numpy()
-    xy[b["i"].to_numpy(), b["j"].to_numpy()] = b["value"].to_numpy()
-    return xx, xy
+    """(XᵀX, XᵀY, column sums, rows) as arrays: bounded by the feature width."""
+    acc = np.asarray(gram_total(data, k, n_labels, features, labels).first()["acc"])
+    xx, xy, sx, n = np.split(acc, np.cumsum([k * k, k * n_labels, k]))
+    return xx.reshape(k, k), xy.reshape(k, n_labels), sx, int(n[0])
 
 
 def ridge_weights(xx: np.ndarray, xy: np.ndarray, cols: np.ndarray | None = None, alpha: float = RIDGE_ALPHA) -> np.ndarray:
@@ -87,129 +95,74 @@ def zscore(scores: DataFrame, label: str = "label_id", s: str = "score", out: st
         out, (F.col(s) - F.col("_m")) / (F.col("_sd") + F.lit(1e-9))).drop("_m", "_sd")
 
 
-def mask_fitness(val: DataFrame, masks: np.ndarray, xx: np.ndarray, xy: np.ndarray, n_labels: int,
-                 grid: list[float] = CAL.FIT_GRID, alpha: float = RIDGE_ALPHA, parsimony: float = PARSIMONY,
-                 features: str = "features", labels: str = "labels") -> tuple[np.ndarray, np.ndarray]:
+def mask_fitness(val: DataFrame, masks: np.ndarray, train_gram, val_gram, n_labels: int, grid: list[float] = CAL.FIT_GRID,
+                 alpha: float = RIDGE_ALPHA, parsimony: float = PARSIMONY, features: str = "features",
+                 labels: str = "labels") -> tuple[np.ndarray, np.ndarray]:
     """(fitness, f1) for every mask in one pass over the validation rows.
 
-    Per mask: ridge weights from the Gram submatrix; validation scores are
-    z-scored per label (A22), squashed by a sigmoid and calibrated on the
-    coarse grid (mean best F1); fitness = F1 - parsimony x fraction of
-    features used; an empty mask scores 0.
+    A mask's weights come from the training Gram submatrix.  Its scores' mean and deviation per label (A22) follow from
+    the validation Gram matrix, w·mean(x) and wᵀ(XᵀX / n)w, so no pass is needed for them; the pass counts z-scored,
+    squashed scores by label and grid bucket.  Fitness is the mean best F1 less ``parsimony`` times the share of features
+    used; an empty mask scores 0.
     """
-    m = masks.shape[0]
-    weights = []
-    for r in range(m):
-        cols = np.nonzero(masks[r])[0]
-        w = np.zeros((xx.shape[0], n_labels))
+    k = masks.shape[1]
+    weights = np.zeros((len(masks), k, n_labels))
+    for w, mask in zip(weights, masks):
+        cols = np.flatnonzero(mask)
         if len(cols):
-            w[cols] = ridge_weights(xx, xy, cols, alpha)
-        weights.append(w)
-    W = np.stack(weights)  # m x k x L (bounded by population and feature width)
-    sc = val.sparkSession.sparkContext
-    bw = sc.broadcast(W)
-    data = val.select(features, labels)
-
-    def moments(batches):
-        # pass 1: per task (count, mean, M2) of every mask's scores per label
-        n = 0
-        mean = np.zeros((m, n_labels))
-        m2 = np.zeros((m, n_labels))
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[features].to_numpy()])
-            s = np.einsum("nk,mkl->mnl", x, bw.value)
-            nb, bm = len(pdf), s.mean(1)
-            bm2 = ((s - bm[:, None, :]) ** 2).sum(1)
-            delta = bm - mean
-            tot = n + nb
-            mean = mean + delta * nb / tot
-            m2 = m2 + bm2 + delta ** 2 * n * nb / tot
-            n = tot
-        if n:
-            yield pd.DataFrame({"n": [n], "mean": [mean.ravel().tolist()], "m2": [m2.ravel().tolist()]})
-
-    parts = data.mapInPandas(moments, "n long, mean array<double>, m2 array<double>").collect()  # one row per task
-    n_all, mu, m2_all = 0, np.zeros(m * n_labels), np.zeros(m * n_labels)
-    for r in parts:
-        nb, bm, bm2 = r["n"], np.asarray(r["mean"]), np.asarray(r["m2"])
-        delta, tot = bm - mu, n_all + nb
-        mu, m2_all, n_all = mu + delta * nb / tot, m2_all + bm2 + delta ** 2 * n_all * nb / tot, tot
-    sd = np.sqrt(m2_all / max(n_all, 1)).reshape(m, n_labels)
-    mu = mu.reshape(m, n_labels)
-    stats = sc.broadcast((mu, sd))
-    g = np.asarray(grid)
-    nbk = len(grid) + 1
-
-    def counts(batches):
-        # pass 2: z-score, sigmoid, bucket; only (mask, label, bucket) counts leave the task
-        mu_, sd_ = stats.value
-        tot_n = np.zeros((m, n_labels * nbk))
-        tot_p = np.zeros((m, n_labels * nbk))
-        off = np.arange(n_labels) * nbk
+            w[cols] = ridge_weights(train_gram[0], train_gram[1], cols, alpha)
+    xx, _, sx, n = val_gram
+    mean = np.einsum("k,mkl->ml", sx / max(n, 1), weights)
+    square = np.einsum("mkl,kj,mjl->ml", weights, xx / max(n, 1), weights, optimize=True)
+    spread = np.sqrt(np.maximum(square - mean ** 2, 0.0)) + 1e-9
+    shared = val.sparkSession.sparkContext.broadcast((weights, mean, spread))
+    cuts, cells = np.asarray(grid), n_labels * (len(grid) + 1)
+    first_cell = np.arange(n_labels) * (len(grid) + 1)
+
+    def run(batches):
+        w_, mean_, spread_ = shared.value
+        seen = np.zeros((2, len(w_), cells))
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[features].to_numpy()])
-            y = _dense_y(pdf[labels], len(pdf), n_labels).astype(np.float64).ravel()
-            s = np.einsum("nk,mkl->mnl", x, bw.value)
-            z = (s - mu_[:, None, :]) / (sd_[:, None, :] + 1e-9)
-            p = 1.0 / (1.0 + np.exp(-np.clip(z, -30.0, 30.0)))
-            for r in range(m):
-                flat = (np.searchsorted(g, p[r], side="right") + off).ravel()
-                tot_n[r] += np.bincount(flat, minlength=n_labels * nbk)
-                tot_p[r] += np.bincount(flat, weights=y, minlength=n_labels * nbk)
-        yield pd.DataFrame({"n": [tot_n.ravel().tolist()], "pos": [tot_p.ravel().tolist()]})
-
-    rows = data.mapInPandas(counts, "n array<double>, pos array<double>").collect()  # one row per task, bounded
-    cn = np.sum([np.asarray(r["n"]) for r in rows], axis=0).reshape(m, n_labels, nbk)
-    cp = np.sum([np.asarray(r["pos"]) for r in rows], axis=0).reshape(m, n_labels, nbk)
-    from .evolve import fitness_np
-    f1 = fitness_np(cn, cp)
-    empty = masks.sum(1) == 0
-    f1[empty] = 0.0
-    frac = masks.sum(1) / masks.shape[1]
-    fitness = np.where(empty, 0.0, f1 - parsimony * frac)
-    return fitness, f1
-
-
-def feature_select(train: DataFrame, val: DataFrame, k: int, n_labels: int, pop: int = POP, gens: int = GENS,
-                   seed: int = SEED, features: str = "features", labels: str = "labels"):
-    """E13 driver: binary GA (tournament, uniform crossover, bit-flip, elites).
-    Returns (best mask, best fitness, history rows)."""
-    rng = np.random.default_rng(seed)
-    xx, xy = gram_arrays(train, k, n_labels, features, labels)
-    masks = rng.random((pop, k)) < 0.5
-    fit, _ = mask_fitness(val, masks, xx, xy, n_labels, features=features, labels=labels)
-    best_i = int(np.argmax(fit))
-    best_m, best_f = masks[best_i].copy(), float(fit[best_i])
-    hist = []
-    for gen in range(1, gens + 1):
-        order = np.lexsort((np.arange(pop), -fit))
-        new = [masks[order[e]].copy() for e in range(ELITES)]
-
-        def tour():
-            a = rng.integers(0, pop, TOURNEY_K)
-            return masks[a[np.argmax(fit[a])]]
-
-        while len(new) < pop:
-            p1, p2 = tour(), tour()
-            if rng.random() < P_CROSS:
-                sw = rng.random(k) < 0.5
-                c1, c2 = np.where(sw, p1, p2), np.where(sw, p2, p1)
-            else:
-                c1, c2 = p1.copy(), p2.copy()
-            for c in (c1, c2):
-                flip = rng.random(k) < P_MUT
-                c[flip] = ~c[flip]
-            new.append(c1)
-            if len(new) < pop:
-                new.append(c2)
-        masks = np.array(new)
-        fit, f1 = mask_fitness(val, masks, xx, xy, n_labels, features=features, labels=labels)
-        gi = int(np.argmax(fit))
-        if fit[gi] > best_f:
-            best_f, best_m = float(fit[gi]), masks[gi].copy()
-        hist.append((gen, float(fit.max()), int(best_m.sum())))
-    return best_m, best_f, hist
+            for x, y in _blocks(pdf, features, labels, n_labels):
+                for m, w in enumerate(w_):
+                    z = np.clip((x @ w - mean_[m]) / spread_[m], -30.0, 30.0)
+                    cell = (np.searchsorted(cuts, 1.0 / (1.0 + np.exp(-z)), side="right") + first_cell).ravel()
+                    seen[0, m] += np.bincount(cell, minlength=cells)
+                    seen[1, m] += np.bincount(cell, weights=y.ravel(), minlength=cells)
+        if seen.any():
+            yield pd.DataFrame({"acc": [seen.ravel().tolist()]})
+
+    parts = val.select(features, labels).mapInPandas(run, "acc array<double>")
+    counts, hits = collected_total(parts, 2 * len(masks) * cells).reshape(2, len(masks), n_labels, -1)
+    shared.unpersist()
+    used = masks.mean(axis=1)
+    f1 = np.where(used > 0, fitness_np(counts, hits), 0.0)
+    return np.where(used > 0, f1 - parsimony * used, 0.0), f1
+
+
+STEP = ST.StepConfig(tournament_k=TOURNEY_K, p_crossover=P_CROSS, p_mutation=P_MUT, elitism=ELITES)
+
+
+def feature_select(train: DataFrame, val: DataFrame, k: int, n_labels: int, pop: int = POP, gens: int = GENS, seed: int = SEED,
+                   features: str = "features", labels: str = "labels"):
+    """Search over feature masks.  Returns (best mask, its fitness, F1 of all features, history).
+
+    History rows: generation, best fitness of the population, F1 and feature count of the best mask so far.
+    """
+    grams = [gram_arrays(d, k, n_labels, features, labels) for d in (train, val)]
+    score = lambda masks: mask_fitness(val, masks, *grams, n_labels, features=features, labels=labels)
+    masks = ST.uniform(seed, "mask", 0, np.arange(pop), np.arange(k)) < 0.5
+    fitness, f1 = score(np.concatenate([masks, np.ones((1, k), bool)]))  # the last row is the base line
+    base, fitness, f1 = float(f1[-1]), fitness[:-1], f1[:-1]
+    best = None
+    history = []
+    for gen in range(gens + 1):
+        if gen:
+            masks = ST.next_masks(masks, fitness, STEP, seed, gen)
+            fitness, f1 = score(masks)
+        top = ST.by_fitness(fitness)[0]
+        if best is None or fitness[top] > best[1]:
+            best = masks[top].copy(), float(fitness[top]), float(f1[top])
+        if gen:
+            history.append((gen, float(fitness[top]), best[2], int(best[0].sum())))
+    return best[0], best[1], base, history

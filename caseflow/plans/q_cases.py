@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
 from ..operators import cases as C
 from ..operators import labels as L
 from ..operators import split as SP
+from ..sources import artefacts as A
+from ..sources import delimited as D
 from ..sources.driver_views import read_table, view
 from . import sqlcte as Q
 from .registry import query
@@ -173,3 +176,52 @@ def q_hash_sample(spark, sf_dir):
 def q_hash_split(spark, sf_dir):
     return SP.hash_split(read_table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", SEED).select(
         "o_orderkey", "split")
+
+
+LINE_COLUMNS = ["primaryid", "code", "note"]
+
+
+@query("read_lines", "S2 H1 U1",
+       """SELECT CAST(o_orderkey AS VARCHAR) AS primaryid,
+              CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END AS code,
+              CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderstatus END AS note
+       FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 11 <> 0""")
+def q_read_lines(spark, sf_dir):
+    """Orders written as delimited lines, some short, some over-long, some with missing-value tokens, and read back."""
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    full = F.concat_ws("$", k, F.when(k % 5 == 0, "NA").otherwise(F.col("o_orderpriority")), "o_orderstatus")
+    line = F.when(k % 13 == 0, k.cast("string")).when(k % 11 == 0, F.concat(full, F.lit("$x$y"))).otherwise(full)
+    return D.parse_lines(o.select(line.alias("value")), LINE_COLUMNS)
+
+
+@query("distinct_terms", "U4",
+       "WITH " + ",\n".join(Q.views("c_drug") + [Q.DRUG_ROWS, Q.DRUG_SETS]) + """
+       SELECT DISTINCT term FROM (SELECT unnest(drug) AS term FROM drug_sets)""")
+def q_distinct_terms(spark, sf_dir):
+    return L.distinct_terms(C.role_sets(view(spark, sf_dir, "c_drug")), "drug")
+
+
+@query("raw_terms", "P9b P10",
+       "WITH " + ",\n".join(Q.views("c_drug") + [Q.DRUG_ROWS, Q.DRUG_SETS]) + """
+       SELECT primaryid, CAST(i - 1 AS INTEGER) AS pos, term FROM (
+           SELECT primaryid, generate_subscripts(l, 1) AS i, unnest(l) AS term FROM (
+               SELECT primaryid, string_split(array_to_string(drug, '|'), '|') AS l FROM drug_sets))""")
+def q_raw_terms(spark, sf_dir):
+    """An exported list split at the bar only."""
+    ex = C.export_cases(C.role_sets(view(spark, sf_dir, "c_drug")))
+    return ex.select("primaryid", F.posexplode(X.split_raw("drug")).alias("pos", "term"))
+
+
+@query("contract_check", "J13 F3",
+       "WITH " + ",\n".join(Q.views("c_reac") + [Q.term_sets("reac_sets", "c_reac", "pt", "reactions")]) + f""",
+       freq AS (SELECT label, count(*) AS n FROM (SELECT unnest(reactions) AS label FROM reac_sets) GROUP BY label)
+       SELECT count(*) AS n_labels, min(label) AS first_label, max(label) AS last_label FROM freq
+       WHERE n >= {TEST_MIN_FREQ} AND label NOT IN ({Q.EXCLUDED})""")
+def q_contract_check(spark, sf_dir):
+    """The label table of a model (from the reaction sets) held against that of the data (from the raw rows)."""
+    reac = view(spark, sf_dir, "c_reac")
+    model = L.label_vocab(C.term_sets(reac, "pt", "reactions"), TEST_MIN_FREQ)
+    data = L.label_vocab(C.term_sets(reac.repartition("primaryid"), "pt", "reactions"), TEST_MIN_FREQ)
+    A.contract_check(model, data)
+    return model.agg(F.count("*").alias("n_labels"), F.min("label").alias("first_label"), F.max("label").alias("last_label"))

@@ -1,13 +1,15 @@
 """Queries: population operators, Pareto analysis, distributed fitness, linear oracle.
 
 Populations are derived from the driver tables: every embeddings row is an
-individual whose genome is its vector (and whose fitness is its first
-coordinate); Pareto points are suppliers scored by account balance and by
-the number of order lines they supply.
+individual whose genome is its vector (and whose fitness is the vector's
+mean); Pareto points are customer groups (nation and market segment, so a
+bounded population) scored over all their orders.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +20,11 @@ from ..operators import evolve as EV
 from ..operators import explain as XP
 from ..operators import pareto as PA
 from ..operators import select as SEL
+from ..operators import step as ST
+from ..operators.split import hash_split
 from ..sources.driver_views import SCORE_VIEW_DUCKDB, read_table, view
 from .q_scoring import EMB_SHAPE, EMB_X, embedding_features, forward_sql, genes_sql
+from . import pipeline as PL
 from .registry import query
 
 SEED = 42
@@ -27,11 +32,10 @@ GEN = 1
 RANK_S = EV.RANK_S
 A_RANK = 2.0 - RANK_S
 B_RANK = 2.0 * (RANK_S - 1.0)
-SEL_TOUR = EV.selection_pressure("tournament", 3)
-N_FIT_POP = 8  # population scored by the distributed fitness query
+N_FIT_POP = EV.POP_SIZE  # population scored by the distributed fitness query
 
 POP_SQL = """f AS (SELECT vec_id AS ind, CAST(embedding AS DOUBLE[]) AS genome,
-                         CAST(embedding[1] AS DOUBLE) AS fitness FROM embeddings)"""
+                         round(list_sum(CAST(embedding AS DOUBLE[])) / 64, 9) AS fitness FROM embeddings)"""
 POS_SQL = "pos AS (SELECT ind, fitness, genome, row_number() OVER (ORDER BY ind) - 1 AS pos FROM f)"
 RANK_SQL = f"""r AS (SELECT ind, row_number() OVER (ORDER BY fitness, ind) - 1 AS rank, count(*) OVER () AS n FROM f),
     rp AS (SELECT ind, rank, ({A_RANK!r} + {B_RANK!r} * rank / (n - 1)) / n AS prob FROM r)"""
@@ -40,18 +44,29 @@ GENES_SQL = """gl AS (SELECT ind, CAST(generate_subscripts(genome, 1) - 1 AS BIG
 
 def emb_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "embeddings")
-    return e.select(F.col("vec_id").alias("ind"), F.col("embedding").cast("array<double>").alias("genome"),
-                    F.col("embedding")[0].cast("double").alias("fitness"))
+    genome = F.col("embedding").cast("array<double>")
+    mean = F.round(F.aggregate(genome, F.lit(0.0), lambda a, v: a + v) / 64, 9)
+    return e.select(F.col("vec_id").alias("ind"), genome.alias("genome"), mean.alias("fitness"))
+
+
+@contextmanager
+def cached(df: DataFrame):
+    """``df`` cached for as long as the searches read it."""
+    df = df.cache()
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
 @query("rank_probs", "W2 E6", f"""WITH {POP_SQL}, {RANK_SQL}
        SELECT ind, CAST(rank AS BIGINT) AS rank, round(prob, 12) AS prob,
-              {RANK_S!r}::DOUBLE AS sel_rank, {SEL_TOUR!r}::DOUBLE AS sel_tournament FROM rp""")
+              1.7::DOUBLE AS sel_rank, round(ln(3.0::DOUBLE) + 1.0, 12) AS sel_tournament FROM rp""")
 def q_rank_probs(spark, sf_dir):
     rp = EV.rank_probs(emb_population(spark, sf_dir).select("ind", "fitness"), RANK_S)
     return rp.select("ind", F.col("rank").cast("bigint").alias("rank"), F.round("prob", 12).alias("prob"),
                      F.lit(EV.selection_pressure("rank", s=RANK_S)).alias("sel_rank"),
-                     F.lit(SEL_TOUR).alias("sel_tournament"))
+                     F.round(F.lit(EV.selection_pressure("tournament", 3)), 12).alias("sel_tournament"))
 
 
 @query("select_parents", "E4 E5", f"""WITH {POP_SQL}, {POS_SQL}, {RANK_SQL},
@@ -184,10 +199,11 @@ def q_history_stats(spark, sf_dir):
                       F.round("sigma_smooth", 9).alias("sigma_smooth"), F.col("immigrants").cast("int").alias("immigrants"))
 
 
-# --- Pareto over suppliers -------------------------------------------------
-PTS_SQL = """pts AS (SELECT s.s_suppkey AS ind, s.s_acctbal AS o1, CAST(coalesce(c.n, 0) AS DOUBLE) AS o2
-                     FROM supplier s LEFT JOIN (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey) c
-                     ON s.s_suppkey = c.l_suppkey)"""
+# --- Pareto over customer groups -------------------------------------------
+PTS_SQL = """pts AS (SELECT c_nationkey * 10 + CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2
+                            WHEN 'HOUSEHOLD' THEN 3 ELSE 4 END AS ind,
+                            CAST(count(*) AS DOUBLE) AS o1, -round(avg(o_totalprice), 2) AS o2
+                     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)"""
 FRONT_SQL = """dom AS (SELECT p.ind AS a, q.ind AS b FROM pts p, pts q
                        WHERE p.o1 >= q.o1 AND p.o2 >= q.o2 AND (p.o1 > q.o1 OR p.o2 > q.o2)),
     chain(ind, depth) AS (SELECT ind, 0 FROM pts UNION SELECT d.b, c.depth + 1 FROM chain c JOIN dom d ON d.a = c.ind),
@@ -204,47 +220,44 @@ CROWD_SQL = """cw AS (SELECT ind, front, o1, o2,
                      wf AS (PARTITION BY front))"""
 
 
-def supplier_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier")
-    c = read_table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    return s.join(c, s.s_suppkey == c.l_suppkey, "left").select(
-        F.col("s_suppkey").alias("ind"), F.col("s_acctbal").alias("o1"), F.coalesce("n", F.lit(0)).cast("double").alias("o2"))
+def group_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One point per (nation, market segment): number of orders and (negated) mean order value."""
+    segment = F.col("c_mktsegment")
+    code = F.when(segment == "AUTOMOBILE", 0).when(segment == "BUILDING", 1).when(segment == "FURNITURE", 2).when(segment == "HOUSEHOLD", 3).otherwise(4)
+    o = read_table(spark, sf_dir, "orders").join(read_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return o.groupBy((F.col("c_nationkey") * 10 + code).alias("ind")).agg(
+        F.count("*").cast("double").alias("o1"), (-F.round(F.avg("o_totalprice"), 2)).alias("o2"))
 
 
 @query("pareto_rank", "W6 J12", f"""WITH RECURSIVE {PTS_SQL}, {FRONT_SQL}
     SELECT ind, front, CAST((SELECT count(*) FROM dom WHERE dom.b = rk.ind) AS BIGINT) AS n_dominators FROM rk""")
 def q_pareto_rank(spark, sf_dir):
-    pts = supplier_points(spark, sf_dir).cache()
-    ranked = PA.pareto_rank(pts)
-    n_dom = PA.dominator_counts(pts)
-    return ranked.join(n_dom, "ind", "inner").select("ind", F.col("front").cast("int").alias("front"),
-                                                       F.col("n_dominators").cast("bigint").alias("n_dominators"))
+    return PA.pareto_rank(group_points(spark, sf_dir)).select("ind", "front", "n_dominators")
 
 
 @query("crowding", "W5", f"""WITH RECURSIVE {PTS_SQL}, {FRONT_SQL}, {CROWD_SQL}
     SELECT ind, front, round(crowd, 9) AS crowd FROM cw""")
 def q_crowding(spark, sf_dir):
-    c = PA.crowding(PA.pareto_rank(supplier_points(spark, sf_dir)))
-    return c.select("ind", F.col("front").cast("int").alias("front"), F.round("crowd", 9).alias("crowd"))
+    return PA.crowding(PA.pareto_rank(group_points(spark, sf_dir))).select("ind", "front", F.round("crowd", 9).alias("crowd"))
 
 
 @query("survivors", "T7 U3", f"""WITH RECURSIVE {PTS_SQL}, {FRONT_SQL}, {CROWD_SQL}
     SELECT ind FROM cw ORDER BY front, crowd DESC, ind LIMIT (SELECT count(*) // 2 FROM pts)""")
 def q_survivors(spark, sf_dir):
-    pts = supplier_points(spark, sf_dir)
-    parents = pts.where(F.col("ind") % 2 == 0)
-    offspring = pts.where(F.col("ind") % 2 == 1)
-    both = parents.unionAll(offspring)
-    n = both.count() // 2
-    return PA.survivors(PA.crowding(PA.pareto_rank(both)), n).select("ind")
+    pts = group_points(spark, sf_dir)
+    both = pts.where("ind % 2 = 0").unionAll(pts.where("ind % 2 = 1"))  # parents and offspring
+    return PA.survivors(PA.crowding(PA.pareto_rank(both)), both.count() // 2).select("ind")
 
 
 @query("pareto_front", "T5 A19", f"""WITH RECURSIVE {PTS_SQL}, {FRONT_SQL}
-    SELECT ind, o1, o2, (SELECT count(*) FROM rk WHERE front = 0) AS front0_size FROM rk WHERE front = 0""")
+    SELECT ind, o1, o2, s.* FROM rk, (SELECT count(*) FILTER (front = 0) AS front0_size, max(o1) AS max_o1, round(avg(o1), 6) AS mean_o1,
+                                             max(o2) AS max_o2, round(avg(o2), 6) AS mean_o2 FROM rk) s WHERE front = 0""")
 def q_pareto_front(spark, sf_dir):
-    r = PA.pareto_rank(supplier_points(spark, sf_dir)).cache()
-    size = r.where("front = 0").count()
-    return r.where("front = 0").orderBy("o1").select("ind", "o1", "o2", F.lit(size).cast("bigint").alias("front0_size"))
+    ranked = PA.pareto_rank(group_points(spark, sf_dir))
+    stats = PA.front_stats(ranked)  # one row
+    front = ranked.where("front = 0").orderBy("o1").select("ind", "o1", "o2")
+    return front.join(F.broadcast(stats)).select("ind", "o1", "o2", "front0_size", "max_o1", F.round("mean_o1", 6).alias("mean_o1"),
+                                                 "max_o2", F.round("mean_o2", 6).alias("mean_o2"))
 
 
 # --- distributed fitness over embeddings ----------------------------------
@@ -255,9 +268,8 @@ def emb_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("case_id", "features", F.array_distinct(F.concat(F.array(F.col("label").cast("int")), extra)).alias("labels"))
 
 
-def fit_population(spark: SparkSession, n: int = N_FIT_POP) -> np.ndarray:
-    pop = EV.init_population(spark, EMB_SHAPE, n, SEED).orderBy("ind").collect()
-    return np.array([r["genome"] for r in pop])
+def fit_population(n: int = N_FIT_POP) -> np.ndarray:
+    return ST.first_population(EMB_SHAPE, np.arange(n), SEED, EV.INIT_SCALE)
 
 
 FIT_Y = """y AS (SELECT vec_id AS case_id, CAST(label AS BIGINT) AS k FROM embeddings
@@ -266,9 +278,9 @@ FIT_Y = """y AS (SELECT vec_id AS case_id, CAST(label AS BIGINT) AS k FROM embed
            FROM prob p LEFT JOIN y ON p.case_id = y.case_id AND p.k = y.k)"""
 
 
-def _fitness_sql() -> str:
+def _fitness_sql(recursive: str = "") -> str:
     grid = ", ".join(f"({t!r}::DOUBLE)" for t in CAL.FIT_GRID)
-    return f"""WITH w AS ({genes_sql(EMB_SHAPE, SEED, n_ind=N_FIT_POP)}), {EMB_X}, {forward_sql(EMB_SHAPE, 'x', 'w')}, {FIT_Y},
+    return f"""WITH {recursive} w AS ({genes_sql(EMB_SHAPE, SEED, n_ind=N_FIT_POP)}), {EMB_X}, {forward_sql(EMB_SHAPE, 'x', 'w')}, {FIT_Y},
     c AS (SELECT ind, k, t, sum(CASE WHEN p >= t THEN 1 ELSE 0 END) AS pp, sum(CASE WHEN p >= t AND yy = 1 THEN 1 ELSE 0 END) AS tp,
                  sum(yy) AS ap FROM py, (VALUES {grid}) g(t) GROUP BY ind, k, t),
     bf AS (SELECT ind, k, max(CASE WHEN pp + ap > 0 THEN 2.0::DOUBLE * tp / (pp + ap) ELSE 0.0 END) AS f1 FROM c GROUP BY ind, k),
@@ -283,8 +295,8 @@ def _fitness_sql() -> str:
     SELECT CAST(fit.ind AS INTEGER) AS ind, round(fitness, 9) AS fitness, round(precision_macro, 9) AS precision_macro,
            round(recall_macro, 9) AS recall_macro FROM fit JOIN ob ON fit.ind = ob.ind""")
 def q_population_fitness(spark, sf_dir):
-    data = emb_labelled(spark, sf_dir).cache()
-    pop = fit_population(spark)
+    data = emb_labelled(spark, sf_dir)
+    pop = fit_population()
     # one pass over the data: coarse-grid bucket counts serve both the fitness
     # and the objectives at 0.5 (a grid value: predict when bucket > its index)
     counts = EV.population_counts(data, pop, EMB_SHAPE, CAL.FIT_GRID).cache()
@@ -307,8 +319,8 @@ def q_population_fitness(spark, sf_dir):
            CAST(row_number() OVER (ORDER BY importance DESC, feature_id) AS INTEGER) AS rank
     FROM imp ORDER BY importance DESC, feature_id LIMIT 20""")
 def q_feature_importance(spark, sf_dir):
-    data = emb_labelled(spark, sf_dir).cache()
-    pop = fit_population(spark)
+    data = emb_labelled(spark, sf_dir)
+    pop = fit_population()
     f = EV.fitness_from_counts(EV.population_counts(data, pop, EMB_SHAPE, CAL.FIT_GRID), CAL.FIT_GRID, EMB_SHAPE.o)
     best = f.orderBy(F.desc(F.round("fitness", 12)), "ind").first()["ind"]
     genes = spark.createDataFrame([(i, float(v)) for i, v in enumerate(pop[best])], "gene long, value double")
@@ -341,63 +353,120 @@ def q_zscore(spark, sf_dir):
     return z.select("case_id", "label_id", F.round("z", 6).alias("z"))
 
 
-@query("ridge_fit", "M12")
+@query("ridge_fit", "M12", f"""WITH {EMB_X},
+    yl AS (SELECT vec_id AS case_id, CAST(label AS BIGINT) AS j FROM embeddings
+           UNION SELECT vec_id, CAST((label + 3) % 10 AS BIGINT) FROM embeddings WHERE vec_id % 3 = 0)
+    SELECT CAST(x.i AS INTEGER) AS i, CAST(yl.j AS INTEGER) AS j, round(sum(x.v), 5) AS xy FROM x JOIN yl ON x.case_id = yl.case_id
+    GROUP BY x.i, yl.j""")
 def q_ridge_fit(spark, sf_dir):
-    """Rows-only: ridge weights from the distributed Gram matrices (k x k solve on the driver)."""
-    xx, xy = SEL.gram_arrays(emb_labelled(spark, sf_dir), EMB_SHAPE.d, EMB_SHAPE.o)
-    w = SEL.ridge_weights(xx, xy)
-    rows = [(int(i), int(j), float(w[i, j])) for i in range(w.shape[0]) for j in range(w.shape[1])]
-    return spark.createDataFrame(rows, "i int, j int, w double")
-
-
-def _small_cfg(**kw) -> EV.GAConfig:
-    return EV.GAConfig(hidden=EMB_SHAPE.h, pop_size=kw.pop("pop", 8), generations=kw.pop("gens", 3), **kw)
+    """The fitted weights put back into the normal equations: (XᵀX + αI) W, which must be XᵀY.
 
-
-@query("evolve_run", "E10 E11 E12 E19 W3")
+    W comes from the operator; XᵀX is summed here from the table itself.
+    """
+    data = emb_labelled(spark, sf_dir)
+    xx, xy, _, _ = SEL.gram_arrays(data, EMB_SHAPE.d, EMB_SHAPE.o)
+    w = SEL.ridge_weights(xx, xy)
+    weights = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(w)], "k int, w array<double>")  # feature width
+    cells = data.select("case_id", F.posexplode("features").alias("k", "v"))
+    z = cells.join(F.broadcast(weights), "k").select("case_id", F.posexplode("w").alias("j", "w"), "v").groupBy("case_id", "j").agg(F.sum(F.col("v") * F.col("w")).alias("z"))
+    xxw = cells.withColumnRenamed("k", "i").join(z, "case_id").groupBy("i", "j").agg(F.sum(F.col("v") * F.col("z")).alias("s"))
+    own = weights.select(F.col("k").alias("i"), F.posexplode("w").alias("j", "w"))
+    out = xxw.join(own, ["i", "j"]).select("i", "j", F.round(F.col("s") + SEL.RIDGE_ALPHA * F.col("w"), 5).alias("xy"))
+    present = data.select(F.explode("labels").alias("j")).distinct()
+    return out.join(F.broadcast(present), "j", "left_semi").select("i", "j", "xy")
+
+
+CHILD_SQL = f"""pairs AS (SELECT a.draw // 2 AS pair, a.ind AS m, b.ind AS f FROM chosen a JOIN chosen b ON b.draw = a.draw + 1 WHERE a.draw % 2 = 0),
+    kid AS (SELECT pair, c.c, FIRST_KID + 2 * pair + c.c AS ind, gm.gene,
+                   CASE WHEN ({S.hash_unit(SEED, "'px'", str(GEN), 'pair')} >= 0.9 OR {S.hash_unit(SEED, "'ux'", str(GEN), 'pair', 'gm.gene')} < 0.5) = (c.c = 0)
+                        THEN gm.w ELSE gf.w END AS v
+            FROM pairs JOIN w gm ON gm.ind = m JOIN w gf ON gf.ind = f AND gf.gene = gm.gene, (VALUES (0), (1)) c(c)),
+    mut AS (SELECT ind, gene, v + CASE WHEN {S.hash_unit(SEED, "'mut'", str(GEN), 'ind', 'gene')} < 0.04
+                                       THEN 0.25 * {S.hash_normal(SEED, "'mutn'", str(GEN), 'ind', 'gene')} ELSE 0.0 END AS v FROM kid)"""
+IMM = EV.IMMIGRANTS
+
+
+@query("ga_step", "E4 E5 E7 E8 E10 E12 W2 T6", _fitness_sql() + f""",
+    rf AS (SELECT ind, round(fitness, 9) AS fitness FROM fit),
+    r AS (SELECT ind, fitness, row_number() OVER (ORDER BY fitness, ind) - 1 AS rank FROM rf),
+    cum AS (SELECT ind, sum((2.0::DOUBLE - 1.7 + 2.0 * (1.7 - 1.0) * rank / 79) / 80) OVER (ORDER BY ind) AS hi FROM r),
+    chosen AS (SELECT d.draw, coalesce(min(cum.ind), 79) AS ind
+               FROM (SELECT range AS draw, {S.hash_unit(SEED, "'rank'", str(GEN), 'range')} AS u FROM range(0, 78)) d
+               LEFT JOIN cum ON cum.hi > d.u GROUP BY d.draw),
+    {CHILD_SQL.replace("FIRST_KID", "2")},
+    el AS (SELECT row_number() OVER (ORDER BY fitness DESC, ind) - 1 AS place, ind FROM rf ORDER BY fitness DESC, ind LIMIT 2),
+    new AS (SELECT place AS ind, gene, w AS v FROM el JOIN w USING (ind) UNION ALL SELECT ind, gene, v FROM mut WHERE ind < 72
+            UNION ALL SELECT i.range, g.range, {S.hash_normal(SEED, "'init'", str(GEN), 'i.range', 'g.range')} * {EV.segment_std_sql(EMB_SHAPE, 'g.range')}
+                      FROM range(72, 80) i, range(0, {EMB_SHAPE.n_params}) g)
+    SELECT CAST(ind AS INTEGER) AS ind, CAST(gene AS INTEGER) AS gene, round(v, 9) AS value FROM new""")
+def q_ga_step(spark, sf_dir):
+    """The step that every search takes, on the scored first population: rank selection, crossover, mutation, elites and
+    immigrants."""
+    pop = fit_population()
+    fitness = np.round(EV.population_fitness(emb_labelled(spark, sf_dir), pop, EMB_SHAPE), 9)
+    new = ST.next_generation(pop, fitness, EV.GAConfig(), EV.SIGMA0, SEED, GEN)
+    return gene_rows(spark, ST.with_immigrants(new, IMM, EMB_SHAPE, EV.INIT_SCALE, SEED, GEN))
+
+
+def gene_rows(spark: SparkSession, pop: np.ndarray) -> DataFrame:
+    rows = spark.createDataFrame([(i, g.tolist()) for i, g in enumerate(pop)], "ind int, genome array<double>")
+    return rows.select("ind", F.posexplode("genome").alias("gene", "v")).select("ind", "gene", F.round("v", 9).alias("value"))
+
+
+@query("nsga_step", "E2 E14 W5 W6 T7", _fitness_sql("RECURSIVE") + f""",
+    pts AS (SELECT ind, round(precision_macro, 9) AS o1, round(recall_macro, 9) AS o2 FROM ob WHERE ind < 60),
+    {FRONT_SQL}, {CROWD_SQL},
+    pl AS (SELECT ind, row_number() OVER (ORDER BY front, crowd DESC, ind) - 1 AS place FROM cw),
+    asp AS (SELECT d.range AS draw, CAST(floor({S.hash_unit(SEED, "'tour'", str(GEN), 'd.range', 's.range')} * 60) AS BIGINT) AS ind FROM range(0, 60) d, range(0, 3) s),
+    chosen AS (SELECT draw, arg_min(pl.ind, place) AS ind FROM asp JOIN pl ON asp.ind = pl.ind GROUP BY draw),
+    {CHILD_SQL.replace("FIRST_KID", "0")}
+    SELECT CAST(ind AS INTEGER) AS ind, CAST(gene AS INTEGER) AS gene, round(v, 9) AS value FROM mut""")
+def q_nsga_step(spark, sf_dir):
+    """NSGA-II's step on the first 60 individuals: fronts, spacing, tournament, crossover, mutation."""
+    pop = fit_population(60)
+    objectives = np.round(EV.population_objectives(emb_labelled(spark, sf_dir), pop, EMB_SHAPE), 9)
+    return gene_rows(spark, ST.next_front_children(pop, objectives, EV.GAConfig(selection="tournament"), EV.SIGMA0, SEED, GEN))
+
+
+@query("evolve_run", "E10 E11 E12 W3")
 def q_evolve_run(spark, sf_dir):
-    """Rows-only: a short search on the embeddings; history rows with running best."""
-    data = emb_labelled(spark, sf_dir).cache()
-    _, _, hist = EV.evolve(data, EMB_SHAPE, _small_cfg())
+    """The whole search: 80 individuals, 300 generations; history with running best."""
+    with cached(emb_labelled(spark, sf_dir)) as data:
+        _, _, hist = EV.evolve(data, EMB_SHAPE, EV.GAConfig())
     return EV.running_best(hist)
 
 
-@query("nsga2", "E14 E2 W5 W6 T7")
+@query("nsga2", "E14 T5 U3")
 def q_nsga2(spark, sf_dir):
-    """Rows-only: a short NSGA-II run; the final front (precision_macro, recall_macro)."""
-    from ..plans.pipeline import nsga2
-    data = emb_labelled(spark, sf_dir).cache()
-    return nsga2(data, EMB_SHAPE, pop=8, gens=2, seed=SEED)
+    """NSGA-II: 60 individuals, 40 generations; the final front (precision_macro, recall_macro)."""
+    with cached(emb_labelled(spark, sf_dir)) as data:
+        return PL.nsga2(data, EMB_SHAPE, seed=SEED)
 
 
 @query("feature_select", "E13 E9 A21 A22 M12")
 def q_feature_select(spark, sf_dir):
-    """Rows-only: binary feature selection on the embeddings (train/validation by hash split)."""
-    from ..operators.split import hash_split
-    data = hash_split(emb_labelled(spark, sf_dir), "case_id", SEED, 0.0, 0.3).cache()
-    tr, va = data.where("split = 'train'"), data.where("split = 'val'")
-    mask, best, hist = SEL.feature_select(tr, va, EMB_SHAPE.d, EMB_SHAPE.o, pop=6, gens=2)
-    rows = [(f"emb_{i}",) for i in np.nonzero(mask)[0]]
-    return spark.createDataFrame(rows, "feature string")
+    """Feature masks: 40 masks, 30 generations (train / validation by hash split); the base line with all features first."""
+    split = hash_split(emb_labelled(spark, sf_dir), "case_id", SEED, 0.0, 0.3)
+    with cached(split) as data:
+        tr, va = data.where("split = 'train'"), data.where("split = 'val'")
+        mask, _, base, hist = SEL.feature_select(tr, va, EMB_SHAPE.d, EMB_SHAPE.o)
+    rows = [("all_features", 0, base, EMB_SHAPE.d)] + [("search", g, f1, n) for g, _, f1, n in hist]
+    rows += [(f"emb_{i}", len(hist), None, 1) for i in np.flatnonzero(mask).tolist()]
+    return spark.createDataFrame(rows, "item string, gen int, f1 double, n_features int")
 
 
 @query("ablation", "E15 E16")
 def q_ablation(spark, sf_dir):
-    """Rows-only: five trainer configurations on the embeddings."""
-    from ..plans.pipeline import ablation
-    data = emb_labelled(spark, sf_dir).cache()
-    return ablation(data, EMB_SHAPE, pop=6, gens=2)
+    """Five configurations, 40 individuals and 50 generations each."""
+    with cached(emb_labelled(spark, sf_dir)) as data:
+        return PL.ablation(data, EMB_SHAPE)
 
 
 @query("sweep", "E17 E18")
 def q_sweep(spark, sf_dir):
-    """Rows-only: a parameter table of short runs (mutation, crossover, operator)."""
-    from ..plans.pipeline import sweep
-    data = emb_labelled(spark, sf_dir).cache()
-    return sweep(data, EMB_SHAPE, pop=6, gens=2,
-                 grid=[("p_mutation", 0.01), ("p_mutation", 0.1), ("p_crossover", 0.6), ("crossover", "one_point"),
-                       ("crossover", "arithmetic"), ("generations", 3)])
-
+    """Thirteen settings, 40 individuals and 50 generations each."""
+    with cached(emb_labelled(spark, sf_dir)) as data:
+        return PL.sweep(data, EMB_SHAPE)
 
 
 @query("elites", "T6", f"""WITH {POP_SQL}
@@ -428,8 +497,8 @@ def q_masked_features(spark, sf_dir):
 
 @query("final_fit", "E19 M13 A8-A11")
 def q_final_fit(spark, sf_dir):
-    """Rows-only: short search on train, thresholds on validation, the metrics record on test."""
-    from ..plans.pipeline import train_and_test
-    _, best_fit, _, metrics, seconds = train_and_test(emb_labelled(spark, sf_dir), EMB_SHAPE, _small_cfg())
+    """Search on train (80 individuals, 100 generations), thresholds on validation, the metrics record on test."""
+    with cached(emb_labelled(spark, sf_dir)) as data:
+        _, best_fit, _, metrics, seconds = PL.train_and_test(data, EMB_SHAPE, EV.GAConfig(generations=100))
     rows = [("best_fitness_train", float(best_fit))] + [(k, float(v)) for k, v in metrics.items()] + [("seconds", seconds)]
     return spark.createDataFrame(rows, "metric string, value double")

@@ -12,8 +12,8 @@ from . import sqlcte as Q
 from .q_cases import cases_from_views
 from .registry import query
 
-# Vocabulary sizes on the driver tables (small, so the residual text is not empty).
-K_DRUG, K_INDI, K_OTHER = 10, 5, 5
+# Vocabulary sizes, stated here for the SQL.
+K_DRUG, K_INDI, K_OTHER = 90, 50, 40
 NAMES = FT.STRUCT_FEATURES
 
 
@@ -55,7 +55,7 @@ def features_sql() -> str:
 
 def fitted(spark: SparkSession, sf_dir: str):
     cases = cases_from_views(spark, sf_dir).cache()
-    model = FT.fit_features(cases, K_DRUG, K_INDI, K_OTHER)
+    model = FT.fit_features(cases)
     return cases, model
 
 
@@ -143,3 +143,14 @@ def q_feature_rows(spark, sf_dir):
     return e.select("primaryid", F.col("feature_id").cast("int").alias("feature_id"),
                     F.when(tfid, F.round("value", 9)).otherwise(F.col("value")).alias("value"))
 
+
+
+@query("feature_names", "P21 M1", features_sql() + """,
+    n_ AS (SELECT 0 AS block, pos, 'drug_' || term AS name FROM dv UNION ALL SELECT 1, pos, 'indi_' || term FROM iv
+           UNION ALL SELECT 2, pos, 'other_' || term FROM ov UNION ALL SELECT 3, pos, 'tf_' || term FROM tv
+           UNION ALL SELECT 4, CAST(generate_subscripts(l, 1) - 1 AS INTEGER), unnest(l)
+           FROM (SELECT ['age_norm', 'weight_norm', 'sex_M', 'sex_F', 'age_lt30', 'age_30_60', 'age_gt60', 'no_other_drugs'] AS l))
+    SELECT CAST(row_number() OVER (ORDER BY block, pos) - 1 AS INTEGER) AS feature_id, name FROM n_""")
+def q_feature_names(spark, sf_dir):
+    _, model = fitted(spark, sf_dir)
+    return spark.createDataFrame(list(enumerate(model.feature_names)), "feature_id int, name string")

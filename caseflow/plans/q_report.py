@@ -20,7 +20,7 @@ def _clean_sql(e: str, n: int) -> str:
             f"ELSE substring({S.strip_ws(f'replace({e}, chr(124), {S.q(", ")})')}, 1, {n}) END")
 
 
-@query("patient_text", "P13 P19", Q.cases_with() + f""",
+@query("patient_text", "P13", Q.cases_with() + f""",
     ex AS (SELECT primaryid, age_years, weight_kg, sex, array_to_string(drug, '|') AS d,
                   array_to_string(other_drugs, '|') AS o, array_to_string(indications, '|') AS i FROM cases)
     SELECT primaryid, 'patient: ' ||
@@ -32,8 +32,8 @@ def _clean_sql(e: str, n: int) -> str:
     FROM ex""")
 def q_patient_text(spark, sf_dir):
     ex = C.export_cases(cases_from_views(spark, sf_dir))
-    return R.blanks_for_nulls(ex.select("primaryid", R.patient_text(
-        F.col("age_years"), F.col("sex"), F.col("weight_kg"), F.col("drug"), F.col("other_drugs"), F.col("indications")).alias("text")))
+    return ex.select("primaryid", R.patient_text(
+        F.col("age_years"), F.col("sex"), F.col("weight_kg"), F.col("drug"), F.col("other_drugs"), F.col("indications")).alias("text"))
 
 
 @query("translate_terms", "P14", "WITH " + ",\n".join(Q.views("c_indi") + [
@@ -41,8 +41,8 @@ def q_patient_text(spark, sf_dir):
     tr AS (SELECT DISTINCT {S.py_title('n.n_name')} AS effect, r.r_name AS effect_local
            FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
     ex AS (SELECT primaryid, unnest(indications) AS t, generate_subscripts(indications, 1) AS i FROM indi_sets)
-    SELECT ex.primaryid, string_agg(coalesce(tr.effect_local, ex.t), '|' ORDER BY ex.i) AS translated
-    FROM ex LEFT JOIN tr ON ex.t = tr.effect GROUP BY ex.primaryid""")
+    SELECT s.primaryid, string_agg(coalesce(tr.effect_local, ex.t), '|' ORDER BY ex.i) AS translated
+    FROM indi_sets s LEFT JOIN ex ON s.primaryid = ex.primaryid LEFT JOIN tr ON ex.t = tr.effect GROUP BY s.primaryid""")
 def q_translate_terms(spark, sf_dir):
     sets = C.term_sets(view(spark, sf_dir, "c_indi"), "indi_pt", "indications")
     n, r = read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region")
@@ -52,7 +52,7 @@ def q_translate_terms(spark, sf_dir):
     return t.select("primaryid", F.array_join("tr", "|").alias("translated"))
 
 
-@query("substring_filter", "F6 F8", Q.cases_with() + f"""
+@query("substring_filter", "F6", Q.cases_with() + f"""
     SELECT primaryid, array_to_string(drug, '|') AS drug FROM cases
     WHERE contains(array_to_string(drug, '|'), {S.q(NEEDLE)})""")
 def q_substring_filter(spark, sf_dir):
@@ -81,3 +81,19 @@ def q_stage_audit(spark, sf_dir):
         "distinct_drugs": cases.select(F.explode("drug").alias("d")).distinct(),
     }
     return R.stage_counts(stages)
+
+
+@query("display_values", "P18 P19", "WITH " + ",\n".join(Q.views("c_demo")) + """
+    SELECT primaryid, coalesce(age_cod, '') AS age_cod, coalesce(sex, '') AS sex, round_even(CAST(wt AS DOUBLE), 1) AS wt FROM c_demo""")
+def q_display_values(spark, sf_dir):
+    """Text columns blank where missing, numbers rounded half to even."""
+    d = view(spark, sf_dir, "c_demo").select("primaryid", "age_cod", "sex", R.round_half_even(F.col("wt").cast("double"), 1).alias("wt"))
+    return R.blanks_for_nulls(d)
+
+
+@query("case_lookup", "F8", Q.cases_with() + """
+    SELECT primaryid, sex, age_years, array_to_string(drug, '|') AS drug FROM cases WHERE sex = 'F'""")
+def q_case_lookup(spark, sf_dir):
+    """All cases with one value of a column."""
+    ex = C.export_cases(cases_from_views(spark, sf_dir))
+    return R.lookup(ex, "sex", "F").select("primaryid", "sex", "age_years", "drug")

@@ -1,91 +1,90 @@
 """Delimited batch files.
 
-Quarterly batches are ``$``-separated text files with a header, read as
-strings.  Each file is read with a schema built from its own header
-(stripped, lower-cased) and the batches are aligned by name (missing
-columns -> null).  Rows with more fields than the header are dropped; rows
-with fewer are kept and padded with nulls.  The reader's missing-value
-tokens become null.  Every row carries its version order: ``_file`` (file
-name; later name = later batch) and ``_row`` (position inside the file).
+Quarterly batches are ``$``-separated text files with a header.  They are read as lines and split here, so a row means
+the same whichever columns a query selects: a row with more fields than its header is dropped, one with fewer is padded
+with nulls, blank lines and the header line are no rows, and the missing-value tokens become null.  Batches are aligned by
+name (a column that a batch lacks is null).  Every row carries its version order: ``_file`` (file name; later name = later
+batch) and ``_row`` (position inside the file).
 """
 
 from __future__ import annotations
 
-import glob
-import os
+import re
+from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import null_tokens
+from ..functions.expr import null_tokens, num_or_null
+from . import files as FS
 
 SEP = "$"
-CORRUPT = "_corrupt"
 
 # Column names of the headerless knowledge-base files.
 EFFECT_COLUMNS = ["stitch_flat", "stitch_stereo", "umls_se", "meddra_type", "umls_meddra", "side_effect"]
 NAME_COLUMNS = ["stitch_id", "drug_name"]
 
 
-def batch_files(folder: str, prefix: str) -> list[str]:
-    """All files of one kind, sorted by name (later name = later batch)."""
-    return sorted(glob.glob(os.path.join(folder, f"{prefix}*.txt")))
+def batch_files(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    """All files of one kind, by name (later name = later batch)."""
+    return FS.matching(spark, f"{folder.rstrip('/')}/{prefix}*.txt")
 
 
-def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
-    first = spark.read.text(path).first()  # one line per file
-    if first is None:
-        return []
-    return [c.strip().lower() for c in first[0].split(sep)]
+def header_columns(line: str, sep: str = SEP) -> list[str]:
+    return [c.strip().lower() for c in line.split(sep)]
 
 
-def read_batch(spark: SparkSession, path: str, sep: str = SEP) -> DataFrame:
-    """S2 for one file: header-driven string schema, H1 bad-row rule, NA tokens."""
-    cols = _header(spark, path, sep)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols] + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.option("sep", sep).option("header", "true").option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).option("quote", "\u0000").schema(schema).csv(path))
-    n_fields = F.size(F.split(F.col(CORRUPT), F.lit("\\" + sep if sep in "$|.^*+?()[]{}\\" else sep)))
-    df = df.where(F.col(CORRUPT).isNull() | (n_fields <= len(cols)))
-    out = df.select(*[null_tokens(F.col(c)).alias(c) for c in cols],
-                    F.lit(os.path.basename(path)).alias("_file"),
-                    F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_row"))
-    return out
+def parse_lines(lines: DataFrame, columns: list[str], sep: str = SEP, value: str = "value") -> DataFrame:
+    """S2 / H1 on any table (also a stream) with a line in ``value``: the columns by position, other columns kept."""
+    rest = [c for c in lines.columns if c != value]
+    rows = lines.where(F.trim(value) != "").select(*rest, F.split(value, re.escape(sep), -1).alias("_parts")).where(F.size("_parts") <= len(columns))
+    return rows.select(*[null_tokens(F.get("_parts", F.lit(i))).alias(c) for i, c in enumerate(columns)], *rest)
+
+
+def file_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``value, _file, _row`` of all lines."""
+    order = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    return spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("_file"), order.alias("_row"))
 
 
 def read_batches(spark: SparkSession, folder: str, prefix: str, sep: str = SEP) -> DataFrame:
-    """S1 + S2 + U1: every batch of one kind, aligned by column name."""
-    files = batch_files(folder, prefix)
-    if not files:
+    """S1 + S2 + U1: every batch of one kind.
+
+    Headers are read one line a file without a job; files with the same header are one scan, so the plan grows with the
+    number of distinct headers and not with that of the files.  A line equal to its file's header is a header.
+    """
+    paths = batch_files(spark, folder, prefix)
+    if not paths:
         raise FileNotFoundError(f"no {prefix}*.txt files in {folder}")
-    out = None
-    for f in files:
-        d = read_batch(spark, f, sep)
-        out = d if out is None else out.unionByName(d, allowMissingColumns=True)
-    return out
+    by_header = defaultdict(list)
+    for path in paths:
+        by_header[FS.first_line(spark, path)].append(path)
+    tables = []
+    for header, same in by_header.items():
+        if header is not None:  # an empty file has no rows
+            tables.append(parse_lines(file_lines(spark, same).where(F.col("value") != header), header_columns(header, sep), sep))
+    if not tables:
+        raise ValueError(f"all {prefix}*.txt files in {folder} are empty")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
 def read_headerless(spark: SparkSession, path: str, columns: list[str], sep: str = "\t") -> DataFrame:
-    """A headerless delimited file with fixed column names, all strings."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.option("sep", sep).option("header", "false").schema(schema).csv(path)
+    """A headerless delimited file with fixed column names, all strings, missing-value tokens null."""
+    return parse_lines(spark.read.text(path), columns, sep)
 
 
 def optional(spark: SparkSession, path: str, columns: list[str], sep: str = "\t") -> DataFrame:
-    """The file if it exists, else an empty table with the same columns."""
-    if path and os.path.exists(path):
+    """The file if it exists, on whatever file system the path names, else an empty table with the same columns."""
+    if path and FS.exists(spark, path):
         return read_headerless(spark, path, columns, sep)
     return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
 
 
 def read_case_table(spark: SparkSession, path: str) -> DataFrame:
-    """Re-read an exported case table (CSV) as strings, coerce the numbers;
+    """Re-read an exported case table (CSV) as strings, missing-value tokens null, the numbers coerced;
     a missing weight column is tolerated."""
-    from ..functions.expr import num_or_null
-
-    df = spark.read.option("header", "true").csv(path)
-    df = df.withColumn("age_years", num_or_null("age_years"))
-    if "weight_kg" in df.columns:
-        return df.withColumn("weight_kg", num_or_null("weight_kg"))
-    return df.withColumn("weight_kg", F.lit(None).cast("double"))
+    raw = spark.read.option("header", "true").csv(path)
+    df = raw.select(*[null_tokens(F.col(c)).alias(c) for c in raw.columns]).withColumn("age_years", num_or_null("age_years"))
+    return df.withColumn("weight_kg", num_or_null("weight_kg") if "weight_kg" in df.columns else F.lit(None).cast("double"))

@@ -43,32 +43,31 @@ VIEW_SQL: dict[str, str] = {
                p.p_brand AS drugname
         FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey""",
     "c_reac": """
-        SELECT CAST(l.l_orderkey AS STRING) AS primaryid, lower(p.p_type) || '-' || p.p_brand AS pt
-        FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
-        WHERE l.l_linestatus = 'O'""",
+        SELECT CAST(l.l_orderkey AS STRING) AS primaryid,
+               CASE p.p_partkey % 9 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN 'hospitalisation '
+                    ELSE lower(p.p_type) || '-' || p.p_brand END AS pt
+        FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey""",
     "c_indi": """
-        SELECT CAST(l.l_orderkey AS STRING) AS primaryid, n.n_name AS indi_pt
+        SELECT CAST(l.l_orderkey AS STRING) AS primaryid, CASE WHEN s.s_suppkey % 3 = 0 THEN NULL ELSE n.n_name END AS indi_pt
         FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
-             JOIN {nation} n ON s.s_nationkey = n.n_nationkey
-        WHERE l.l_linenumber <= 2""",
+             JOIN {nation} n ON s.s_nationkey = n.n_nationkey""",
     # knowledge base: (drug id, effect, type); LLT rows exercise the PT filter
     "c_known": """
         SELECT DISTINCT 'CID_' || p_name AS stitch_flat, lower(p_type) || '-' || p_brand AS side_effect,
                CASE WHEN p_size % 10 = 0 THEN 'LLT' ELSE 'PT' END AS meddra_type
-        FROM {part} WHERE p_size % 2 = 0""",
+        FROM {part}""",
     # knowledge-base names with duplicates (row order decides last-wins)
     "c_names": """
         SELECT p_partkey AS row_order, 'CID_' || p_name AS stitch_id, p_name AS drug_name
-        FROM {part} WHERE p_name NOT LIKE 'hot%'""",
-    # drug names as reports spell them, some with a salt suffix
+        FROM {part}""",
+    # drug names as reports spell them, some with a salt suffix, some with one that the knowledge base does not know
     "c_probe": """
-        SELECT DISTINCT upper(p_name) || CASE p_size % 3 WHEN 0 THEN ' SODIUM'
-               WHEN 1 THEN ' HYDROCHLORIDE' ELSE '' END AS drug
+        SELECT DISTINCT upper(p_name) || CASE p_size % 4 WHEN 0 THEN ' SODIUM'
+               WHEN 1 THEN ' HYDROCHLORIDE' WHEN 2 THEN ' FORTE' ELSE '' END AS drug
         FROM {part}""",
-    # free text with two binary labels
+    # free text
     "c_text": """
-        SELECT d.doc_id, lower(d.text) AS text, l.quality, l.toxic
-        FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id""",
+        SELECT doc_id, lower(text) AS text FROM {documents}""",
 }
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
@@ -95,32 +94,34 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(VIEW_SQL[name], **tables)
 
 
-# number of labels carried by the embeddings' class column
-SCORE_LABELS = 10
+# one label for each dimension of the embeddings, and their number of classes
+SCORE_LABELS = 64
+CLASSES = 10
 
 
 def score_view(embeddings: DataFrame) -> DataFrame:
-    """(case_id, label_id, y, p): a scored multi-label table with known truth.
+    """(case_id, label_id, y, p): a scored multi-label table with known truth, all dimensions of all rows.
 
-    p = sigmoid(4 * embedding[label_id]); y = 1 for the row's class and, on
-    every third case, also for class (label + 3) % 10.
+    p = sigmoid(4 * embedding[label_id]); y = 1 where label_id % 10 is the row's class or, on every third case, class
+    (label + 3) % 10.
     """
-    e = embeddings.select("vec_id", "label", F.posexplode(F.slice("embedding", 1, SCORE_LABELS)).alias("label_id", "x"))
-    extra = (F.col("vec_id") % 3 == 0) & (((F.col("label") + 3) % SCORE_LABELS) == F.col("label_id"))
+    e = embeddings.select("vec_id", "label", F.posexplode("embedding").alias("label_id", "x"))
+    of = F.col("label_id") % CLASSES
+    extra = (F.col("vec_id") % 3 == 0) & (((F.col("label") + 3) % CLASSES) == of)
     return e.select(
         F.col("vec_id").alias("case_id"),
         F.col("label_id").cast("int").alias("label_id"),
-        F.when((F.col("label") == F.col("label_id")) | extra, 1).otherwise(0).alias("y"),
+        F.when((F.col("label") == of) | extra, 1).otherwise(0).alias("y"),
         (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-4.0) * F.col("x").cast("double")))).alias("p"),
     )
 
 
-SCORE_VIEW_DUCKDB = f"""
+SCORE_VIEW_DUCKDB = """
     SELECT e.vec_id AS case_id, CAST(g.i - 1 AS INTEGER) AS label_id,
-           CASE WHEN e.label = g.i - 1 OR (e.vec_id % 3 = 0 AND (e.label + 3) % {SCORE_LABELS} = g.i - 1)
+           CASE WHEN e.label = (g.i - 1) % 10 OR (e.vec_id % 3 = 0 AND (e.label + 3) % 10 = (g.i - 1) % 10)
                 THEN 1 ELSE 0 END AS y,
            1.0 / (1.0 + exp(-4.0 * CAST(e.embedding[g.i] AS DOUBLE))) AS p
-    FROM embeddings e, (SELECT unnest(range(1, {SCORE_LABELS + 1})) AS i) g"""
+    FROM embeddings e, (SELECT unnest(range(1, 65)) AS i) g"""
 
 
 def duckdb_view(name: str) -> str:

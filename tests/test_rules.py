@@ -13,6 +13,7 @@ from caseflow.operators import evolve as EV
 from caseflow.operators import features as FT
 from caseflow.operators import metrics as M
 from caseflow.operators import pareto as PA
+from caseflow.operators import step as ST
 from caseflow.operators import report as R
 from caseflow.operators import validate as V
 from caseflow.sources import delimited as D
@@ -199,8 +200,6 @@ def test_dominance_and_crowding(spark):
     assert r == {1: 0, 2: 0, 4: 0, 3: 1}  # equal points do not dominate each other
     c = {x["ind"]: x["crowd"] for x in PA.crowding(PA.pareto_rank(pts)).collect()}
     assert math.isinf(c[3])  # a front of one point
-    objs = np.array([[1.0, 1.0], [1.0, 1.0], [0.5, 0.5], [2.0, 0.0]])
-    assert list(PA.fronts_np(objs)) == [0, 0, 1, 0]
 
 
 def test_rank_probabilities(spark):
@@ -213,7 +212,7 @@ def test_rank_probabilities(spark):
     assert all(x == pytest.approx(1 / 7) for x in p1)
     single = spark.createDataFrame([(1, 0.3)], "ind int, fitness double")
     assert EV.rank_probs(single, 1.7).first()["prob"] == 1.0
-    assert EV.rank_probs_np(np.array([0.1, 0.5, 0.3]), 1.7).sum() == pytest.approx(1.0)
+    assert ST.rank_share(np.array([0.1, 0.5, 0.3]), 1.7).sum() == pytest.approx(1.0)
 
 
 def test_empty_mask_scores_zero(spark):
@@ -222,8 +221,8 @@ def test_empty_mask_scores_zero(spark):
     val = spark.createDataFrame([(i, [float(x) for x in rng.random(4)], [int(i % 2)]) for i in range(30)],
                                 "case_id int, features array<double>, labels array<int>")
     masks = np.array([[False] * 4, [True] * 4])
-    xx, xy = SEL.gram_arrays(val, 4, 2)
-    fit, f1 = SEL.mask_fitness(val, masks, xx, xy, 2)
+    gram = SEL.gram_arrays(val, 4, 2)
+    fit, f1 = SEL.mask_fitness(val, masks, gram, gram, 2)
     assert fit[0] == 0.0 and f1[0] == 0.0 and fit[1] == pytest.approx(f1[1] - SEL.PARSIMONY)
 
 
@@ -252,7 +251,8 @@ def test_ridge_matches_numpy(spark):
     labs = [[int(i % 3)] + ([2] if i % 4 == 0 else []) for i in range(60)]
     df = spark.createDataFrame([(i, [float(v) for v in x[i]], labs[i]) for i in range(60)],
                                "case_id int, features array<double>, labels array<int>").repartition(4)
-    xx, xy = SEL.gram_arrays(df, 5, 3)
+    xx, xy, sx, n = SEL.gram_arrays(df, 5, 3)
+    assert n == 60 and np.allclose(sx, x.sum(0))
     y = np.zeros((60, 3))
     for i, ls in enumerate(labs):
         y[i, sorted(set(ls))] = 1.0
@@ -270,8 +270,8 @@ def test_mask_fitness_matches_brute_force(spark):
     df = spark.createDataFrame([(i, [float(v) for v in x[i]], labs[i]) for i in range(n)],
                                "case_id int, features array<double>, labels array<int>").repartition(5)
     masks = np.array([[True, False, True, True, False, True], [True] * k, [False] * k])
-    xx, xy = SEL.gram_arrays(df, k, L)
-    fit, f1 = SEL.mask_fitness(df, masks, xx, xy, L)
+    gram = SEL.gram_arrays(df, k, L)
+    fit, f1 = SEL.mask_fitness(df, masks, gram, gram, L)
     y = np.zeros((n, L), dtype=bool)
     for i, ls in enumerate(labs):
         y[i, ls] = True
@@ -310,26 +310,68 @@ def test_array_evaluation_matches_long_form(spark):
         assert fast[k] == pytest.approx(v, abs=1e-12), k
 
 
-def test_layer_sweep_matches_peeling(spark):
+def peeled(pts):
+    """Fronts by taking the undominated points away, again and again."""
+    front, left, k = {}, set(range(len(pts))), 0
+    while left:
+        top = {i for i in left if not any((pts[j] >= pts[i]).all() and (pts[j] > pts[i]).any() for j in left)}
+        front |= dict.fromkeys(top, k)
+        left -= top
+        k += 1
+    return [front[i] for i in range(len(pts))]
+
+
+def test_fronts_dominators_and_spacing(spark, monkeypatch):
     rng = np.random.default_rng(4)
     for _ in range(20):
         pts = np.round(rng.random((60, 2)) * 5) / 5  # many ties and duplicates
-        assert list(PA.layers_2d(pts[:, 0], pts[:, 1])) == list(PA.fronts_np(pts))
-    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "ind int, o1 double, o2 double")
-    a = {r["ind"]: r["front"] for r in PA.pareto_rank(df).collect()}
-    b = {r["ind"]: r["front"] for r in PA.pareto_rank_peel(df).collect()}
-    assert a == b
+        assert list(ST.layers(pts)) == peeled(pts)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "ind int, o1 double, o2 double").repartition(4)
+    rows = {r["ind"]: r for r in PA.pareto_rank(df).collect()}
+    assert [rows[i]["front"] for i in range(60)] == peeled(pts)
+    assert [rows[i]["n_dominators"] for i in range(60)] == [sum((p >= q).all() and (p > q).any() for p in pts) for q in pts]
+    crowd = {r["ind"]: r["crowd"] for r in PA.crowding(PA.pareto_rank(df)).collect()}
+    assert np.allclose([crowd[i] for i in range(60)], ST.spacing(pts, ST.layers(pts)))
+    assert [r["ind"] for r in PA.survivors(PA.crowding(PA.pareto_rank(df)), 60).collect()] == list(ST.by_front(pts))
+    monkeypatch.setattr(PA, "MAX_POINTS", 59)
+    with pytest.raises(ValueError):
+        PA.pareto_rank(df)
 
 
-def test_dominator_counts_match_pairs(spark):
-    rng = np.random.default_rng(9)
-    pts = np.round(rng.random((40, 2)) * 4) / 4
-    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "ind int, o1 double, o2 double")
-    counts = {r["ind"]: r["n_dominators"] for r in PA.dominator_counts(df).collect()}
-    pairs = PA.dominance_pairs(df).groupBy("dominated").count().collect()
-    want = {i: 0 for i in range(40)}
-    want.update({r["dominated"]: r["count"] for r in pairs})
-    assert counts == want
+def test_step_equals_the_dataframe_operators(spark):
+    """The step of the searches, gene by gene, against the operators on tables."""
+    from caseflow.operators.score import NetShape
+
+    shape, seed, gen = NetShape(3, 2, 2), 42, 5
+    pop = ST.first_population(shape, np.arange(10), seed, 1.0)
+    table = EV.init_population(spark, shape, 10, seed).orderBy("ind").collect()
+    assert np.allclose([r["genome"] for r in table], pop, rtol=0, atol=1e-12)
+    fitness = np.array([0.3, 0.1, 0.3, 0.9, 0.2, 0.2, 0.5, 0.1, 0.0, 0.4])
+    fit = spark.createDataFrame([(i, float(f)) for i, f in enumerate(fitness)], "ind long, fitness double")
+    probs = EV.rank_probs(fit, 1.7)
+    assert np.allclose([r["prob"] for r in probs.orderBy("ind").collect()], ST.rank_share(fitness, 1.7))
+    assert [r["ind"] for r in EV.roulette(probs, 40, seed, gen).orderBy("draw").collect()] == list(ST.roulette(ST.rank_share(fitness, 1.7), 40, seed, gen))
+    assert [r["ind"] for r in EV.tournament(fit, 40, 3, seed, gen).orderBy("draw").collect()] == list(ST.tournament(ST.by_fitness(fitness), 40, 3, seed, gen))
+    assert [r["ind"] for r in EV.elites(fit, 4).collect()] == list(ST.by_fitness(fitness)[:4])
+    pairs = spark.createDataFrame([(i, pop[2 * i].tolist(), pop[2 * i + 1].tolist()) for i in range(5)], "pair long, g1 array<double>, g2 array<double>")
+    for kind in ("uniform", "one_point", "arithmetic"):
+        rows = EV.crossover(pairs, kind, seed, gen).orderBy("pair").collect()
+        assert np.allclose([c for r in rows for c in (r["c1"], r["c2"])], ST.cross(pop[0::2], pop[1::2], kind, 1.0, seed, gen))
+    with pytest.raises(ValueError):
+        ST.cross(pop[:1], pop[:1], "nope", 1.0, seed, gen)
+    both = spark.createDataFrame([(i + 3, g.tolist()) for i, g in enumerate(pop)], "ind long, genome array<double>")
+    rows = EV.mutate(both, 0.3, 0.25, seed, gen).orderBy("ind").collect()
+    assert np.allclose([r["genome"] for r in rows], ST.perturb(pop, 3, 0.3, 0.25, seed, gen), rtol=0, atol=1e-12)
+    rows = EV.bitflip(both.select("ind", F.transform("genome", lambda x: x > 0).alias("mask")), 0.3, seed, gen).orderBy("ind").collect()
+    assert [r["mask"] for r in rows] == ST.flip(pop > 0, 3, 0.3, seed, gen).tolist()
+
+
+def test_exact_median(spark):
+    rng = np.random.default_rng(2)
+    for values in ([3.0], [1.0, 2.0], [5.0] * 9, rng.normal(size=1001).tolist(), np.round(rng.random(500) * 7).tolist(), [1e-300, 1e300, 2.0, 2.0], [0.0, 1.0] * 50):
+        df = spark.createDataFrame([(v,) for v in [*values, None, float("nan"), float("inf")]], "x double").repartition(3)
+        assert FT.exact_median(df, "x") == np.median(values)
+    assert FT.exact_median(df.limit(0), "x") is None
 
 
 def test_strip_matches_python(spark):

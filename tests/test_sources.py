@@ -15,7 +15,7 @@ def test_batches_align_by_name_and_keep_order(spark, scratch):
         f.write(" PrimaryID $Role_Cod$prod_ai$drugname\n1$PS$A$x\n")
     with open(os.path.join(scratch, "DRUG25Q1.txt"), "w") as f:
         f.write("primaryid$role_cod$drugname\n1$SS$y\n2$PS$z\n")
-    assert [os.path.basename(p) for p in D.batch_files(scratch, "DRUG")] == ["DRUG25Q1.txt", "DRUG25Q2.txt"]
+    assert [os.path.basename(p) for p in D.batch_files(spark, scratch, "DRUG")] == ["DRUG25Q1.txt", "DRUG25Q2.txt"]
     df = D.read_batches(spark, scratch, "DRUG")
     rows = sorted((r["_file"], r["primaryid"], r["prod_ai"], r["drugname"]) for r in df.collect())
     assert rows == [("DRUG25Q1.txt", "1", None, "y"), ("DRUG25Q1.txt", "2", None, "z"), ("DRUG25Q2.txt", "1", "A", "x")]
@@ -45,3 +45,31 @@ def test_model_round_trip_and_contract(spark, scratch):
     A.contract_check(labels2, labels)
     with pytest.raises(ValueError):
         A.contract_check(labels2, spark.createDataFrame([(0, "Nausea"), (1, "Rash"), (2, "Fall")], "label_id int, label string"))
+
+
+def test_rows_do_not_depend_on_the_columns_read(spark, scratch):
+    with open(os.path.join(scratch, "DEMO25Q1.txt"), "w") as f:
+        f.write("primaryid$age$age_cod$sex$wt\n1$10$YR$M$70\n2$20$YR$F$60$extra\n3$30\n\n4$NA$$null$\n")
+    for path in (scratch, "file://" + scratch):
+        df = D.read_batches(spark, path, "DEMO")
+        assert df.count() == 3
+        assert sorted(r[0] for r in df.select("primaryid").collect()) == ["1", "3", "4"]
+        assert sorted(map(tuple, df.select("primaryid", "age").collect())) == [("1", "10"), ("3", "30"), ("4", None)]
+        rows = {r["primaryid"]: tuple(r)[:5] for r in df.collect()}
+        assert rows["3"] == ("3", "30", None, None, None) and rows["4"] == ("4", None, None, None, None)
+    assert D.optional(spark, "file://" + os.path.join(scratch, "DEMO25Q1.txt"), D.NAME_COLUMNS, "|").count() == 5
+    with pytest.raises(FileNotFoundError):
+        D.read_batches(spark, "file://" + scratch + "/none", "DEMO")
+
+
+def test_headerless_and_case_table_null_the_missing_tokens(spark, scratch):
+    p = os.path.join(scratch, "names.tsv")
+    with open(p, "w") as f:
+        f.write("CID1\tNA\nCID2\nCID3\ta\tb\n")
+    assert sorted(map(tuple, D.read_headerless(spark, p, D.NAME_COLUMNS).collect())) == [("CID1", None), ("CID2", None)]
+    p = os.path.join(scratch, "cases.csv")
+    with open(p, "w") as f:
+        f.write("primaryid,age_years,sex\n1,NA,M\n2,41.5,null\n")
+    for path in (p, "file://" + p):
+        df = D.read_case_table(spark, path)
+        assert sorted(map(tuple, df.select("primaryid", "age_years", "sex", "weight_kg").collect())) == [("1", None, "M", None), ("2", 41.5, None, None)]

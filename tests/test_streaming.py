@@ -19,11 +19,12 @@ def test_latest_versions_stream(spark, scratch):
     q = S.latest_versions_stream(spark, src, os.path.join(scratch, "snap"), os.path.join(scratch, "ck"), COLS)
     q.awaitTermination(120)
     with open(os.path.join(src, "DEMO25Q2.txt"), "w") as f:
-        f.write("primaryid$age$age_cod$sex\n1$11$YR$M\n1$12$YR$M\n3$30$DEC$NA\n")
+        f.write("primaryid$age$age_cod$sex\n1$11$YR$M\n1$12$YR$M\n3$30$DEC$NA\n4$1$YR$F$over$long\n")
     time.sleep(1)
-    q = S.latest_versions_stream(spark, src, os.path.join(scratch, "snap"), os.path.join(scratch, "ck"), COLS)
+    snap = "file://" + os.path.join(scratch, "snap")  # the same folder by its URI
+    q = S.latest_versions_stream(spark, src, snap, os.path.join(scratch, "ck"), COLS)
     q.awaitTermination(120)
-    got = {r["primaryid"]: (r["age_years"], r["sex"]) for r in S.latest_snapshot(spark, os.path.join(scratch, "snap")).collect()}
+    got = {r["primaryid"]: (r["age_years"], r["sex"]) for r in S.latest_snapshot(spark, snap).collect()}
     assert got == {"1": (12.0, "M"), "2": (20.0, "F"), "3": (300.0, "U")}
 
 
