@@ -45,6 +45,7 @@ def generic_cases(drugs: DataFrame, drug: str = "drug") -> DataFrame:
 def label_rows(model: CaseModel, probs: str = "probs") -> Column:
     """Array of (label, p, predicted) in label order."""
     fixed = F.array(*[F.struct(F.lit(n).alias("label"), F.lit(float(t)).alias("threshold")) for n, t in zip(model.labels, model.thresholds)])
+    fixed = fixed.cast("array<struct<label:string,threshold:double>>")  # typed without labels, too
     return F.zip_with(fixed, probs, lambda f, p: F.struct(f["label"].alias("label"), p.alias("p"), (p >= f["threshold"]).alias("predicted")))
 
 

@@ -73,13 +73,14 @@ def test_cases(cases: DataFrame) -> DataFrame:
 
 
 @query("score_cases", "M8 M6 P11 P15 W9", f"""WITH {_FIT}, {_CASE_X}, {_FORWARD}
-    SELECT id AS primaryid, CAST(count(*) FILTER (predicted) AS INTEGER) AS n_predicted, arg_max(label, p) AS top_label, round(max(p), 6) AS max_p FROM pr GROUP BY id""")
+    SELECT primaryid, CAST(count(*) FILTER (predicted) AS INTEGER) AS n_predicted, arg_max(label, p) AS top_label, round(max(p), 6) AS max_p
+    FROM cases LEFT JOIN pr ON id = primaryid GROUP BY primaryid""")
 def q_score_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every assembled case, missing attributes included, through featurizer, network and thresholds."""
     cases = cases_from_views(spark, sf_dir)
     model = model_of(cases)
     scored = CM.predict(cases.select("primaryid", "drug", "other_drugs", "indications", "age_years", "weight_kg", "sex"), model)
-    best = CM.top_labels(model, 1)[0]
+    best = F.get(CM.top_labels(model, 1), F.lit(0))
     return scored.select("primaryid", F.size(CM.predicted_labels(model)).alias("n_predicted"), best["label"].alias("top_label"), F.round(-best["n"], 6).alias("max_p"))
 
 
@@ -115,7 +116,8 @@ _KB_VIEWS = ", ".join(Q.views("c_known", "c_names"))
     pd AS (SELECT id, coalesce(list_sort(list(label) FILTER (predicted)), []) AS pl FROM pr GROUP BY id),
     kk AS (SELECT top.drug, nm.id AS stitch_id, coalesce(list(kin.label) FILTER (kin.label IS NOT NULL), []) AS kl
            FROM top LEFT JOIN nm ON upper({S.strip_ws('top.drug')}) = nm.name LEFT JOIN kin ON nm.id = kin.stitch_flat GROUP BY top.drug, nm.id),
-    c AS (SELECT drug, stitch_id, pl, len(kl) AS nk, len(pl) AS np, len(list_intersect(pl, kl)) AS tp FROM kk JOIN pd ON pd.id = kk.drug),
+    c AS (SELECT drug, stitch_id, coalesce(pl, []) AS pl, len(kl) AS nk, len(coalesce(pl, [])) AS np, len(list_intersect(coalesce(pl, []), kl)) AS tp
+          FROM kk LEFT JOIN pd ON pd.id = kk.drug),
     r AS (SELECT *, CASE WHEN nk > 0 THEN CASE WHEN np > 0 THEN tp / np ELSE 0.0 END END AS pc, CASE WHEN nk > 0 THEN tp / nk END AS rc FROM c)
     SELECT drug, stitch_id IS NOT NULL AS stitch_found, CAST(nk AS INTEGER) AS effects_in_vocab, CAST(np AS INTEGER) AS n_predicted,
            CAST(CASE WHEN nk > 0 THEN tp ELSE 0 END AS INTEGER) AS tp, round(pc, 9) AS precision, round(rc, 9) AS recall,
