@@ -21,7 +21,7 @@ from .common import cut
 #: Documents in a block, slots in a period, rows that a numbering bucket holds on average at most.
 BLOCK_ROWS = 16
 PERIOD = 1000
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2000
 #: The mix ends when sources with this share of the target weight have run out (thousandths).
 RUN_OUT = 500
 #: More sources than this are refused, which bounds the schedule and what is broadcast.
