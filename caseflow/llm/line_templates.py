@@ -26,6 +26,8 @@ CONSTANT_TENTHS = 8
 VARIABLE = "<*>"
 #: Recurring leaves are broadcast up to this many rows (16 bytes each), else joined by a shuffle.
 BROADCAST_LEAVES = 500_000
+#: Recurring templates likewise (50 bytes each).
+BROADCAST_TEMPLATES = 200_000
 
 
 def _masked(tokens: Column) -> Column:
@@ -43,7 +45,7 @@ def _lines(rows: DataFrame) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """``id, lid, template, first_id, n_docs`` of every document's distinct line (by md5) whose template recurs."""
+    """``id, lid, tid, first_id, n_docs`` of every document's distinct line (md5) whose template (md5) recurs."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     lines = _lines(rows)
     leaves = lines.groupBy(_leaf(F.col("line")).alias("leaf")).agg(F.count("*").alias("c")).where(F.col("c") >= min_docs).select("leaf")
@@ -63,12 +65,17 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A group here is one line's positions.
     lists = at.groupBy("lid", "leaf").agg(F.sort_array(F.collect_list(field)).alias("fields"), F.sum(F.col("fixed").cast("int")).alias("n_fixed"))
     template = F.array_join(F.transform("fields", lambda f: f["token"]), " ")
-    templates = cut(lists.where(10 * F.col("n_fixed") >= CONSTANT_TENTHS * F.size("fields")).select("lid", template.alias("template")), "templates")
+    lists = lists.where(10 * F.col("n_fixed") >= CONSTANT_TENTHS * F.size("fields"))
+    templates = cut(lists.select("lid", F.md5(template.cast("binary")).alias("tid")), "templates")
 
-    members = found.select("id", "lid").join(templates, "lid")
-    documents = members.groupBy("template", "id").agg(F.first("lid").alias("one")).groupBy("template")
+    members = cut(found.select("id", "lid").join(templates, "lid"), "members")
+    documents = members.select("tid", "id").distinct().groupBy("tid")
     recurring = documents.agg(F.count("*").alias("n_docs"), F.min("id").alias("first_id")).where(F.col("n_docs") >= min_docs)
-    return members.join(recurring, "template").select("id", "lid", "template", "first_id", "n_docs")
+    # A written table, so that the join below is one of plain tables, which Spark splits where a template is very common.
+    recurring = cut(recurring, "recurring")
+    if recurring.count() <= BROADCAST_TEMPLATES:
+        recurring = F.broadcast(recurring)
+    return members.join(recurring, "tid").select("id", "lid", "tid", "first_id", "n_docs")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:

@@ -32,6 +32,7 @@ def test_templates_generalise_variable_fields(spark):
 def test_shuffled_leaves_give_the_same(spark, monkeypatch):
     want = spark_rows(queries.op8_line_dedup(spark, "/root/testdata/sf0.001"))
     monkeypatch.setattr(line_templates, "BROADCAST_LEAVES", 0)
+    monkeypatch.setattr(line_templates, "BROADCAST_TEMPLATES", 0)
     assert spark_rows(queries.op8_line_dedup(spark, "/root/testdata/sf0.001")) == want
 
 
