@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .bpe import _Recent
 from .common import column, cut, slices
 from .components import connected_components
-from .packed import bucket_bits, chunk_numbers, emit, from_planes, planes, rows_by_key
+from .packed import Out, bucket_bits, chunk_numbers, emit, from_planes, planes, rows_by_key
 
 WORDS = 5
 #: Similarity as a fraction: links have NUM / DEN or more.
@@ -43,7 +43,7 @@ NUM, DEN = 3, 4
 CHUNK = 1 << 20
 GROUP_NODES = 1000
 GROUP_SHINGLES = 2 << 20
-#: Nodes of a large group that are searched for in each round before the rest.
+#: Nodes of a large group that are searched for in each round before the rest, and such rounds at most.
 PIVOTS = 16
 PIVOT_ROUNDS = 3
 #: Ids of candidate documents are broadcast up to this many rows (8 bytes each), else joined by a shuffle.
@@ -160,10 +160,11 @@ def shared_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield from flush()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Out(_EXCHANGE_NAMES, _EXCHANGE_KINDS)
         for key, group in rows_by_key(batches, "key"):
             if key < 0:  # a chunk's own row passes through
                 for r in group:
-                    yield emit([(1, r["chunk"], r["payload"])], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
+                    yield from out.add(1, r["chunk"], r["payload"])
                 continue
             chunks, parts, tags, sizes = [], [], [], []
             for r in group:
@@ -183,8 +184,8 @@ def shared_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             owner = pair >> 32
             for c in np.unique(owner):
                 mine = owner == c
-                payload = pickle.dumps((planes(pair[mine] & _MULTI), planes(n[mine])))
-                yield emit([(0, chunks[c], payload)], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
+                yield from out.add(0, chunks[c], pickle.dumps((planes(pair[mine] & _MULTI), planes(n[mine]))))
+        yield from out.rest()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in rows_by_key(batches, "chunk"):
@@ -215,7 +216,7 @@ _NODES = "chunk long, payload binary"
 def packed_nodes(docs: DataFrame, candidates: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Nodes of the candidate documents in chunks: ``chunk, payload`` with digests, smallest ids and sets.
 
-    ``candidates`` has the ids. Rows that share an id with a candidate come along, which does no harm.
+    ``candidates`` has the ids and set sizes ``n``. Rows that share an id with a candidate come along, which does no harm.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     ids = candidates.select(F.col("id").alias("c")).distinct()
@@ -247,7 +248,10 @@ def packed_nodes(docs: DataFrame, candidates: DataFrame, id_col: str, text_col:
         if held:
             yield emit([(next(chunks), pickle.dumps(held))], ["chunk", "payload"], [pa.int64(), pa.binary()])
 
-    return cut(nodes.select("digest", "id", "members").mapInArrow(pack, _NODES), "nodes")
+    # As many tasks as chunks, or cores: a chunk asks every bucket, so small chunks would ask in vain.
+    shingles = candidates.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tasks = max(shingles // CHUNK + 1, docs.sparkSession.sparkContext.defaultParallelism)
+    return cut(nodes.select("digest", "id", "members").coalesce(tasks).mapInArrow(pack, _NODES), "nodes")
 
 
 def node_rows(nodes: DataFrame) -> DataFrame:
@@ -278,6 +282,7 @@ def rare_prefixes(nodes: DataFrame) -> DataFrame:
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Number of nodes that have each shingle, back to each chunk in the order it asked."""
+        out = Out(_EXCHANGE_NAMES, _EXCHANGE_KINDS)
         for key, group in rows_by_key(batches, "key"):
             chunks, parts, counts = [], [], []
             for r in group:
@@ -289,8 +294,9 @@ def rare_prefixes(nodes: DataFrame) -> DataFrame:
             total = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)[place]
             at = 0
             for chunk, part in zip(chunks, parts):
-                yield emit([(key, chunk, planes(total[at : at + len(part)]))], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
+                yield from out.add(key, chunk, planes(total[at : at + len(part)]))
                 at += len(part)
+        yield from out.rest()
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, group in rows_by_key(batches, "chunk"):
@@ -301,8 +307,8 @@ def rare_prefixes(nodes: DataFrame) -> DataFrame:
                     continue
                 sets = [np.frombuffer(m, np.uint64) for _, _, m in pickle.loads(r["payload"])]
                 df = np.concatenate(answers).astype(np.int64)
-                # Order and answers follow the 48-bit keys, in which two shingles of a chunk may rarely be one.
-                keys = np.unique(np.concatenate(sets))
+                keys = np.unique(np.concatenate(sets))  # the order of the answers
+                fronts, nodes_ = [], []
                 for i, s in enumerate(sets):
                     n = len(s)
                     d = df[np.searchsorted(keys, s)]
@@ -310,9 +316,10 @@ def rare_prefixes(nodes: DataFrame) -> DataFrame:
                         continue
                     front = np.lexsort((s, d))[: n - least_overlap(n) + 1]
                     front = front[d[front] > 1]
-                    if len(front):
-                        node = chunk << 21 | i
-                        yield pa.RecordBatch.from_arrays([pa.array(s[front].view(np.int64)), pa.array(np.full(len(front), node, np.int64))], ["shingle", "node"])
+                    fronts.append(s[front].view(np.int64))
+                    nodes_.append(np.full(len(front), chunk << 21 | i, np.int64))
+                if fronts:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(fronts)), pa.array(np.concatenate(nodes_))], ["shingle", "node"])
 
     sent = nodes.mapInArrow(send, _EXCHANGE).repartition("key").sortWithinPartitions("key", "chunk")
     back = sent.mapInArrow(answer, _EXCHANGE).unionByName(nodes.select(F.lit(1 << bits).cast("long").alias("key"), "chunk", "payload"))
@@ -499,32 +506,37 @@ def _search_blocks(index: DataFrame, queries: DataFrame) -> DataFrame:
 def _large_groups(members: DataFrame) -> DataFrame:
     """``a, b`` links that connect the nodes of each large group; ``members``: ``comp, nodes, shingles, node, members``.
 
-    A few rounds search for PIVOTS nodes of each group in all its blocks; then every node outside its group's largest part
-    is searched for. Two nodes that were never searched for lie in the same part, so no link between parts is missed.
+    A few rounds search for PIVOTS nodes of each group in all its blocks; what hangs together with the one that links most is
+    one part, and then every node outside it is searched for. Two nodes that were never searched for lie in that part, so no
+    link between parts is missed.
     """
     blocks = F.greatest(F.ceil(F.col("nodes") / GROUP_NODES), F.ceil(F.col("shingles") / GROUP_SHINGLES)).cast("long")
     index = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     index = cut(index.select("comp", "blocks", "block", "node", "members"), "blocks")
     links = None
     outside = index.select("comp", "node")
+    last = False
     for turn in range(PIVOT_ROUNDS + 1):
-        # Smallest hashes of each group; a group's candidates are combined in each task by the aggregate.
-        if turn < PIVOT_ROUNDS:
-            chosen = outside.select("comp", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("lot"), "node").groupBy("comp", "lot").agg(F.min("node").alias("node")).select("comp", "node")
-        else:
-            chosen = outside
-        queries = index.join(chosen, ["comp", "node"]).select("comp", "blocks", "node", "members")
+        # Each group's pivots: the smallest number of each lot, combined in each task by the aggregate.
+        lot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(PIVOTS))
+        chosen = outside if last else outside.select("comp", lot.alias("lot"), "node").groupBy("comp", "lot").agg(F.min("node").alias("node"))
+        queries = index.join(chosen.select("comp", "node"), ["comp", "node"]).select("comp", "blocks", "node", "members")
         new = cut(_search_blocks(index.select("comp", "block", "node", "members"), queries), "links")
         links = new if links is None else links.unionByName(new)
-        if turn == PIVOT_ROUNDS:
+        if last:
             break
-        part = connected_components(links)
-        labelled = index.select("comp", "node").join(part, "node", "left").select("comp", "node", F.coalesce("component", "node").alias("part"))
-        sizes = labelled.groupBy("comp", "part").agg(F.count("*").alias("c"))
-        largest = sizes.groupBy("comp").agg(F.max(F.struct("c", "part")).alias("m")).select("comp", F.col("m.part").alias("top"))
-        outside = cut(labelled.join(largest, "comp").where("part <> top").select("comp", "node"), "outside")
-        if outside.isEmpty():
+        # The pivot with most links, what it links to, and what pivots among those link to: one part of the group.
+        reach = links.select(F.col("a").alias("pivot"), F.col("b").alias("node")).distinct()
+        comp_of = index.select("comp", F.col("node").alias("pivot"))
+        top = reach.groupBy("pivot").agg(F.count("*").alias("c")).join(comp_of, "pivot").groupBy("comp").agg(F.max(F.struct("c", "pivot")).alias("m"))
+        top = top.select(F.col("m.pivot").alias("node"))
+        star = top.unionByName(reach.join(top.withColumnRenamed("node", "pivot"), "pivot").select("node"))
+        inside = star.unionByName(reach.join(star.withColumnRenamed("node", "pivot"), "pivot", "left_semi").select("node"))
+        outside = cut(index.select("comp", "node").join(inside.distinct(), "node", "left_anti"), "outside")
+        left = outside.count()
+        if not left:
             break
+        last = left <= GROUP_NODES or turn == PIVOT_ROUNDS - 1
     return links
 
 

@@ -43,3 +43,23 @@ def chunk_numbers(bits: int = 20) -> Iterator[int]:
 def bucket_bits(spark) -> int:
     """Log2 of the hash buckets: as many buckets as shuffle partitions, 64 at least."""
     return max(6, math.ceil(math.log2(int(spark.conf.get("spark.sql.shuffle.partitions")))))
+
+
+class Out:
+    """Rows gathered into batches: a batch for every small row would cost more than the rows."""
+
+    def __init__(self, names: list[str], kinds: list[pa.DataType], rows: int = 256, size: int = 4 << 20):
+        self.names, self.kinds, self.rows, self.size = names, kinds, rows, size
+        self.held: list[tuple] = []
+        self.bytes = 0
+
+    def add(self, *row) -> Iterator[pa.RecordBatch]:
+        self.held.append(row)
+        self.bytes += sum(len(x) for x in row if isinstance(x, bytes))
+        if len(self.held) >= self.rows or self.bytes >= self.size:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            yield emit(self.held, self.names, self.kinds)
+            self.held, self.bytes = [], 0
