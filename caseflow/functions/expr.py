@@ -62,15 +62,6 @@ def norm_code(c: str | Column) -> Column:
     return F.upper(strip_ws(c))
 
 
-def py_title_expr(c: str | Column) -> Column:
-    """Python ``str.title()`` as a JVM expression: a letter after any non-letter
-    is capitalised ("crohn's" -> "Crohn'S").  Splits the lower-cased value into
-    runs of letters / non-letters and upper-cases each run's first character."""
-    runs = F.regexp_extract_all(F.lower(col(c)), F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    cap = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), r.substr(F.lit(2), F.length(r))))
-    return F.when(col(c).isNull(), F.lit(None).cast("string")).otherwise(F.array_join(cap, ""))
-
-
 def _title_series(s: pd.Series) -> pd.Series:
     return s.str.title()
 
@@ -79,8 +70,8 @@ _TITLE_UDF = None
 
 
 def py_title(c: str | Column) -> Column:
-    """Python ``str.title()`` exactly, Arrow-batched (faster than the array
-    lambda of ``py_title_expr``, which the JVM evaluates element by element)."""
+    """Python ``str.title()`` exactly ("crohn's" -> "Crohn'S"), Arrow-batched: faster than an array lambda over runs of
+    letters, which the JVM evaluates element by element."""
     global _TITLE_UDF
     if _TITLE_UDF is None:  # built on first use: a UDF needs an active session
         _TITLE_UDF = F.pandas_udf(_title_series, "string")
@@ -111,11 +102,6 @@ def sex_code(c: str | Column) -> Column:
     return F.when(s.isin("M", "F"), s).otherwise(F.lit("U"))
 
 
-def clean_terms(arr: Column) -> Column:
-    """Drop null and blank terms from an array."""
-    return F.filter(arr, lambda t: t.isNotNull() & (F.length(t) > 0))
-
-
 def split_terms(c: str | Column) -> Column:
     """Decode ``A|B|C``: split, trim, upper, drop blanks; null -> []."""
     parts = F.split(F.coalesce(col(c), F.lit("")), r"\|")
@@ -127,11 +113,6 @@ def split_raw(c: str | Column) -> Column:
     return F.split(col(c), r"\|")
 
 
-def join_terms(arr: Column) -> Column:
-    """Encode a term array for export: sorted, ``|``-joined."""
-    return F.array_join(F.array_sort(arr), "|")
-
-
 def sigmoid(z: Column) -> Column:
     zc = F.greatest(F.lit(-SIGMOID_CLIP), F.least(F.lit(SIGMOID_CLIP), z))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-zc))

@@ -1,10 +1,8 @@
 """Per-label threshold calibration over a grid.
 
-Histogram form: each probability is bucketed by the number of grid values
-<= p, so predicting at grid value k means bucket > k.  One aggregation gives
-(label, bucket) counts — at most L x (K+1) rows, combined map-side — and the
-counts for every threshold follow from that small table.  No probability is
-compared against every grid value, and no case x grid product is formed.
+One aggregation by label counts, for every grid value, predicted and true positives (2K + 1 sums a label, combined
+map-side); the best threshold is picked inside the row.  No probability is joined with the grid and no histogram is read
+again.
 """
 
 from __future__ import annotations
@@ -28,38 +26,6 @@ FINE_GRID = arange(0.10, 0.90, 0.05)
 DEFAULT_THRESHOLD = 0.5
 
 
-def bucket(p: Column, grid: list[float]) -> Column:
-    """Number of grid values <= p."""
-    out = None
-    for t in grid:
-        term = (p >= F.lit(t)).cast("int")
-        out = term if out is None else out + term
-    return out
-
-
-def threshold_counts(scores: DataFrame, grid: list[float], label: str | list[str] = "label_id", p: str = "p",
-                     y: str = "y") -> DataFrame:
-    """(keys..., k, threshold, pp, tp, ap) for every key seen and every grid index k
-    reached by at least one probability; ``ap`` also comes as a separate table.
-
-    ``label`` may be a list of key columns (e.g. individual and label).
-    """
-    keys = [label] if isinstance(label, str) else list(label)
-    hist = scores.groupBy(*keys, bucket(F.col(p), grid).alias("_b")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col(y).cast("long")).alias("_pos"))
-    ap = hist.groupBy(*keys).agg(F.sum("_pos").alias("ap"))
-    per_k = (
-        hist.where(F.col("_b") > 0)
-        .select(*keys, F.explode(F.sequence(F.lit(0), F.col("_b") - 1)).alias("k"), "_n", "_pos")
-        .groupBy(*keys, "k").agg(F.sum("_n").alias("pp"), F.sum("_pos").alias("tp"))
-    )
-    grid_arr = F.array(*[F.lit(t) for t in grid])
-    counts = per_k.join(ap, keys, "inner").select(
-        *keys, F.col("k").cast("int").alias("k"), F.element_at(grid_arr, F.col("k") + 1).alias("threshold"),
-        "pp", "tp", "ap")
-    return counts, ap
-
-
 def f1_from_counts(tp: Column, pp: Column, ap: Column) -> Column:
     """F1 = 2tp / (pp + ap); 0 when the denominator is 0."""
     den = pp + ap
@@ -74,30 +40,14 @@ def best_thresholds(scores: DataFrame, grid: list[float] = FINE_GRID, label: str
     ``labels`` (one column named ``label``) lists labels that must appear even
     when absent from ``scores``; otherwise the labels seen in ``scores``.
     """
-    counts, ap = threshold_counts(scores, grid, label, p, y)
-    counts = counts.withColumn("f1", f1_from_counts(F.col("tp"), F.col("pp"), F.col("ap")))
-    best = counts.where(F.col("f1") > 0).groupBy(label).agg(
-        F.max_by(F.struct("threshold", "f1"), F.struct(F.col("f1"), -F.col("k"))).alias("_b"))
-    if labels is None:
-        labels = ap.select(label)
-    return labels.join(best, label, "left").select(
-        label,
-        F.coalesce(F.col("_b.threshold"), F.lit(default)).alias("threshold"),
-        F.coalesce(F.col("_b.f1"), F.lit(0.0)).alias("f1"),
-    )
-
-
-def macro_best_f1(scores: DataFrame, grid: list[float] = FIT_GRID, group: str | None = None, label: str = "label_id",
-                  p: str = "p", y: str = "y", n_labels: int | None = None) -> DataFrame:
-    """E1 core: mean over labels of the best-threshold F1 (per ``group`` if given).
-
-    Labels that never reach a positive F1 count as 0; ``n_labels`` fixes the
-    denominator (labels absent from the data still count).
-    """
-    keys = ([group] if group else []) + [label]
-    counts, ap = threshold_counts(scores, grid, keys, p, y)
-    per_key = counts.groupBy(*keys).agg(F.max(f1_from_counts(F.col("tp"), F.col("pp"), F.col("ap"))).alias("f1"))
-    best = ap.select(*keys).join(per_key, keys, "left").fillna(0.0, subset=["f1"])
-    gkeys = [group] if group else []
-    den = F.lit(float(n_labels)) if n_labels else F.count(F.lit(1)).cast("double")
-    return best.groupBy(*gkeys).agg((F.sum("f1") / den).alias("fitness"))
+    hit, real = [F.col(p) >= F.lit(t) for t in grid], F.col(y).cast("long")
+    sums = [F.sum(h.cast("long")).alias(f"pp{k}") for k, h in enumerate(hit)] + [F.sum(F.when(h, real).otherwise(0)).alias(f"tp{k}") for k, h in enumerate(hit)]
+    wide = scores.groupBy(label).agg(F.sum(real).alias("ap"), *sums)
+    f1 = lambda k: f1_from_counts(F.col(f"tp{k}"), F.col(f"pp{k}"), F.col("ap"))
+    best = F.array_max(F.array(*[F.struct(f1(k).alias("f1"), F.lit(-k).alias("k"), F.lit(t).alias("threshold")) for k, t in enumerate(grid)]))
+    found = wide.select(label, best.alias("_b"))
+    if labels is not None:
+        found = labels.join(found, label, "left")
+    good = F.col("_b.f1") > 0
+    return found.select(label, F.when(good, F.col("_b.threshold")).otherwise(F.lit(default)).alias("threshold"),
+                        F.when(good, F.col("_b.f1")).otherwise(F.lit(0.0)).alias("f1"))

@@ -11,7 +11,7 @@ map-side, and per-case sets are bounded by the distinct terms of that case.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
@@ -52,9 +52,8 @@ def latest_version(df: DataFrame, key: str = "primaryid", order: tuple[str, ...]
                    keep_order: bool = False) -> DataFrame:
     """Keep the last row per key in (file, row) order.
 
-    ``max_by`` over a struct of the order columns is a hash aggregate with a
-    map-side partial, so a key with very many versions never gathers its rows
-    in one place.
+    ``max_by`` over a struct of the order columns has a map-side partial (a sort aggregate, as its buffer holds strings),
+    so a key with very many versions never gathers its rows in one place.
     """
     payload = [c for c in df.columns if c != key and (keep_order or c not in order)]
     ordk = F.struct(*[F.col(c) for c in order])
@@ -146,8 +145,3 @@ def export_cases(cases: DataFrame) -> DataFrame:
         if c in cases.columns:
             out = out.withColumn(c, F.array_join(c, "|"))
     return out
-
-
-def version_window(key: str = "primaryid", order: tuple[str, ...] = ("_file", "_row")):
-    """Window form of W1 (for callers that need every version ranked)."""
-    return Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])

@@ -69,18 +69,19 @@ def summary(pred: DataFrame, key: str = "case_id", label: str = "label_id", y: s
 
 
 def case_outcomes(pred: DataFrame, key: str = "case_id", label: str = "label_id", y: str = "y",
-                  flag: str = "pred") -> DataFrame:
-    """U2 + A12 + M9: per case real / predicted / TP / FP / FN sets and counts."""
+                  flag: str = "pred", p: str = "p") -> DataFrame:
+    """U2 + A12 + M9: per case real / predicted / TP / FP / FN sets and counts, and the highest probability."""
     lab = F.col(label)
     yes = F.col(y) == 1
-    p = F.col(flag)
+    on = F.col(flag)
     return pred.groupBy(key).agg(
         F.array_sort(F.collect_list(F.when(yes, lab))).alias("real"),
-        F.array_sort(F.collect_list(F.when(p, lab))).alias("predicted"),
-        F.array_sort(F.collect_list(F.when(yes & p, lab))).alias("tp"),
-        F.array_sort(F.collect_list(F.when(~yes & p, lab))).alias("fp"),
-        F.array_sort(F.collect_list(F.when(yes & ~p, lab))).alias("fn"),
-    ).select(key, "real", "predicted", "tp", "fp", "fn",
+        F.array_sort(F.collect_list(F.when(on, lab))).alias("predicted"),
+        F.array_sort(F.collect_list(F.when(yes & on, lab))).alias("tp"),
+        F.array_sort(F.collect_list(F.when(~yes & on, lab))).alias("fp"),
+        F.array_sort(F.collect_list(F.when(yes & ~on, lab))).alias("fn"),
+        F.max(p).alias("max_p"),
+    ).select(key, "real", "predicted", "tp", "fp", "fn", "max_p",
              F.size("real").alias("n_real"), F.size("predicted").alias("n_predicted"), F.size("tp").alias("n_hits"))
 
 

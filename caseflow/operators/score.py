@@ -103,8 +103,3 @@ def topk_labels(long_scores: DataFrame, k: int, key: str = "case_id", label: str
     """The k most probable labels per case (ties by label id), with rank 1..k."""
     w = Window.partitionBy(key).orderBy(F.desc("p"), F.asc(label))
     return long_scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def max_probability(long_scores: DataFrame, key: str = "case_id") -> DataFrame:
-    """A12 (part): highest probability per case."""
-    return long_scores.groupBy(key).agg(F.max("p").alias("max_p"))

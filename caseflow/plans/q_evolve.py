@@ -22,6 +22,7 @@ from ..operators import pareto as PA
 from ..operators import select as SEL
 from ..operators import step as ST
 from ..operators.split import hash_split
+from ..session import written
 from ..sources.driver_views import SCORE_VIEW_DUCKDB, read_table, view
 from .q_scoring import EMB_SHAPE, EMB_X, embedding_features, forward_sql, genes_sql
 from . import pipeline as PL
@@ -115,7 +116,7 @@ def _pairs(spark, sf_dir):
     UNION ALL SELECT 'arithmetic', pair, 'c1', gene, round(al * v1 + (1.0 - al) * v2, 9) FROM x
     UNION ALL SELECT 'arithmetic', pair, 'c2', gene, round((1.0 - al) * v1 + al * v2, 9) FROM x""")
 def q_crossover_all(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir).cache()
+    pairs = written(_pairs(spark, sf_dir), "pairs")
     out = None
     for kind in ("uniform", "one_point", "arithmetic"):
         ch = EV.crossover(pairs, kind, SEED, GEN)
@@ -187,7 +188,7 @@ S0, S1 = EV.SIGMA0, EV.SIGMA_END
            CAST(rec.imm AS INTEGER) AS immigrants
     FROM t JOIN rec ON t.gen = rec.gen""")
 def q_history_stats(spark, sf_dir):
-    h = _history(spark, sf_dir).cache()
+    h = written(_history(spark, sf_dir), "history")
     n = h.count()
     base = EV.sigma_base(F.col("gen"), n, S0, S1)
     sigma, event = EV.adaptive_sigma(F.col("div"), base)
@@ -299,7 +300,7 @@ def q_population_fitness(spark, sf_dir):
     pop = fit_population()
     # one pass over the data: coarse-grid bucket counts serve both the fitness
     # and the objectives at 0.5 (a grid value: predict when bucket > its index)
-    counts = EV.population_counts(data, pop, EMB_SHAPE, CAL.FIT_GRID).cache()
+    counts = written(EV.population_counts(data, pop, EMB_SHAPE, CAL.FIT_GRID), "counts")
     f = EV.fitness_from_counts(counts, CAL.FIT_GRID, EMB_SHAPE.o)
     o = EV.objectives_from_counts(counts, EMB_SHAPE.o, CAL.FIT_GRID.index(0.5))
     return f.join(o, "ind").select(F.col("ind").cast("int").alias("ind"), F.round("fitness", 9).alias("fitness"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sqlfrag as S
 from ..operators import features as FT
+from ..session import written
 from ..sources.driver_views import view
 from . import sqlcte as Q
 from .q_cases import cases_from_views
@@ -54,7 +55,7 @@ def features_sql() -> str:
 
 
 def fitted(spark: SparkSession, sf_dir: str):
-    cases = cases_from_views(spark, sf_dir).cache()
+    cases = written(cases_from_views(spark, sf_dir), "cases")
     model = FT.fit_features(cases)
     return cases, model
 

@@ -17,6 +17,7 @@ from ..operators import labels as L
 from ..operators import step as ST
 from ..operators import validate as V
 from ..operators.split import hash_split
+from ..session import written
 from ..sources.driver_views import view
 from . import sqlcte as Q
 from .q_cases import SEED, TEST_MIN_FREQ, cases_from_views
@@ -77,7 +78,7 @@ def test_cases(cases: DataFrame) -> DataFrame:
     FROM cases LEFT JOIN pr ON id = primaryid GROUP BY primaryid""")
 def q_score_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every assembled case, missing attributes included, through featurizer, network and thresholds."""
-    cases = cases_from_views(spark, sf_dir)
+    cases = written(cases_from_views(spark, sf_dir), "cases")
     model = model_of(cases)
     scored = CM.predict(cases.select("primaryid", "drug", "other_drugs", "indications", "age_years", "weight_kg", "sex"), model)
     best = F.get(CM.top_labels(model, 1), F.lit(0))
@@ -94,7 +95,7 @@ def q_score_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
            array_to_string(list_filter(rl, lambda z: NOT list_contains(pl, z)), '|') AS fn,
            CAST(len(rl) AS INTEGER) AS n_real, CAST(len(pl) AS INTEGER) AS n_predicted, CAST(len(hit) AS INTEGER) AS n_hits FROM j""")
 def q_test_case_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cases = cases_from_views(spark, sf_dir)
+    cases = written(cases_from_views(spark, sf_dir), "cases")
     model = model_of(cases)
     rows = test_cases(cases).select("primaryid", "age_years", "sex", "weight_kg", "drug", "other_drugs", "indications", "reaction_list")
     return CM.case_table(CM.predict(rows, model), model)
@@ -124,7 +125,7 @@ _KB_VIEWS = ", ".join(Q.views("c_known", "c_names"))
            round(CASE WHEN nk > 0 THEN 2.0 * pc * rc / (pc + rc + 1e-9) END, 9) AS f1, array_to_string(pl, '|') AS predicted_effects FROM r""")
 def q_kb_model_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 30 most frequent drugs as patients without attributes, scored by the model and held against the knowledge base."""
-    cases = cases_from_views(spark, sf_dir)
+    cases = written(cases_from_views(spark, sf_dir), "cases")
     model = model_of(cases)
     top = L.topk_terms(L.term_frequency(cases, "drug"), TOP_DRUGS).select(F.col("term").alias("drug"))
     scored = CM.predict(CM.generic_cases(top), model).select(F.col("name").alias("drug"), CM.predicted_labels(model).alias("predicted"))
@@ -143,7 +144,7 @@ def q_kb_model_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM tk LEFT JOIN kd ON kd.primaryid = tk.id AND kd.label = tk.label WHERE rank <= {TOP_LABELS}""")
 def q_kb_case_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each test case's 15 most probable labels against what the knowledge base has for the case's drugs."""
-    cases = cases_from_views(spark, sf_dir)
+    cases = written(cases_from_views(spark, sf_dir), "cases")
     model = model_of(cases)
     rows = test_cases(cases).select("primaryid", "drug", "other_drugs", "indications", "age_years", "weight_kg", "sex")
     scored = CM.predict(rows, model)

@@ -114,8 +114,6 @@ def _ids(arr: str) -> str:
 def q_case_outcomes(spark, sf_dir):
     scores, thr = calibrated(spark, sf_dir)
     out = M.case_outcomes(SC.predict_flags(scores, thr))
-    mx = SC.max_probability(scores)
-    out = out.join(mx, "case_id")
     for c in ("real", "predicted", "tp", "fp", "fn"):
         out = out.withColumn(c, F.array_join(F.col(c).cast("array<string>"), "|"))
     return out.withColumn("max_p", F.round("max_p", 6))

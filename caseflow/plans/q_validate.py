@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import sqlfrag as S
 from ..operators import labels as L
 from ..operators import validate as V
+from ..session import written
 from ..sources.driver_views import view
 from . import sqlcte as Q
 from .q_cases import TEST_MIN_FREQ, cases_from_views
@@ -23,22 +24,23 @@ TOP_DRUGS = 30
 TOP_LABELS = 15
 
 
-def drug_label_probs(cases: DataFrame, vocab: DataFrame, share: float = SHARE) -> DataFrame:
-    """(drug, label, p, predicted): share of the drug's cases reporting the label."""
-    dc = cases.select("primaryid", F.explode("drug").alias("drug"), "reactions")
+def drug_label_probs(cases: DataFrame, vocab: DataFrame, top: DataFrame, share: float = SHARE) -> DataFrame:
+    """(drug, label, p, predicted): share of the drug's cases reporting the label, for the drugs of ``top`` (TOP_DRUGS
+    rows, so it is broadcast and the other drugs' rows go before anything is counted)."""
+    dc = cases.select("primaryid", F.explode("drug").alias("drug"), "reactions").join(F.broadcast(top), "drug", "left_semi")
     n_drug = dc.groupBy("drug").agg(F.count(F.lit(1)).alias("n_cases"))
     dl = (dc.select("drug", F.explode("reactions").alias("label"))
-          .join(vocab.select("label"), "label", "left_semi")
+          .join(L.dimension(vocab.select("label")), "label", "left_semi")
           .groupBy("drug", "label").agg(F.count(F.lit(1)).alias("n")))
     return dl.join(n_drug, "drug").select("drug", "label", (F.col("n") / F.col("n_cases")).alias("p")).withColumn(
         "predicted", F.col("p") >= F.lit(share))
 
 
 def _validation_parts(spark: SparkSession, sf_dir: str):
-    cases = cases_from_views(spark, sf_dir).cache()
+    cases = written(cases_from_views(spark, sf_dir), "cases")
     vocab = L.label_vocab(cases, TEST_MIN_FREQ)
     top = L.topk_terms(L.term_frequency(cases, "drug"), TOP_DRUGS).select(F.col("term").alias("drug"))
-    probs = drug_label_probs(cases, vocab).join(top, "drug", "left_semi")
+    probs = drug_label_probs(cases, vocab, top)
     known = V.known_effects(view(spark, sf_dir, "c_known"))
     mapped = V.map_names(top, view(spark, sf_dir, "c_names"), with_suffixes=False)
     return cases, vocab, top, probs, known, mapped
@@ -129,16 +131,14 @@ def q_kb_summary(spark, sf_dir):
                 WHEN tk.predicted THEN 'no evidence' ELSE '—' END AS outcome
     FROM tk LEFT JOIN kd ON tk.drug = kd.drug AND tk.label = kd.label WHERE tk.rank <= {TOP_LABELS}""")
 def q_kb_compare(spark, sf_dir):
-    _, _, _, probs, known, mapped = _validation_parts(spark, sf_dir)
-    kd = _known_in_vocab(spark, sf_dir, mapped, known)
+    _, vocab, _, probs, known, mapped = _validation_parts(spark, sf_dir)
+    kd = _known_in_vocab(mapped, known, vocab)
     c = V.compare_topk(probs, kd, TOP_LABELS)
     return c.select("drug", F.col("rank").cast("int").alias("rank"), "label", F.round("p", 9).alias("p"),
                     "predicted", "known", "outcome")
 
 
-def _known_in_vocab(spark, sf_dir, mapped, known):
-    cases = cases_from_views(spark, sf_dir)
-    vocab = L.label_vocab(cases, TEST_MIN_FREQ)
+def _known_in_vocab(mapped, known, vocab):
     kl = known.select("stitch_flat", F.explode("known").alias("label")).join(vocab.select("label"), "label", "left_semi")
     return mapped.join(kl, mapped.stitch_id == kl.stitch_flat).select("drug", "label")
 
@@ -162,8 +162,8 @@ def _known_in_vocab(spark, sf_dir, mapped, known):
            coalesce(ms.n_missed, 0) AS n_missed
     FROM nk LEFT JOIN pp ON nk.drug = pp.drug LEFT JOIN tt ON nk.drug = tt.drug LEFT JOIN ms ON nk.drug = ms.drug""")
 def q_kb_sets(spark, sf_dir):
-    _, _, _, probs, known, mapped = _validation_parts(spark, sf_dir)
-    kd = _known_in_vocab(spark, sf_dir, mapped, known)
+    _, vocab, _, probs, known, mapped = _validation_parts(spark, sf_dir)
+    kd = _known_in_vocab(mapped, known, vocab)
     w = F.row_number().over(Window.partitionBy("drug").orderBy(F.desc("p"), "label"))
     top = probs.withColumn("rank", w).where(F.col("rank") <= TOP_LABELS)
     sc = V.set_scores(probs, top, kd)

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # One BLAS thread per Python worker: Spark already runs one worker per core, so
@@ -63,3 +64,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="caseflow-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table under the shared checkpoint folder: several readers share one computation, the lineage ends,
+    and no executor memory is held."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
