@@ -73,3 +73,14 @@ def test_headerless_and_case_table_null_the_missing_tokens(spark, scratch):
     for path in (p, "file://" + p):
         df = D.read_case_table(spark, path)
         assert sorted(map(tuple, df.select("primaryid", "age_years", "sex", "weight_kg").collect())) == [("1", None, "M", None), ("2", 41.5, None, None)]
+
+
+def test_result_tables_are_written_in_both_formats(spark, scratch):
+    df = spark.createDataFrame([("1", 41.5, "M"), ("2", None, None)], "primaryid string, age_years double, sex string")
+    for fmt in ("parquet", "csv"):
+        path = "file://" + os.path.join(scratch, fmt)
+        for _ in range(2):  # the second replaces the first
+            A.write_table(df, path, fmt)
+    assert sorted(map(tuple, spark.read.parquet(os.path.join(scratch, "parquet")).collect())) == [("1", 41.5, "M"), ("2", None, None)]
+    back = D.read_case_table(spark, os.path.join(scratch, "csv"))
+    assert sorted(map(tuple, back.select("primaryid", "age_years", "sex").collect())) == [("1", 41.5, "M"), ("2", None, None)]
