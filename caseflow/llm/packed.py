@@ -12,12 +12,17 @@ from pyspark import TaskContext
 
 
 def planes(a: np.ndarray) -> bytes:
-    """Whole numbers as byte planes, so that the shuffle's compression drops the high zero bytes."""
-    return a.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Whole numbers as byte planes: the width that the largest needs, then each number's lowest bytes, the next ones, ..."""
+    whole = a.astype("<u8")
+    width = max(1, -(-int(whole.max()).bit_length() // 8)) if len(whole) else 1
+    return bytes([width]) + whole.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def from_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
+    body = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((body.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = body.T
+    return out.view("<u8").reshape(-1)
 
 
 def rows_by_key(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[int, Iterator[dict]]]:
