@@ -7,7 +7,20 @@ Spark operators, independently, in the other engine's dialect.
 
 from __future__ import annotations
 
-from .expr import AGE_UNITS, HASH_SCALE, NA_TOKENS, NUMBER_RE, WEIGHT_UNITS
+# Fixed values, stated here for the SQL side by itself: an oracle that read them from the code under test would agree
+# with any mistake in them.
+NA_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+    "nan", "null",
+]
+AGE_UNITS = {"DEC": "10.0", "YR": "1.0", "MON": "(1.0::DOUBLE / 12)", "WK": "(1.0::DOUBLE / 52)", "DY": "(1.0::DOUBLE / 365)", "HR": "(1.0::DOUBLE / 8760)"}
+WEIGHT_UNITS = {"KG": "1.0", "KGS": "1.0", "LBS": "0.4536", "GMS": "0.001"}
+NUMBER = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
+HASH_SCALE = 281474976710656.0  # 2 ** 48
+TOKEN = "[a-z][a-z0-9]+"
+FIT_GRID = "(SELECT range AS k, 0.1::DOUBLE + range * ((0.1::DOUBLE + 0.1::DOUBLE) - 0.1::DOUBLE) AS t FROM range(0, 8)) g"
+FINE_GRID = "(SELECT range AS k, 0.1::DOUBLE + range * ((0.1::DOUBLE + 0.05::DOUBLE) - 0.1::DOUBLE) AS t FROM range(0, 16)) g"
 
 
 def q(s: str) -> str:
@@ -34,11 +47,11 @@ def py_title(e: str) -> str:
 
 def num_or_null(e: str) -> str:
     s = strip_ws(f"CAST({e} AS VARCHAR)")
-    return f"(CASE WHEN regexp_full_match({s}, '{NUMBER_RE[1:-1]}') THEN TRY_CAST({s} AS DOUBLE) END)"
+    return f"(CASE WHEN regexp_full_match({s}, '{NUMBER}') THEN TRY_CAST({s} AS DOUBLE) END)"
 
 
 def _factor(code: str, factors: dict) -> str:
-    whens = " ".join(f"WHEN {code} = {q(k)} THEN {float(v)!r}" for k, v in factors.items())
+    whens = " ".join(f"WHEN {code} = {q(k)} THEN {v}::DOUBLE" for k, v in factors.items())
     return f"(CASE {whens} ELSE 1.0 END)"
 
 

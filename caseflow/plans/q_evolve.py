@@ -30,16 +30,14 @@ from .registry import query
 
 SEED = 42
 GEN = 1
-RANK_S = EV.RANK_S
-A_RANK = 2.0 - RANK_S
-B_RANK = 2.0 * (RANK_S - 1.0)
+RANK_S = 1.7
 N_FIT_POP = EV.POP_SIZE  # population scored by the distributed fitness query
 
 POP_SQL = """f AS (SELECT vec_id AS ind, CAST(embedding AS DOUBLE[]) AS genome,
                          round(list_sum(CAST(embedding AS DOUBLE[])) / 64, 9) AS fitness FROM embeddings)"""
 POS_SQL = "pos AS (SELECT ind, fitness, genome, row_number() OVER (ORDER BY ind) - 1 AS pos FROM f)"
 RANK_SQL = f"""r AS (SELECT ind, row_number() OVER (ORDER BY fitness, ind) - 1 AS rank, count(*) OVER () AS n FROM f),
-    rp AS (SELECT ind, rank, ({A_RANK!r} + {B_RANK!r} * rank / (n - 1)) / n AS prob FROM r)"""
+    rp AS (SELECT ind, rank, ((2.0::DOUBLE - 1.7) + 2.0::DOUBLE * (1.7::DOUBLE - 1.0) * rank / (n - 1)) / n AS prob FROM r)"""
 GENES_SQL = """gl AS (SELECT ind, CAST(generate_subscripts(genome, 1) - 1 AS BIGINT) AS gene, unnest(genome) AS v FROM f)"""
 
 
@@ -170,17 +168,17 @@ S0, S1 = EV.SIGMA0, EV.SIGMA_END
 @query("history_stats", "W3 W4 W7 W8 E11 A19", f"""WITH RECURSIVE
     h AS (SELECT date_trunc('hour', ts) AS hr, max(value) AS best, avg(value) AS mean, stddev_pop(value) / 100 AS div
           FROM events GROUP BY 1),
-    g AS (SELECT row_number() OVER (ORDER BY hr) AS gen, best, div, div < {EV.DIV_LOW!r} AS low FROM h),
+    g AS (SELECT row_number() OVER (ORDER BY hr) AS gen, best, div, div < 0.090 AS low FROM h),
     n AS (SELECT count(*) AS gn FROM g),
-    s AS (SELECT gen, best, low, div, {S0!r} + ((gen - 1) / greatest(1, (SELECT gn FROM n) - 1)) * {S1 - S0!r} AS base FROM g),
+    s AS (SELECT gen, best, low, div, 0.25 + ((gen - 1) / greatest(1, (SELECT gn FROM n) - 1)) * (0.02::DOUBLE - 0.25::DOUBLE) AS base FROM g),
     t AS (SELECT gen, best, low,
-                 CASE WHEN div < {EV.DIV_LOW!r} THEN base * {EV.SIGMA_BOOST!r} WHEN div > {EV.DIV_HIGH!r} THEN base * {EV.SIGMA_DAMP!r} ELSE base END AS sigma,
-                 CASE WHEN div < {EV.DIV_LOW!r} THEN 'boost' WHEN div > {EV.DIV_HIGH!r} THEN 'damp' ELSE '-' END AS event FROM s),
+                 CASE WHEN div < 0.090 THEN base * 3.0 WHEN div > 0.115 THEN base * 0.5 ELSE base END AS sigma,
+                 CASE WHEN div < 0.090 THEN 'boost' WHEN div > 0.115 THEN 'damp' ELSE '-' END AS event FROM s),
     rec(gen, last, imm) AS (
-        SELECT 0, -{EV.IMMIGRANT_PERIOD}, 0
+        SELECT 0, -15, 0
         UNION ALL
-        SELECT t.gen, CASE WHEN t.low AND t.gen - rec.last >= {EV.IMMIGRANT_PERIOD} THEN t.gen ELSE rec.last END,
-               CASE WHEN t.low AND t.gen - rec.last >= {EV.IMMIGRANT_PERIOD} THEN 1 ELSE 0 END
+        SELECT t.gen, CASE WHEN t.low AND t.gen - rec.last >= 15 THEN t.gen ELSE rec.last END,
+               CASE WHEN t.low AND t.gen - rec.last >= 15 THEN 1 ELSE 0 END
         FROM rec JOIN t ON t.gen = rec.gen + 1)
     SELECT CAST(t.gen AS INTEGER) AS gen, max(t.best) OVER (ORDER BY t.gen ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far,
            round(t.sigma, 12) AS sigma, t.event,
@@ -280,10 +278,9 @@ FIT_Y = """y AS (SELECT vec_id AS case_id, CAST(label AS BIGINT) AS k FROM embed
 
 
 def _fitness_sql(recursive: str = "") -> str:
-    grid = ", ".join(f"({t!r}::DOUBLE)" for t in CAL.FIT_GRID)
     return f"""WITH {recursive} w AS ({genes_sql(EMB_SHAPE, SEED, n_ind=N_FIT_POP)}), {EMB_X}, {forward_sql(EMB_SHAPE, 'x', 'w')}, {FIT_Y},
-    c AS (SELECT ind, k, t, sum(CASE WHEN p >= t THEN 1 ELSE 0 END) AS pp, sum(CASE WHEN p >= t AND yy = 1 THEN 1 ELSE 0 END) AS tp,
-                 sum(yy) AS ap FROM py, (VALUES {grid}) g(t) GROUP BY ind, k, t),
+    c AS (SELECT ind, lab AS k, t, sum(CASE WHEN p >= t THEN 1 ELSE 0 END) AS pp, sum(CASE WHEN p >= t AND yy = 1 THEN 1 ELSE 0 END) AS tp,
+                 sum(yy) AS ap FROM (SELECT ind, k AS lab, p, yy FROM py), {S.FIT_GRID} GROUP BY ind, lab, t),
     bf AS (SELECT ind, k, max(CASE WHEN pp + ap > 0 THEN 2.0::DOUBLE * tp / (pp + ap) ELSE 0.0 END) AS f1 FROM c GROUP BY ind, k),
     fit AS (SELECT ind, sum(f1) / 10.0 AS fitness FROM bf GROUP BY ind),
     o AS (SELECT ind, k, sum(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END) AS pp, sum(CASE WHEN p >= 0.5 AND yy = 1 THEN 1 ELSE 0 END) AS tp,
@@ -471,7 +468,7 @@ def q_sweep(spark, sf_dir):
 
 
 @query("elites", "T6", f"""WITH {POP_SQL}
-    SELECT ind, fitness FROM f ORDER BY fitness DESC, ind LIMIT {EV.ELITISM}""")
+    SELECT ind, fitness FROM f ORDER BY fitness DESC, ind LIMIT 2""")
 def q_elites(spark, sf_dir):
     return EV.elites(emb_population(spark, sf_dir).select("ind", "fitness"), EV.ELITISM)
 

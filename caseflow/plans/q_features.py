@@ -39,11 +39,11 @@ def features_sql() -> str:
            UNION ALL SELECT primaryid, lower(t) FROM (SELECT primaryid, unnest(other_drugs) AS t FROM cn) WHERE t <> '' AND t NOT IN (SELECT term FROM ov)
            UNION ALL SELECT primaryid, lower(t) FROM (SELECT primaryid, unnest(indications) AS t FROM cn) WHERE t <> '' AND t NOT IN (SELECT term FROM iv)),
     docs AS (SELECT primaryid, t FROM rt UNION ALL SELECT primaryid, 'unknown' FROM cn WHERE primaryid NOT IN (SELECT primaryid FROM rt)),
-    tok AS (SELECT primaryid, unnest(regexp_extract_all(t, '{FT.TOKEN_PATTERN}')) AS term FROM docs),
+    tok AS (SELECT primaryid, unnest(regexp_extract_all(t, '{S.TOKEN}')) AS term FROM docs),
     tf AS (SELECT primaryid, term, count(*) AS tf FROM tok GROUP BY primaryid, term),
-    st AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM tf GROUP BY term HAVING count(*) >= {FT.TFIDF_MIN_DF}),
+    st AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM tf GROUP BY term HAVING count(*) >= 5),
     tv AS (SELECT term, df, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS pos FROM (
-           SELECT term, df FROM st ORDER BY ctf DESC, term LIMIT {FT.TFIDF_TERMS})),
+           SELECT term, df FROM st ORDER BY ctf DESC, term LIMIT 40)),
     nd AS (SELECT count(*) AS n FROM cn),
     tw AS (SELECT tf.primaryid, tv.term, tv.pos, tf.tf * (ln((1 + nd.n) / (1 + tv.df)) + 1) AS x FROM tf JOIN tv ON tf.term = tv.term, nd),
     tn AS (SELECT primaryid, sqrt(sum(x * x)) AS nrm FROM tw GROUP BY primaryid),
@@ -81,10 +81,10 @@ def q_residual_tfidf(spark, sf_dir):
 
 
 @query("text_tfidf", "M3 A5", "WITH " + ",\n".join(Q.views("c_text")) + f""",
-    tok AS (SELECT doc_id, unnest(regexp_extract_all(text, '{FT.TOKEN_PATTERN}')) AS term FROM c_text),
+    tok AS (SELECT doc_id, unnest(regexp_extract_all(text, '{S.TOKEN}')) AS term FROM c_text),
     tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY doc_id, term),
-    st AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM tf GROUP BY term HAVING count(*) >= {FT.TFIDF_MIN_DF}),
-    tv AS (SELECT term, df FROM st ORDER BY ctf DESC, term LIMIT {FT.TFIDF_TERMS}),
+    st AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM tf GROUP BY term HAVING count(*) >= 5),
+    tv AS (SELECT term, df FROM st ORDER BY ctf DESC, term LIMIT 40),
     nd AS (SELECT count(*) AS n FROM c_text),
     tw AS (SELECT tf.doc_id, tv.term, tf.tf * (ln((1 + nd.n) / (1 + tv.df)) + 1) AS x FROM tf JOIN tv ON tf.term = tv.term, nd),
     tn AS (SELECT doc_id, sqrt(sum(x * x)) AS nrm FROM tw GROUP BY doc_id)

@@ -27,8 +27,8 @@ def _clean_sql(e: str, n: int) -> str:
            CASE WHEN age_years IS NULL THEN 'age unknown' ELSE 'age ' || CAST(CAST(trunc(age_years) AS INTEGER) AS VARCHAR) || ' years' END
            || ', ' || CASE upper({S.strip_ws("coalesce(sex, '')")}) WHEN 'M' THEN 'sex male' WHEN 'F' THEN 'sex female' ELSE 'sex unknown' END
            || ', ' || CASE WHEN weight_kg IS NULL THEN 'weight unknown' ELSE 'weight ' || CAST(CAST(trunc(weight_kg) AS INTEGER) AS VARCHAR) || ' kg' END
-           || '. drug: ' || ({_clean_sql('d', R.DRUG_CHARS)}) || '. other medications: ' || ({_clean_sql('o', R.OTHER_CHARS)})
-           || '. indication: ' || ({_clean_sql('i', R.INDI_CHARS)}) AS text
+           || '. drug: ' || ({_clean_sql('d', 120)}) || '. other medications: ' || ({_clean_sql('o', 150)})
+           || '. indication: ' || ({_clean_sql('i', 200)}) AS text
     FROM ex""")
 def q_patient_text(spark, sf_dir):
     ex = C.export_cases(cases_from_views(spark, sf_dir))

@@ -22,19 +22,14 @@ EMB_SHAPE = SC.NetShape(64, 8, 10)
 SEED = 42
 
 
-def grid_sql(grid: list[float]) -> str:
-    rows = ", ".join(f"({k}, {t!r}::DOUBLE)" for k, t in enumerate(grid))
-    return f"(VALUES {rows}) g(k, t)"
-
-
-def thresholds_sql(grid: list[float]) -> str:
+def thresholds_sql() -> str:
     """Brute force: every label x every grid value, best F1, lowest on ties, 0.5 if none > 0."""
     return f"""cnt AS (
         SELECT s.label_id, g.k, g.t,
                sum(CASE WHEN s.p >= g.t THEN 1 ELSE 0 END) AS pp,
                sum(CASE WHEN s.p >= g.t AND s.y = 1 THEN 1 ELSE 0 END) AS tp,
                sum(s.y) AS ap
-        FROM c_score s, {grid_sql(grid)} GROUP BY s.label_id, g.k, g.t),
+        FROM c_score s, {S.FINE_GRID} GROUP BY s.label_id, g.k, g.t),
     f AS (SELECT *, CASE WHEN pp + ap > 0 THEN 2.0::DOUBLE * tp / (pp + ap) ELSE 0.0::DOUBLE END AS f1 FROM cnt),
     b AS (SELECT label_id, t, f1, row_number() OVER (PARTITION BY label_id ORDER BY f1 DESC, k ASC) AS rn FROM f),
     thr AS (SELECT label_id, CASE WHEN f1 > 0 THEN t ELSE 0.5 END AS threshold,
@@ -51,13 +46,13 @@ def calibrated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return scores, thr
 
 
-@query("calibrate_thresholds", "M7 A18 J11", SCORE_WITH + ", " + thresholds_sql(CAL.FINE_GRID) + """
+@query("calibrate_thresholds", "M7 A18 J11", SCORE_WITH + ", " + thresholds_sql() + """
        SELECT CAST(label_id AS INTEGER) AS label_id, threshold, f1 FROM thr""")
 def q_calibrate(spark, sf_dir):
     return calibrated(spark, sf_dir)[1]
 
 
-@query("label_prf", "A6 A7 P15", SCORE_WITH + ", " + thresholds_sql(CAL.FINE_GRID) + ", " + PRED_SQL + """
+@query("label_prf", "A6 A7 P15", SCORE_WITH + ", " + thresholds_sql() + ", " + PRED_SQL + """
        SELECT CAST(label_id AS INTEGER) AS label_id,
               CAST(sum(CASE WHEN pred AND y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
               CAST(sum(CASE WHEN pred THEN 1 ELSE 0 END) AS BIGINT) AS pp,
@@ -75,7 +70,7 @@ def q_label_prf(spark, sf_dir):
     return M.label_prf(SC.predict_flags(scores, thr))
 
 
-@query("metrics_summary", "A8 A9 A10 A11", SCORE_WITH + ", " + thresholds_sql(CAL.FINE_GRID) + ", " + PRED_SQL + """,
+@query("metrics_summary", "A8 A9 A10 A11", SCORE_WITH + ", " + thresholds_sql() + ", " + PRED_SQL + """,
        lab AS (SELECT label_id, sum(CASE WHEN pred AND y = 1 THEN 1 ELSE 0 END)::DOUBLE AS tp,
                       sum(CASE WHEN pred THEN 1 ELSE 0 END)::DOUBLE AS pp, sum(y)::DOUBLE AS ap FROM pred GROUP BY label_id),
        lm AS (SELECT avg(CASE WHEN pp + ap > 0 THEN 2 * tp / (pp + ap) ELSE 0 END) AS f1_macro,
@@ -99,7 +94,7 @@ def _ids(arr: str) -> str:
     return f"array_to_string(list_sort({arr}), '|')"
 
 
-@query("case_outcomes", "U2 A12 M9", SCORE_WITH + ", " + thresholds_sql(CAL.FINE_GRID) + ", " + PRED_SQL + f"""
+@query("case_outcomes", "U2 A12 M9", SCORE_WITH + ", " + thresholds_sql() + ", " + PRED_SQL + f"""
        SELECT case_id,
               {_ids("coalesce(list(label_id) FILTER (WHERE y = 1), [])")} AS real,
               {_ids("coalesce(list(label_id) FILTER (WHERE pred), [])")} AS predicted,
@@ -119,7 +114,7 @@ def q_case_outcomes(spark, sf_dir):
     return out.withColumn("max_p", F.round("max_p", 6))
 
 
-@query("outcome_summary", "A13 F7", SCORE_WITH + ", " + thresholds_sql(CAL.FINE_GRID) + ", " + PRED_SQL + """,
+@query("outcome_summary", "A13 F7", SCORE_WITH + ", " + thresholds_sql() + ", " + PRED_SQL + """,
        cs AS (SELECT case_id, count(*) FILTER (WHERE y = 1) AS n_real, count(*) FILTER (WHERE pred) AS n_pred,
                      count(*) FILTER (WHERE pred AND y = 1) AS n_hits FROM pred GROUP BY case_id)
        SELECT count(*) AS n_cases, CAST(count(*) FILTER (WHERE n_hits > 0) AS BIGINT) AS n_with_hit,
@@ -140,7 +135,7 @@ def q_topk_labels(spark, sf_dir):
     return t.select("case_id", F.col("rank").cast("int").alias("rank"), "label_id", F.round("p", 6).alias("p"))
 
 
-@query("sensitivity", "P15 P16", SCORE_WITH + ", " + thresholds_sql(CAL.FINE_GRID) + """
+@query("sensitivity", "P15 P16", SCORE_WITH + ", " + thresholds_sql() + """
        SELECT """ + ", ".join(
     f"CAST(sum(CASE WHEN s.p >= greatest(0.0, least(1.0, t.threshold * {1.5 - v!r})) THEN 1 ELSE 0 END) AS BIGINT) "
     f"AS n_s{int(round(v * 100)):03d}" for v in SENSITIVITIES) + """

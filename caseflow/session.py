@@ -37,7 +37,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "casef
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("CASEFLOW_DRIVER_MEM", "16g"))
+        .config("spark.driver.memory", os.environ.get("CASEFLOW_DRIVER_MEM", "8g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
