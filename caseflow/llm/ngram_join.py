@@ -40,17 +40,15 @@ WORDS = 5
 #: Similarity as a fraction: links have NUM / DEN or more.
 NUM, DEN = 3, 4
 #: Shingles of a packed chunk, nodes and shingles of a group or block that one task indexes.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 GROUP_NODES = 1000
-GROUP_SHINGLES = 2 << 20
+GROUP_SHINGLES = 1 << 20
 #: Nodes of a large group that are searched for in each round before the rest, and such rounds at most.
 PIVOTS = 16
 PIVOT_ROUNDS = 3
-#: Ids of candidate documents are broadcast up to this many rows (8 bytes each), else joined by a shuffle.
+#: Ids of candidate documents, and labels of nodes, are broadcast up to this many rows (24 bytes each), else joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
-_MULTI = 0xFFFFFFFF
-
 
 # ---------------------------------------------------------------- shingles
 
@@ -62,7 +60,7 @@ class Shingler:
     equal 64-bit hashes would count as one common shingle; over n shingles that is n squared / 2**65 expected cases.
     """
 
-    def __init__(self, cache_entries: int = 300_000):
+    def __init__(self, cache_entries: int = 150_000):
         self.words = _Recent(xxhash.xxh3_64_intdigest, cache_entries)
 
     def set_of(self, text: str | None) -> np.ndarray:
@@ -114,7 +112,7 @@ def _send(chunk: int, sets: list[np.ndarray], bits: int, docs: bool) -> tuple[np
     order = np.argsort(flat, kind="stable")
     keys, first, counts = np.unique(flat[order], return_index=True, return_counts=True)
     short = keys >> np.uint64(16)
-    tag = np.where(counts > 1, _MULTI, owner[order][first]) if docs else counts
+    tag = np.where(counts > 1, 0, owner[order][first] + 1) if docs else counts  # 0: in several of the chunk's sets
     edges = np.searchsorted(short >> np.uint64(48 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
     rows = []
     for b in range(1 << bits):
@@ -179,12 +177,12 @@ def shared_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             same = np.zeros(len(keys) + 1, bool)
             same[1:-1] = keys[1:] == keys[:-1]
             hit = order[same[1:] | same[:-1]]
-            hit = hit[tag[hit] != _MULTI]
-            pair, n = np.unique(place[hit] << 32 | tag[hit], return_counts=True)
+            hit = hit[tag[hit] > 0]
+            pair, n = np.unique(place[hit] << 32 | tag[hit] - 1, return_counts=True)
             owner = pair >> 32
             for c in np.unique(owner):
                 mine = owner == c
-                yield from out.add(0, chunks[c], pickle.dumps((planes(pair[mine] & _MULTI), planes(n[mine]))))
+                yield from out.add(0, chunks[c], pickle.dumps((planes(pair[mine] & 0xFFFFFFFF), planes(n[mine]))))
         yield from out.rest()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -572,7 +570,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = node_rows(nodes).select("node", "digest", "id").join(groups, "node", "left").select("digest", "id", F.coalesce("component", "node").alias("component"))
     named = cut(named, "named")
     first = named.groupBy("component").agg(F.min("id").alias("first_id"))
-    label = named.join(first, "component").groupBy("digest").agg(F.min("first_id").alias("first_id"))
+    label = cut(named.join(first, "component").groupBy("digest").agg(F.min("first_id").alias("first_id")), "labels")
+    if label.count() <= BROADCAST_IDS:
+        label = F.broadcast(label)  # else a join of written tables, split where very many documents have one set
     out = counted.join(label, "digest", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.least("id", "first_id").alias("component_id"))
 
