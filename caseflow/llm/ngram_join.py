@@ -140,9 +140,10 @@ def shared_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             keys, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
             local = np.bincount(owner[counts[place] > 1], minlength=len(sets))
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            out.append((hash(chunk) % (1 << bits), chunk, pickle.dumps((list(ids), [len(s) for s in sets], local.tolist(), digests))))
+            # The chunk's own row goes by a negative key, which no bucket has.
+            out.append((-1 - chunk % (1 << bits), chunk, pickle.dumps((list(ids), [len(s) for s in sets], local.tolist(), digests))))
             for i in range(0, len(out), 64):
-                yield emit([(k if j < len(out) - 1 - i else -1 - k, c, p) for j, (k, c, p) in enumerate(out[i : i + 64])], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
+                yield emit(out[i : i + 64], _EXCHANGE_NAMES, _EXCHANGE_KINDS)
 
         for whole in batches:
             for batch in slices(whole, "text", 8 << 20):

@@ -33,7 +33,7 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td "
     "textarea tfoot th thead title tr ul".split()
 )
-#: Elements whose start ends an open paragraph are the block elements above; these hold no article text.
+#: Elements that hold no article text.
 FURNITURE = frozenset("head title nav header footer aside form menu button select option textarea dialog template noscript iframe object svg canvas audio video label fieldset".split())
 #: Words of class, id or role that mark furniture.
 CUES = frozenset(
@@ -109,7 +109,7 @@ def page_lines(source: str | None) -> list[tuple[int, str]]:
             pop()
         if name in ("li", "option", "tr", "td", "th", "dt", "dd") and stack and stack[-1][0] == name:
             pop()
-        furniture = name in FURNITURE or name not in ("html", "body", "article", "main") and _marked(m["attrs"]) or name == "article" and _marked(m["attrs"])
+        furniture = name in FURNITURE or name not in ("html", "body", "main") and _marked(m["attrs"])
         main = name in ("article", "main") and not furniture
         if name in BLOCK or furniture or main:  # inline elements carry no place
             stack.append((name, furniture, main))
