@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -61,7 +62,7 @@ class _Recent(dict):
 class ByteBpe:
     """Encoder and decoder for a byte-level BPE vocabulary file of the ``tokenizers`` library."""
 
-    def __init__(self, path: str, cache_entries: int = 300_000):
+    def __init__(self, path: str, cache_entries: int = 500_000):
         import regex
 
         with open(path, encoding="utf-8") as f:
@@ -122,7 +123,8 @@ class ByteBpe:
     def _piece(self, piece: str) -> bytes:
         parts = self.pre_tokens(piece)
         if len(parts) == 1:
-            return b"".join(i.to_bytes(4, "little") for i in self.merge(piece.encode()))
+            ids = self.merge(piece.encode())
+            return struct.pack(f"<{len(ids)}I", *ids)
         return b"".join(map(self.pieces.__getitem__, parts))
 
     def encode_bytes(self, text: str) -> bytes:
