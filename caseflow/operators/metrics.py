@@ -70,7 +70,9 @@ def summary(pred: DataFrame, key: str = "case_id", label: str = "label_id", y: s
 
 def case_outcomes(pred: DataFrame, key: str = "case_id", label: str = "label_id", y: str = "y",
                   flag: str = "pred", p: str = "p") -> DataFrame:
-    """U2 + A12 + M9: per case real / predicted / TP / FP / FN sets and counts, and the highest probability."""
+    """U2 + A12 + M9: per case real / predicted / TP / FP / FN sets and counts, and the highest probability
+    where the table has probabilities."""
+    top = [F.max(p).alias("max_p")] if p in pred.columns else []
     lab = F.col(label)
     yes = F.col(y) == 1
     on = F.col(flag)
@@ -80,8 +82,8 @@ def case_outcomes(pred: DataFrame, key: str = "case_id", label: str = "label_id"
         F.array_sort(F.collect_list(F.when(yes & on, lab))).alias("tp"),
         F.array_sort(F.collect_list(F.when(~yes & on, lab))).alias("fp"),
         F.array_sort(F.collect_list(F.when(yes & ~on, lab))).alias("fn"),
-        F.max(p).alias("max_p"),
-    ).select(key, "real", "predicted", "tp", "fp", "fn", "max_p",
+        *top,
+    ).select(key, "real", "predicted", "tp", "fp", "fn", *["max_p"] * len(top),
              F.size("real").alias("n_real"), F.size("predicted").alias("n_predicted"), F.size("tp").alias("n_hits"))
 
 
