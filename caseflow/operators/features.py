@@ -106,11 +106,11 @@ def fit_tfidf(docs: DataFrame, text: str = "text", key: str = "doc_id", min_df:
     """M3 fit + A5: terms with df >= min_df, the max_terms with the highest corpus
     frequency (ties by term), idf = ln((1+n)/(1+df)) + 1; returned alphabetically."""
     n = docs.count()
-    # one row for each token and one for each distinct token of a document: only the vocabulary is shuffled
+    # Two counts by term, of tokens and of documents: only the vocabulary is shuffled.  The outer explode keeps the optimizer
+    # from evaluating the tokens a second time in a filter on their number.
     tokens = text_tokens(F.col(text))
-    one = lambda arr, c, d: F.transform(arr, lambda t: F.struct(t.alias("term"), F.lit(c).alias("c"), F.lit(d).alias("d")))
-    marks = docs.select(F.explode(F.transform(F.array(tokens), lambda a: F.concat(one(a, 1, 0), one(F.array_distinct(a), 0, 1)))[0]).alias("m"))
-    st = marks.groupBy("m.term").agg(F.sum("m.d").alias("df"), F.sum("m.c").alias("ctf")).where(F.col("df") >= min_df)
+    count = lambda arr, name: docs.select(F.explode_outer(arr).alias("term")).where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias(name))
+    st = count(tokens, "ctf").join(count(F.array_distinct(tokens), "df").where(F.col("df") >= min_df), "term")
     top = st.orderBy(F.desc("ctf"), "term").limit(max_terms).collect()  # at most max_terms rows
     top = sorted(top, key=lambda r: r["term"])
     return [r["term"] for r in top], [math.log((1 + n) / (1 + r["df"])) + 1.0 for r in top]
@@ -213,5 +213,5 @@ def transform_features(df: DataFrame, model: FeatureModel, out: str = "features"
 
 
 def sparse_entries(df: DataFrame, key: str, features: str = "features") -> DataFrame:
-    """Long (key, feature_id, value) of the non-zero entries."""
-    return df.select(key, F.posexplode(features).alias("feature_id", "value")).where(F.col("value") != 0)
+    """Long (key, feature_id, value) of the non-zero entries (outer, so that the row is not computed again to filter empty ones)."""
+    return df.select(key, F.posexplode_outer(features).alias("feature_id", "value")).where(F.col("value") != 0)
