@@ -462,9 +462,9 @@ def q_ablation(spark, sf_dir):
 
 @query("sweep", "E17 E18")
 def q_sweep(spark, sf_dir):
-    """Thirteen settings, 40 individuals and 50 generations each."""
+    """Thirteen settings, 40 individuals and 50 generations each; the main trainer (80 individuals) with 120, 300 and 500 generations."""
     with cached(emb_labelled(spark, sf_dir)) as data:
-        return PL.sweep(data, EMB_SHAPE)
+        return PL.sweep(data, EMB_SHAPE).unionByName(PL.generation_study(data, EMB_SHAPE))
 
 
 @query("elites", "T6", f"""WITH {POP_SQL}
@@ -495,8 +495,8 @@ def q_masked_features(spark, sf_dir):
 
 @query("final_fit", "E19 M13 A8-A11")
 def q_final_fit(spark, sf_dir):
-    """Search on train (80 individuals, 100 generations), thresholds on validation, the metrics record on test."""
+    """Search on train (80 individuals, 300 generations), thresholds on validation, the metrics record on test."""
     with cached(emb_labelled(spark, sf_dir)) as data:
-        _, best_fit, _, metrics, seconds = PL.train_and_test(data, EMB_SHAPE, EV.GAConfig(generations=100))
+        _, best_fit, _, metrics, seconds = PL.train_and_test(data, EMB_SHAPE, EV.GAConfig())
     rows = [("best_fitness_train", float(best_fit))] + [(k, float(v)) for k, v in metrics.items()] + [("seconds", seconds)]
     return spark.createDataFrame(rows, "metric string, value double")

@@ -135,3 +135,22 @@ def test_final_fit(labelled):
 
     _, best_fit, _, metrics, _ = PL.train_and_test(labelled, EMB_SHAPE, EV.GAConfig(pop_size=5, generations=2))
     assert 0 < best_fit < 1 and 0 < metrics["f1_macro"] < 1 and 0 <= metrics["hamming_loss"] < 1
+
+
+def test_generation_study_is_the_main_trainer(spark, labelled, monkeypatch):
+    from caseflow.operators import evolve as EV
+    from caseflow.plans import pipeline as PL
+    from caseflow.plans.q_evolve import EMB_SHAPE
+
+    rows = PL.generation_study(labelled, EMB_SHAPE, [1, 3], pop_size=5).collect()
+    for row, n in zip(rows, [1, 3]):
+        _, best_fit, _, metrics, _ = PL.train_and_test(labelled, EMB_SHAPE, EV.GAConfig(pop_size=5, generations=n))
+        assert (row["value"], row["best_fit"]) == (str(n), pytest.approx(best_fit)) and row["test_f1"] == pytest.approx(metrics["f1_macro"])
+
+    ran = []
+    monkeypatch.setattr(PL, "compare", lambda data, shape, configs, *a, **b: ran.extend(configs) or [(0.5, 0.5)] * len(configs))
+    monkeypatch.setattr(PL, "train_and_test", lambda data, shape, cfg, *a, **b: ran.append(cfg) or (None, 0.5, None, {}, 1.0))
+    assert [r["value"] for r in QUERIES["sweep"](spark, SF).where("sweep = 'generations'").collect()] == ["120", "300", "500"]
+    assert ran[13:] == [EV.GAConfig(generations=n) for n in (120, 300, 500)]
+    QUERIES["final_fit"](spark, SF)
+    assert ran[-1] == EV.GAConfig() and ran[-1].generations == 300
