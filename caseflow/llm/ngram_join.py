@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .bpe import _Recent
 from .common import column, cut, slices
@@ -550,6 +551,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id among the documents reachable by links, the row's own included (null only if all of them are null). Rows with
     the same id are documents of their own; an empty table gives no rows; other columns are not carried.
     """
+    out = _grouped(docs, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.least("id", "first_id").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, n, shared, digest, first_id, own`` of each row: the smallest id of its group, and whether the group's first document
+    (by id, null ids last, then digest) has the row's set; both null where the row has no candidates."""
     counted = cut(shared_counts(docs, id_col, text_col), "counted")
     near = counted.where((F.col("n") > 0) & (DEN * F.col("shared") >= NUM * F.col("n")))
     nodes = packed_nodes(docs, near, id_col, text_col)
@@ -570,16 +578,46 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = connected_components(links)
     named = node_rows(nodes).select("node", "digest", "id").join(groups, "node", "left").select("digest", "id", F.coalesce("component", "node").alias("component"))
     named = cut(named, "named")
-    first = named.groupBy("component").agg(F.min("id").alias("first_id"))
-    label = cut(named.join(first, "component").groupBy("digest").agg(F.min("first_id").alias("first_id")), "labels")
+    first = named.groupBy("component").agg(F.min("id").alias("first_id"), F.min(F.struct(F.col("id").isNull(), "id", "digest"))["digest"].alias("of"))
+    label = cut(named.join(first, "component").groupBy("digest").agg(F.min("first_id").alias("first_id"), F.max(F.col("digest") == F.col("of")).alias("own")), "labels")
     if label.count() <= BROADCAST_IDS:
         label = F.broadcast(label)  # else a join of written tables, split where very many documents have one set
-    out = counted.join(label, "digest", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.least("id", "first_id").alias("component_id"))
+    return counted.join(label, "digest", "left")
+
+
+def _digested(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row, _id, _digest`` of each row, the row as a struct; the digest is that of ``shared_counts``, null without shingles."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", 8 << 20):
+                sets = [shingler().set_of(t) for t in column(batch, "text").to_pylist()]
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([column(batch, "row"), column(batch, "_id"), pa.array(digests, pa.binary())], ["row", "_id", "_digest"])
+
+    schema = StructType([rows.schema["row"], rows.schema["_id"], StructField("_digest", BinaryType())])
+    return rows.mapInArrow(run, schema)
 
 
 def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose group has a smaller id, columns as they were (null ids stay only where alone)."""
-    found = similar_groups(docs, id_col, text_col)
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).cast("long").alias("_kept"))
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+    """One row of each group, columns as they were: the one with the smallest id (null ids last).
+
+    Among rows of the same id and set one stays, by the hash of the row. Rows without shingles are alone and stay. An id that
+    one row has decides by itself; rows that share an id, or have none, are told apart by the digests of their sets.
+    """
+    found = cut(_grouped(docs, id_col, text_col).select("id", "n", "digest", "first_id", "own"), "grouped")
+    kept = found.where(F.col("own").isNull() | F.col("own") & F.col("id").eqNullSafe(F.col("first_id"))).select(F.col("id").alias("_kept"), "digest")
+    shared = found.groupBy("id").agg(F.count("*").alias("c")).where(F.col("id").isNull() | (F.col("c") > 1)).select(F.col("id").alias("_shared"))
+    shared = cut(shared, "shared_ids")
+    same_id = docs[id_col].cast("long").eqNullSafe(kept["_kept"])
+    if shared.isEmpty():
+        return docs.join(kept, same_id, "left_semi")
+    is_shared = docs[id_col].cast("long").eqNullSafe(shared["_shared"])
+    rows = _digested(docs.join(shared, is_shared, "left_semi"), id_col, text_col)
+    rows = cut(rows, "shared_rows")
+    stay = kept.where("digest is not null").distinct()
+    one = rows.join(stay, rows["_id"].eqNullSafe(stay["_kept"]) & (rows["_digest"] == stay["digest"]), "left_semi")
+    one = one.groupBy("_id", "_digest").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    alone = rows.where("_digest is null").select("row")
+    return docs.join(shared, is_shared, "left_anti").join(kept, same_id, "left_semi").unionAll(one.select("row.*")).unionAll(alone.select("row.*"))

@@ -129,3 +129,11 @@ def test_large_groups_and_shuffled_ids_give_the_same(spark, planted, monkeypatch
 def test_keep_one(spark):
     df = spark.createDataFrame([(3, "a b c d e f", "x"), (2, "A b c d e f", "y"), (9, None, "z"), (8, "other", "n")], "doc_id long, text string, id string")
     assert sorted(map(tuple, ngram_join.keep_one_of_each_group(df).collect())) == [(2, "A b c d e f", "y"), (8, "other", "n"), (9, None, "z")]
+
+
+def test_keep_one_decides_by_row(spark):
+    a, b, c, d = "a b c d e f", "g h i j k l", "m n o p q r", "s t u v w x"
+    rows = [(1, a, "x"), (1, a, "x"), (2, a, "x"), (1, b, "y"), (0, b, "y"), (None, a, "x"), (None, c, "z"), (None, d, "w"), (None, d.upper(), "w"), (5, None, "n"), (5, " ", "n"), (7, "other", "o")]
+    got = ngram_join.keep_one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(3)).collect()
+    want = [(0, b, "y"), (1, a, "x"), (5, " ", "n"), (5, None, "n"), (7, "other", "o"), (None, c, "z"), (None, d, "w")]
+    assert sorted(((r.doc_id, (r.text or "-").lower(), r.row) for r in got), key=str) == sorted(((i, (t or "-").lower(), o) for i, t, o in want), key=str)
