@@ -6,19 +6,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_templates, mixing, ngram_join, page_diff, pii, quality, suffix_tree, token_counts
+from . import bpe, exact_dedup, fill_in_middle, line_templates, mixing, ngram_join, page_diff, pii, quality, rank_bpe, spelling, suffix_tree, token_counts
 from .registry import query
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def coded_digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 from the encoder's ids and texts."""
-    coded = bpe.encode_documents(docs, public_tokenizers.path(TOKENIZER))
+def coded_digests(coded: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 from an encoder's ids and what they decode to."""
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -29,7 +29,7 @@ def coded_digests(docs: DataFrame) -> DataFrame:
 
 @query("op1_bpe")
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coded_digests(documents(spark, sf_dir))
+    return coded_digests(bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER)))
 
 
 @query("op5_token_counts")
@@ -167,3 +167,35 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_lm_scoring")
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(documents(spark, sf_dir))
+
+
+@query(
+    "op11_fill_in_middle",
+    """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS x FROM documents),
+    h AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+                 CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d),
+    c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+    p AS (SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p
+    """,
+)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform_documents(documents(spark, sf_dir), restored=True)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, sf_dir))
+
+
+@query("op13_rank_bpe")
+def op13_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded_digests(rank_bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, decoded=True))
