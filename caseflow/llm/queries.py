@@ -101,13 +101,11 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op3_mixing",
     """
-    WITH RECURSIVE w AS (SELECT source, count(*) AS rows, greatest(1, CAST(round(1000 * pow(count(*), 0.5)) AS BIGINT)) AS weight FROM documents GROUP BY source),
-    t AS (SELECT *, CAST(sum(weight) OVER () AS BIGINT) AS al, greatest(1000, 10 * count(*) OVER ()) AS total, count(*) OVER () AS ns FROM w),
-    u AS (SELECT *, weight * (total - ns) // al AS whole, weight * (total - ns) % al AS rest FROM t),
-    v AS (SELECT source, rows, total, row_number() OVER (ORDER BY source IS NULL, source) AS rank,
-                 1 + whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, source IS NULL, source) <= total - ns - CAST(sum(whole) OVER () AS BIGINT) THEN 1 ELSE 0 END AS slots
-          FROM u),
-    s AS (SELECT list(slots ORDER BY rank) AS sl, max(total) AS d FROM v),
+    WITH RECURSIVE sizes AS (SELECT source, count(*) AS rows FROM documents GROUP BY source),
+    w AS (SELECT source, rows, greatest(1, CAST(round(1000 * pow(rows, 0.5) / sum(pow(rows, 0.5)) OVER ()) AS BIGINT)) AS weight FROM sizes),
+    g AS (SELECT list_reduce(list(weight), lambda a, b: gcd(a, b)) AS divisor FROM w),
+    v AS (SELECT source, rows, weight // divisor AS slots, row_number() OVER (ORDER BY weight DESC, source IS NULL, source) AS rank FROM w, g),
+    s AS (SELECT list(slots ORDER BY rank) AS sl, CAST(sum(slots) AS BIGINT) AS d FROM v),
     e(slot, had, pick) AS (
         SELECT CAST(-1 AS BIGINT), list_transform(sl, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM s
         UNION ALL
@@ -116,11 +114,11 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                      list_min(list_transform(sl, lambda a, i: CASE WHEN had[i] * d // a <= slot + 1 THEN ((had[i] + 1) * d + a - 1) // a * 100000 + i END)) % 100000 AS p
               FROM e, s WHERE e.slot + 1 < s.d)),
     sched AS (SELECT pick, slot AS in_period, had[pick] - 1 AS k FROM e WHERE slot >= 0),
-    ends AS (SELECT (rows + 15) // 16 * total // slots AS e, sum(slots) OVER (ORDER BY (rows + 15) // 16 * total // slots, slots ROWS UNBOUNDED PRECEDING) AS gone, total FROM v),
-    h AS (SELECT min(e) AS horizon FROM ends WHERE gone * 1000 >= total * 500),
+    ends AS (SELECT (rows + 15) // 16 AS b, slots, rank FROM v),
+    h AS (SELECT min(b // slots * d + in_period) AS horizon FROM ends JOIN sched ON pick = rank AND k = b % slots, s),
     n AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS n FROM documents),
-    b AS (SELECT n.doc_id, n.source, n // 16 AS block, n % 16 AS place, (n // 16) // slots * total + in_period AS slot
-          FROM n JOIN v ON n.source IS NOT DISTINCT FROM v.source JOIN sched ON pick = rank AND k = (n // 16) % slots)
+    b AS (SELECT n.doc_id, n.source, n // 16 AS block, n % 16 AS place, (n // 16) // slots * d + in_period AS slot
+          FROM n JOIN v ON n.source IS NOT DISTINCT FROM v.source JOIN sched ON pick = rank AND k = (n // 16) % slots, s)
     SELECT doc_id, source, block, place, slot, slot < horizon AS in_mix FROM b, h
     """,
 )
