@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (makes pa.compute available)
@@ -60,3 +61,21 @@ def slices(batch: pa.RecordBatch, name: str, max_bytes: int = 16 << 20) -> Itera
         held += sizes[i]
     if n > start:
         yield batch.slice(start, n - start)
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` over batches, which gives freed memory back to the system when a task is over.
+
+    Python workers wait for the next task, perhaps through stages that have none for them, and would keep what they once needed.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return tidied

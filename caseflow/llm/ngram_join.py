@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .bpe import _Recent
-from .common import column, cut, slices
+from .common import column, cut, slices, tidy
 from .components import connected_components
 from .packed import Out, bucket_bits, chunk_numbers, emit, from_planes, planes, rows_by_key
 
@@ -202,9 +202,9 @@ def shared_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 cols = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(shared, pa.int64()), pa.array(digests, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, ["id", "n", "shared", "digest"])
 
-    sent = rows.mapInArrow(send, _EXCHANGE).repartition("key").sortWithinPartitions("key")
-    answered = sent.mapInArrow(answer, _EXCHANGE).repartition("chunk").sortWithinPartitions("chunk", "key")
-    return answered.mapInArrow(settle, "id long, n long, shared long, digest binary")
+    sent = rows.mapInArrow(tidy(send), _EXCHANGE).repartition("key").sortWithinPartitions("key")
+    answered = sent.mapInArrow(tidy(answer), _EXCHANGE).repartition("chunk").sortWithinPartitions("chunk", "key")
+    return answered.mapInArrow(tidy(settle), "id long, n long, shared long, digest binary")
 
 
 # ---------------------------------------------------------------- nodes
@@ -232,7 +232,7 @@ def packed_nodes(docs: DataFrame, candidates: DataFrame, id_col: str, text_col:
                 yield emit(out, ["digest", "id", "members"], [pa.binary(), pa.int64(), pa.binary()])
 
     # Copies are combined before and after the shuffle: the set is part of the grouping key, equal digests alone do not merge.
-    nodes = rows.mapInArrow(sets, "digest binary, id long, members binary").groupBy("digest", "members").agg(F.min("id").alias("id"))
+    nodes = rows.mapInArrow(tidy(sets), "digest binary, id long, members binary").groupBy("digest", "members").agg(F.min("id").alias("id"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = chunk_numbers()
@@ -251,7 +251,7 @@ def packed_nodes(docs: DataFrame, candidates: DataFrame, id_col: str, text_col:
     # As many tasks as chunks, or cores: a chunk asks every bucket, so small chunks would ask in vain.
     shingles = candidates.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tasks = max(shingles // CHUNK + 1, docs.sparkSession.sparkContext.defaultParallelism)
-    return cut(nodes.select("digest", "id", "members").coalesce(tasks).mapInArrow(pack, _NODES), "nodes")
+    return cut(nodes.select("digest", "id", "members").coalesce(tasks).mapInArrow(tidy(pack), _NODES), "nodes")
 
 
 def node_rows(nodes: DataFrame) -> DataFrame:
@@ -265,7 +265,7 @@ def node_rows(nodes: DataFrame) -> DataFrame:
                     out = [(r["chunk"] << 21 | (at + j), *x) for j, x in enumerate(held[at : at + 256])]
                     yield emit(out, ["node", "digest", "id", "members"], [pa.int64(), pa.binary(), pa.int64(), pa.binary()])
 
-    return nodes.mapInArrow(run, "node long, digest binary, id long, members binary")
+    return nodes.mapInArrow(tidy(run), "node long, digest binary, id long, members binary")
 
 
 def rare_prefixes(nodes: DataFrame) -> DataFrame:
@@ -321,9 +321,9 @@ def rare_prefixes(nodes: DataFrame) -> DataFrame:
                 if fronts:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(fronts)), pa.array(np.concatenate(nodes_))], ["shingle", "node"])
 
-    sent = nodes.mapInArrow(send, _EXCHANGE).repartition("key").sortWithinPartitions("key", "chunk")
-    back = sent.mapInArrow(answer, _EXCHANGE).unionByName(nodes.select(F.lit(1 << bits).cast("long").alias("key"), "chunk", "payload"))
-    return back.repartition("chunk").sortWithinPartitions("chunk", "key").mapInArrow(choose, "shingle long, node long")
+    sent = nodes.mapInArrow(tidy(send), _EXCHANGE).repartition("key").sortWithinPartitions("key", "chunk")
+    back = sent.mapInArrow(tidy(answer), _EXCHANGE).unionByName(nodes.select(F.lit(1 << bits).cast("long").alias("key"), "chunk", "payload"))
+    return back.repartition("chunk").sortWithinPartitions("chunk", "key").mapInArrow(tidy(choose), "shingle long, node long")
 
 
 # ---------------------------------------------------------------- T-occurrence search
@@ -469,7 +469,7 @@ def _small_groups(members: DataFrame) -> DataFrame:
         if out:
             yield emit(out, ["a", "b"], [pa.int64(), pa.int64()])
 
-    return members.repartition("comp").sortWithinPartitions("comp", "node").mapInArrow(run, "a long, b long")
+    return members.repartition("comp").sortWithinPartitions("comp", "node").mapInArrow(tidy(run), "a long, b long")
 
 
 def _search_blocks(index: DataFrame, queries: DataFrame) -> DataFrame:
@@ -500,7 +500,7 @@ def _search_blocks(index: DataFrame, queries: DataFrame) -> DataFrame:
             if out:
                 yield emit(out, ["a", "b"], [pa.int64(), pa.int64()])
 
-    return rows.repartition("comp", "block").sortWithinPartitions("place", "kind").mapInArrow(run, "a long, b long")
+    return rows.repartition("comp", "block").sortWithinPartitions("place", "kind").mapInArrow(tidy(run), "a long, b long")
 
 
 def _large_groups(members: DataFrame) -> DataFrame:
@@ -597,7 +597,7 @@ def _digested(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([column(batch, "row"), column(batch, "_id"), pa.array(digests, pa.binary())], ["row", "_id", "_digest"])
 
     schema = StructType([rows.schema["row"], rows.schema["_id"], StructField("_digest", BinaryType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
