@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
-from .split import ranked
+from . import split
 
 # Role codes.
 SUSPECT_ROLE = "PS"
@@ -134,8 +134,7 @@ def build_cases(demo_raw: DataFrame, drug_raw: DataFrame, reac_raw: DataFrame, i
 
 def hash_sample(df: DataFrame, n: int, seed: int = SEED, key: str = "primaryid") -> DataFrame:
     """Fixed-size sample without replacement: the n smallest md5(seed:key)."""
-    r = ranked(df, key, seed)
-    return r.where(F.col("_rank") < n).drop("_rank", "_h")
+    return split.hash_sample(df, n, key, seed)
 
 
 def export_cases(cases: DataFrame) -> DataFrame:

@@ -1,41 +1,78 @@
 """Reproducible hash ordering, samples and splits.
 
-A case's position is the rank of ``md5(seed:key)`` (48 bits) among all
-cases, ties broken by key.  The global rank is computed without a global
-sort: rows are bucketed by the top 20 hash bits, a bounded table of bucket
-counts (at most 2^20 rows, by construction) gives each bucket's offset, and
-rows are ranked only inside their bucket.  Buckets are uniform by design,
-so no bucket is hot even when the key itself is skewed.
+A case's position is the rank of ``md5(seed:key)`` (48 bits) among all cases, ties broken by key.  Samples and splits need the
+k-th position only, which is found exactly by counting: rows by the hash's first 16 bits, then those of the bucket that holds
+the k-th by the next 16, and so on (2^16 counts a round, summed before the shuffle).  A filter against the threshold then
+decides every row where it is: no row is shuffled.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..session import ensure_checkpoint_dir
 
-BUCKET_SHIFT = X.HASH_BITS - 20  # 2^20 buckets at most
+STEP = 16  # bits of the hash that a round of counting decides
+FEW_ROWS = 50_000  # rows of a bucket that are sorted instead of counted further
 SEED = 42
 TEST_SIZE = 0.30
 VAL_FRACTION = 0.10
 
 
-def ranked(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
-    """Add ``_h`` (48-bit hash) and ``_rank`` (0-based global rank by (_h, key))."""
-    d = df.withColumn("_h", X.hash_bits(seed, key)).withColumn("_b", F.shiftright("_h", BUCKET_SHIFT))
-    counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_b").orderBy("_h", key)
-    return (
-        d.join(F.broadcast(offsets), "_b")
-        .withColumn("_rank", F.col("_off") + F.row_number().over(inside) - 1)
-        .drop("_b", "_off")
-    )
+def _bucket_of(counts: list[tuple[int, int]], k: int) -> tuple[int, int, int]:
+    """``(bucket, place in it, rows in it)`` of the k-th row (from 1) by sorted buckets and their counts."""
+    for bucket, n in counts:
+        if k <= n:
+            return bucket, k, n
+        k -= n
+    raise ValueError("k is larger than the number of rows")
+
+
+class Positions:
+    """Exact positions of a table's rows in hash order; rows with a null key have none."""
+
+    def __init__(self, df: DataFrame, key: str, seed: int = SEED):
+        self.key, self.h = F.col(key), X.hash_bits(seed, key)
+        self.rows = df.where(self.key.isNotNull()).select(self.h.alias("_h"), self.key.alias("_k"))
+        self.first = self._counts(self.rows, X.HASH_BITS - STEP)
+        self.n = sum(n for _, n in self.first)
+
+    def _counts(self, rows: DataFrame, shift: int) -> list[tuple[int, int]]:
+        found = rows.groupBy(F.shiftright("_h", shift).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        return sorted((r["_b"], r["_n"]) for r in found.collect())  # at most 2^STEP rows
+
+    def kth(self, k: int) -> tuple[int, object]:
+        """Hash and key of the k-th row (1 to n)."""
+        shift, counts = X.HASH_BITS - STEP, self.first
+        while True:
+            bucket, k, n = _bucket_of(counts, k)
+            rows = self.rows.where(F.shiftright("_h", shift) == F.lit(bucket))
+            if n <= FEW_ROWS:
+                found = sorted((r["_h"], r["_k"]) for r in rows.collect())  # n of them
+                return found[k - 1]
+            if shift == 0:  # so many rows of one hash are repeats of a key, which stay together
+                keys = rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).orderBy("_k").toLocalIterator()
+                return bucket, _bucket_of(((r["_k"], r["_n"]) for r in keys), k)[0]
+            shift -= STEP
+            counts = self._counts(rows, shift)
+
+    def within(self, k: int) -> Column:
+        """Whether a row is one of the first k; repeats of the k-th row's key are."""
+        if k <= 0:
+            return F.lit(False)
+        if k >= self.n:
+            return self.key.isNotNull()
+        h, key = self.kth(k)
+        return self.key.isNotNull() & ((self.h < F.lit(h)) | ((self.h == F.lit(h)) & (self.key <= F.lit(key))))
+
+
+def hash_sample(df: DataFrame, n: int, key: str, seed: int = SEED) -> DataFrame:
+    """Fixed-size sample without replacement: the n smallest md5(seed:key); null keys are not drawn."""
+    return df.where(Positions(df, key, seed).within(n))
 
 
 def split_sizes(n: int, test_size: float = TEST_SIZE, val_fraction: float = VAL_FRACTION) -> tuple[int, int]:
@@ -47,16 +84,15 @@ def split_sizes(n: int, test_size: float = TEST_SIZE, val_fraction: float = VAL_
 
 def hash_split(df: DataFrame, key: str = "primaryid", seed: int = SEED, test_size: float = TEST_SIZE,
                val_fraction: float = VAL_FRACTION) -> DataFrame:
-    """D2 + D3: add ``split`` in {'test', 'val', 'train'} and ``_rank``.
+    """D2 + D3: add ``split`` in {'test', 'val', 'train'}; rows with a null key are left out.
 
     Positions [0, n_test) are test, the next floor(val_fraction * train) are
     validation, the rest train — the same bands for every consumer.
     """
-    n = df.count()
-    n_test, n_val = split_sizes(n, test_size, val_fraction)
-    r = ranked(df, key, seed)
-    s = (F.when(F.col("_rank") < n_test, "test").when(F.col("_rank") < n_test + n_val, "val").otherwise("train"))
-    return r.withColumn("split", s).drop("_h")
+    p = Positions(df, key, seed)
+    n_test, n_val = split_sizes(p.n, test_size, val_fraction)
+    s = F.when(p.within(n_test), "test").when(p.within(n_test + n_val), "val").otherwise("train")
+    return df.where(F.col(key).isNotNull()).withColumn("split", s)
 
 
 def global_rank(df: DataFrame, order: list, n_parts: int | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..functions import expr as X
 from ..operators import cases as C
 from ..operators import labels as L
 from ..operators import split as SP
+from ..session import ensure_checkpoint_dir
 from ..sources import artefacts as A
 from ..sources import delimited as D
 from ..sources.driver_views import read_table, view
@@ -195,6 +198,47 @@ def q_read_lines(spark, sf_dir):
     return D.parse_lines(o.select(line.alias("value")), LINE_COLUMNS)
 
 
+# Notes as a batch file has them (quoted, doubled, over two lines, quotes inside) and as they are read.
+NOTES = [('"x$y"', "x$y"), ('"say ""hi"""', 'say "hi"'), ('"two\nlines"', "two\nlines"), ('5" pipe', '5" pipe'), ('"q"tail', "qtail")]
+NOTE_SQL = "CASE o_orderkey % 7 " + " ".join(f"WHEN {i} THEN '{read}'" for i, (_, read) in enumerate(NOTES)) + " ELSE o_orderstatus END"
+
+
+def _note(k, which: int):
+    out = F.col("o_orderstatus")
+    for i, note in enumerate(NOTES):
+        out = F.when(k % 7 == i, F.lit(note[which])).otherwise(out)
+    return out
+
+
+@query("read_batches", "S1 S2 U1 H1",
+       f"""SELECT CAST(o_orderkey AS VARCHAR) AS primaryid, o_orderpriority AS code, {NOTE_SQL} AS note
+       FROM orders WHERE o_orderkey % 13 <> 0""")
+def q_read_batches(spark, sf_dir):
+    """Orders written as a folder of batches, with two headers, quoted notes and over-long rows, and read back."""
+    k = F.col("o_orderkey")
+    o = read_table(spark, sf_dir, "orders").select(k, "o_orderpriority", _note(k, 0).alias("note"), (k % 4).alias("p"))
+    one, other = F.concat_ws("$", k, "o_orderpriority", "note"), F.concat_ws("$", "note", k, "o_orderpriority")
+    line = F.concat(F.when(F.col("p") < 2, one).otherwise(other), F.when(k % 13 == 0, "$more").otherwise(""))
+    heads = spark.createDataFrame([(p, -1, " PrimaryID$Code$note" if p < 2 else "note$primaryid$CODE") for p in range(4)], "p long, at long, line string")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/batches-{uuid.uuid4().hex}"
+    rows = heads.unionByName(o.select(F.col("p").cast("long").alias("p"), k.alias("at"), line.alias("line")))
+    rows.repartition(4, "p").sortWithinPartitions("p", "at").select("p", "line").write.partitionBy("p").text(folder)
+    return D.read_batches(spark, f"{folder}/p=*", "part-").select("primaryid", "code", "note")
+
+
+@query("case_table_csv", "S4 S5",
+       f"""SELECT CAST(o_orderkey AS VARCHAR) AS primaryid, CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey % 90 AS DOUBLE) END AS age_years,
+              {NOTE_SQL} AS note, CAST(NULL AS DOUBLE) AS weight_kg FROM orders""")
+def q_case_table_csv(spark, sf_dir):
+    """Orders exported as a CSV case table without weights, notes with quotes and line breaks, and read back."""
+    k = F.col("o_orderkey")
+    age = F.when(k % 5 > 0, (k % 90).cast("string")).otherwise("NA")
+    table = read_table(spark, sf_dir, "orders").select(k.cast("string").alias("primaryid"), age.alias("age_years"), _note(k, 1).alias("note"))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cases-{uuid.uuid4().hex}"
+    A.write_table(table, folder, "csv")
+    return D.read_case_table(spark, folder)
+
+
 @query("distinct_terms", "U4",
        "WITH " + ",\n".join(Q.views("c_drug") + [Q.DRUG_ROWS, Q.DRUG_SETS]) + """
        SELECT DISTINCT term FROM (SELECT unnest(drug) AS term FROM drug_sets)""")

@@ -18,7 +18,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Overwrite a result table (parquet, or CSV with a header)."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        w.option("header", "true").option("escape", '"').csv(path)  # quotes inside a field are doubled
     else:
         w.parquet(path)
 

@@ -21,6 +21,14 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted((str(s.getPath().toString()) for s in fs.globStatus(p) or []), key=lambda x: x.rsplit("/", 1)[-1])
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """A file, or the data files of a folder by name."""
+    fs, p = _open(spark, path)
+    found = fs.listStatus(p)
+    paths = [str(s.getPath().toString()) for s in found if s.isFile()]
+    return sorted(x for x in paths if x.rsplit("/", 1)[-1][0] not in "._")
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     """The first line of a text file, read by itself."""
     fs, p = _open(spark, path)

@@ -12,6 +12,7 @@ from caseflow.operators import cases as C
 from caseflow.operators import evolve as EV
 from caseflow.operators import features as FT
 from caseflow.operators import metrics as M
+from caseflow.operators import split as SP
 from caseflow.operators import pareto as PA
 from caseflow.operators import step as ST
 from caseflow.operators import report as R
@@ -388,3 +389,28 @@ def test_hash_split_sizes_and_stability(spark):
     assert a == b
     counts = {s: sum(1 for v in a.values() if v == s) for s in ("test", "val", "train")}
     assert counts == {"test": 301, "val": 70, "train": 630}
+
+
+def test_positions_are_exact_without_shuffling_rows(spark, monkeypatch):
+    from caseflow.functions import expr as X
+
+    df = spark.range(3000).selectExpr("cast(id AS string) AS k", "id").unionByName(spark.range(3).selectExpr("cast(null AS string) AS k", "id"))
+    order = [r["k"] for r in df.where("k IS NOT NULL").select("k", X.hash_bits(42, "k").alias("h")).orderBy("h", "k").collect()]
+    for few in (50_000, 40, 0):
+        monkeypatch.setattr(SP, "FEW_ROWS", few)
+        for n in (0, 1, 7, 1500, 2999, 3000, 9000) if few else (1, 1500):
+            got = SP.hash_sample(df, n, "k")
+            assert sorted(r["k"] for r in got.collect()) == sorted(order[:n])
+            assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    split = SP.hash_split(df, "k")
+    assert "Exchange" not in split._jdf.queryExecution().executedPlan().toString()
+    by = {r["k"]: r["split"] for r in split.collect()}
+    assert [by[k] for k in order] == ["test"] * 900 + ["val"] * 210 + ["train"] * 1890
+
+
+def test_repeated_keys_stay_together(spark, monkeypatch):
+    monkeypatch.setattr(SP, "FEW_ROWS", 3)
+    df = spark.createDataFrame([("a",)] * 20 + [("b",)] * 20, "k string")
+    assert SP.hash_sample(df, 5, "k").count() == 20
+    assert SP.hash_sample(df, 20, "k").count() == 20
+    assert SP.hash_sample(df.limit(0), 5, "k").count() == 0

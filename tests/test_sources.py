@@ -2,8 +2,12 @@
 
 import os
 
+import random
+
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from caseflow.operators.features import FeatureModel
 from caseflow.sources import artefacts as A
@@ -84,3 +88,52 @@ def test_result_tables_are_written_in_both_formats(spark, scratch):
     assert sorted(map(tuple, spark.read.parquet(os.path.join(scratch, "parquet")).collect())) == [("1", 41.5, "M"), ("2", None, None)]
     back = D.read_case_table(spark, os.path.join(scratch, "csv"))
     assert sorted(map(tuple, back.select("primaryid", "age_years", "sex").collect())) == [("1", 41.5, "M"), ("2", None, None)]
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    yield lambda size: [spark.conf.set(k, v) for k, v in zip(old, (str(size), "1"))]
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+FIELDS = ["a", "", 'b"c', '"x$y"', '"d""q"', '"l1\nl2"', '"q"t', '"l\n\nl3$z"', "NA", '"NA"', '"', "5 4", '"""e"', '"f""\ng"']
+
+
+@pytest.mark.parametrize("size", [7, 64, 1 << 20])
+def test_quoted_rows_equal_pandas_whatever_the_splits(spark, scratch, small_splits, size):
+    rng = random.Random(size)
+    path = os.path.join(scratch, "DEMO25Q1.txt")
+    rows = ["x$y$z"] + ["$".join(rng.choice([f for f in FIELDS if f != '"']) for _ in range(rng.choice([1, 2, 3, 3, 3, 4]))) for _ in range(60)]
+    with open(path, "w") as f:
+        f.write("id$B $c\n" + "\n".join(rows) + "\n" + '"x$y"$z\n"q"$w\nid$B $c\nu$v\n')
+    want = pd.read_csv(path, sep="$", dtype=str, on_bad_lines="skip", low_memory=False, engine="c")
+    want = sorted((tuple(None if pd.isna(v) else v for v in r) for r in want.itertuples(index=False)), key=str)
+    small_splits(size)
+    df = D.read_batches(spark, scratch, "DEMO")
+    assert sorted(map(tuple, df.select("id", "b", "c").collect()), key=str) == want
+    assert ("id", "B ", "c") in want  # a later line like the header is a row
+
+
+def test_rows_over_many_splits_keep_their_order(spark, scratch, small_splits):
+    long = "start\n" + "\n".join(f"line {i}" for i in range(200)) + "\nend"
+    with open(os.path.join(scratch, "REAC25Q1.txt"), "w") as f:
+        f.write(f'id$t\n1$"{long}"\n2$x\n3$"{long}$"\n4$"a\nb"\n')
+    small_splits(40)
+    rows = D.read_batches(spark, scratch, "REAC").orderBy("_row").collect()
+    assert [(r["id"], r["t"]) for r in rows] == [("1", long), ("2", "x"), ("3", long + "$"), ("4", "a\nb")]
+
+
+def test_a_quote_that_is_not_closed_is_an_error(spark, scratch):
+    with open(os.path.join(scratch, "INDI25Q1.txt"), "w") as f:
+        f.write('id$t\n1$"x\n2$y\n')
+    with pytest.raises(ValueError, match="INDI25Q1"):
+        D.read_batches(spark, scratch, "INDI").count()
+
+
+def test_case_table_with_quotes(spark, scratch):
+    df = spark.createDataFrame([("1", 'he said "no", twice'), ("2", "two\nlines"), ("3", None), ("4", '"')], "primaryid string, note string").withColumn("age_years", F.lit("7"))
+    A.write_table(df, scratch + "/t", "csv")
+    got = D.read_case_table(spark, scratch + "/t").select("primaryid", "note", "age_years").collect()
+    assert sorted(map(tuple, got)) == [("1", 'he said "no", twice', 7.0), ("2", "two\nlines", 7.0), ("3", None, 7.0), ("4", '"', 7.0)]
