@@ -33,4 +33,4 @@ def query(name: str, covers: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import q_cases, q_scoring, q_evolve, q_validate, q_features, q_report, q_model  # noqa: F401
+    from . import q_cases, q_scoring, q_evolve, q_validate, q_features, q_report, q_model, q_sketch  # noqa: F401
