@@ -6,7 +6,9 @@ kind and validates the result. No parser looks at a character more than a few ti
 
 Kinds. Base: ``email``, ``ip``, ``card``, ``phone``; leftmost non-overlapping matches of fixed patterns, of which the ones
 that fail validation are dropped. Added: ``url`` (scheme anchors with a host that has a dot) and ``account`` (the value after
-an identifier word and ``=`` or ``:``, six or more characters with a digit).
+an identifier word and ``=`` or ``:``, six or more characters with a digit), ``iban`` (country letters and check digits at the
+start of a word, solid or in blocks of four, whose remainder by 97 is 1) and ``key`` (a word with a public key prefix and the
+prefix's least length).
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from pyspark.sql import functions as F
 from .common import column, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "url", "account")
+KINDS = (*BASE_KINDS, "url", "account", "iban", "key")
 CUES = ("password", "passwd", "token", "secret", "api_key", "apikey", "access_key", "account", "iban", "ssn")
+#: Prefixes of access keys and the least number of characters after each.
+KEY_PREFIXES = {"AKIA": 16, "AIza": 35, "ghp_": 36, "github_pat_": 22, "glpat-": 20, "sk_live_": 16, "xoxb-": 10, "xoxp-": 10}
 
 #: What may stand on either side of an anchor.
 LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -33,8 +37,11 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 FOUR_PARTS = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 DIGIT_RUN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-LOCATOR = re.compile(r"://([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)(?::[0-9]+)?(?:[/?#][^\s\"'<>]*)?")
-VALUE = re.compile(r"[\"']?[ ]?[=:][ ]?[\"']?([A-Za-z0-9_+/=.-]{6,})")
+LOCATOR = re.compile(r"://(?:[^\s/?#@\"'<>]*@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)(?::[0-9]+)?(?:[/?#][^\s\"'<>]*)?")
+ASSIGNED = re.compile(r"[\"']?[ ]?[=:][ ]?[\"']?(?=[A-Za-z0-9_+/=.-])")
+VALUE = re.compile(r"[A-Za-z0-9_+/=.-]+")
+BANK = re.compile(r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
+KEY = re.compile(r"[A-Za-z0-9_-]+")
 
 
 def luhn(digits: str) -> bool:
@@ -56,6 +63,11 @@ def automaton() -> ahocorasick.Automaton:
             anchors.add_word(f"{a}{b}", ("card", 2))
             anchors.add_word(f"{a} {b}", ("card", 3))
             anchors.add_word(f"{a}-{b}", ("card", 3))
+    for b in "0123456789":
+        for letter in "ABCDEFGHIJKLMNOPQRSTUVWXYZ":
+            anchors.add_word(f"{letter}{b}", ("iban", 2))
+    for prefix in KEY_PREFIXES:
+        anchors.add_word(prefix, ("key", len(prefix)))
     for cue in CUES:
         for form in {cue, cue.upper(), cue.capitalize()}:
             anchors.add_word(form, ("account", len(form)))
@@ -72,6 +84,7 @@ class Finder:
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(start, kind's index in KINDS, end) in order, code points, end exclusive."""
         done = dict.fromkeys(KINDS, 0)  # where each kind's next match may start
+        self.plain = 0  # end of the last value without a digit: what starts before it has none either
         out = []
         for last, (kind, width) in self.anchors.iter(text):
             at = last + 1 - width
@@ -117,8 +130,8 @@ class Finder:
         start = at
         while start > floor and text[start - 1] in SCHEME:
             start -= 1
-        found = LOCATOR.match(text, at)
-        if not found or start == at or not text[start].isalpha():
+        found = LOCATOR.match(text, at) if start < at and text[start].isalpha() else None
+        if not found:
             return None
         end = found.end()
         while end > found.end(1) and text[end - 1] in ".,;:!?)]}":
@@ -129,10 +142,31 @@ class Finder:
         end = at
         while end < len(text) and (text[end].isalnum() or text[end] == "_") and end - at < 16:
             end += 1
-        found = VALUE.match(text, end)
-        if not found or not any(c in DIGITS for c in found[1]):
+        assigned = ASSIGNED.match(text, end)
+        if not assigned or assigned.end() < self.plain:
+            return None
+        value = VALUE.match(text, assigned.end())
+        if not any(c in DIGITS for c in value[0]):
+            self.plain = value.end()
+            return None
+        return (value.start(), value.end(), True) if len(value[0]) >= 6 else None
+
+    def iban(self, text: str, at: int, floor: int):
+        start = at - 1
+        if start < floor or start and text[start - 1].isalnum():
+            return None
+        found = BANK.match(text, start)
+        if not found:
+            return None
+        solid = found[0].replace(" ", "")
+        return start, found.end(), len(solid) <= 34 and int("".join(str(int(c, 36)) for c in solid[4:] + solid[:4])) % 97 == 1
+
+    def key(self, text: str, at: int, floor: int):
+        if at and (text[at - 1].isalnum() or text[at - 1] in "_-"):
             return None
-        return found.start(1), found.end(1), True
+        found = KEY.match(text, at)
+        least = min(len(p) + n for p, n in KEY_PREFIXES.items() if text.startswith(p, at))
+        return (at, found.end(), True) if found.end() - at >= least else None
 
 
 _FINDER: list[Finder] = []
