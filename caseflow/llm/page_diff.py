@@ -45,8 +45,8 @@ CUES = frozenset(
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
     r"|<(?P<raw>script|style|noscript|iframe|template|textarea|xmp|noembed|noframes)\b[^<>]*>(?:.*?</(?P=raw)\s*>|.*\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/<>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*)>"
-    r"|<[!?][^>]*>",
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/<>]*+)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>"
+    r"|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 MARK = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -65,10 +65,14 @@ def _marked(attrs: str) -> bool:
 
 
 def page_lines(source: str | None) -> list[tuple[int, str]]:
-    """(place, text) of every block with text, in page order; references decoded, white space as single spaces."""
+    """(place, text) of every block with text, in page order; references decoded, white space as single spaces.
+
+    An unclosed comment, declaration or raw element takes the rest of the page. Time is linear in the page's length.
+    """
     lines: list[tuple[int, str]] = []
     held: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # element, furniture, article
+    opened: dict[str, int] = {}  # how often each element is on the stack
     aside = article = 0
 
     def end_block() -> None:
@@ -80,7 +84,8 @@ def page_lines(source: str | None) -> list[tuple[int, str]]:
 
     def pop() -> None:
         nonlocal aside, article
-        _, a, b = stack.pop()
+        element, a, b = stack.pop()
+        opened[element] -= 1
         aside -= a
         article -= b
 
@@ -100,7 +105,7 @@ def page_lines(source: str | None) -> list[tuple[int, str]]:
         if name in VOID or m["attrs"].endswith("/") and not m["end"] and name not in BLOCK:
             continue
         if m["end"]:
-            if any(name == x[0] for x in reversed(stack)):
+            if opened.get(name):
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -113,6 +118,7 @@ def page_lines(source: str | None) -> list[tuple[int, str]]:
         main = name in ("article", "main") and not furniture
         if name in BLOCK or furniture or main:  # inline elements carry no place
             stack.append((name, furniture, main))
+            opened[name] = opened.get(name, 0) + 1
             aside += furniture
             article += main
     if at < len(source):

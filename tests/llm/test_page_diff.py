@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -114,3 +115,21 @@ def test_repeated_rows_and_clashing_names(spark):
     df = spark.createDataFrame([(1, "http://a.b/x", "<p>t<p>u", "h"), (1, "http://a.b/x", "<p>t<p>u", "h"), (None, "http://a.b/y", "<article><p>t</article>", None)], "page_id long, url string, html string, host string")
     got = sorted(((r.page_id, r.text) for r in page_diff.extract_text(df).collect()), key=str)
     assert got == [(1, ""), (1, ""), (None, "t")]
+
+
+def test_broken_markup_is_linear():
+    for part in ("<!", "<?", "<!--", "</b>", "</p>", "<p", "<a ", "<a x='", "<div>", "<script>", "a" * 50 + "<", "<" + "a" * 50, "&amp", "<li><p>"):
+        source = part * (1_000_000 // len(part))
+        began = time.process_time()
+        page_lines(source)
+        assert time.process_time() - began < 10, part
+    began = time.process_time()
+    page_lines("<" + "a" * 1_000_000)
+    page_lines("<div>" * 100_000 + "</span>" * 100_000)
+    assert time.process_time() - began < 10
+
+
+def test_unclosed_and_unmatched():
+    assert page_lines("a<p>b<!DOCTYPE c") == [(page_diff.PLAIN, "a"), (page_diff.PLAIN, "b")]
+    assert page_lines("<div>a</section>b</div></div>c") == [(page_diff.PLAIN, x) for x in "abc"]
+    assert page_lines("<article>a</main>b</article>c") == [(page_diff.ARTICLE, "a"), (page_diff.ARTICLE, "b"), (page_diff.PLAIN, "c")]
