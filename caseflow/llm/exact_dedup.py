@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, slices
+from .common import WS, column, slices
 
 SALTS = 16
 #: Bytes of distinct content that a task holds before it passes its winners on.
@@ -113,6 +113,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows of ids that are not kept, all columns as they were (ids are taken as unique)."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id"))
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """One row of ``docs`` for each text, all columns as they were: the row with the smallest id (null ids last).
+
+    Of several rows with that id and text any one stays. Null counts as empty; an empty table gives no rows; the helper
+    columns live beside a struct of the row, so names cannot clash.
+    """
+    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("id"), "digest")
+    text = F.regexp_replace(F.coalesce(docs[text_col].cast("string"), F.lit("")), f"{WS}+", " ")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("id"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    same = (rows["digest"] == kept["digest"]) & rows["id"].eqNullSafe(kept["id"])
+    # Equal rows of one id are combined before the shuffle, so a row that is repeated without end is one row a task.
+    return rows.join(kept, same, "left_semi").groupBy("digest", "id").agg(F.first("row").alias("row")).select("row.*")

@@ -64,3 +64,11 @@ def test_equal_digests_do_not_merge_different_texts(spark):
 def test_drop_copies_keeps_other_columns(spark):
     df = spark.createDataFrame([(2, "a", "x"), (1, "a ", "y"), (4, "a ", "z")], "doc_id long, text string, digest string")
     assert sorted(map(tuple, exact_dedup.drop_exact_copies(df).collect())) == [(1, "a ", "y"), (2, "a", "x")]
+
+
+def test_drop_copies_decides_by_row(spark):
+    rows = [(1, "t", "p"), (1, "t", "p"), (1, "other", "q"), (None, "t", "r"), (None, "alone", "s"), (None, "alone", "s"), (None, None, "u"), (9, " ", "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    got = sorted(map(tuple, exact_dedup.drop_exact_copies(df).collect()), key=str)
+    assert got == sorted([(1, "t", "p"), (1, "other", "q"), (None, "alone", "s"), (None, None, "u"), (9, " ", "v")], key=str)
+    assert exact_dedup.drop_exact_copies(df.limit(0)).count() == 0
