@@ -128,8 +128,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINES_SQL = r"""
-    l AS (SELECT DISTINCT rid, doc_id, line FROM (SELECT rid, doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
-          WHERE regexp_matches(line, '[^\x20\x09-\x0D]+([\x20\x09-\x0D]+[^\x20\x09-\x0D]+){2}')),
+    l0 AS (SELECT DISTINCT rid, doc_id, line FROM (SELECT rid, doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+           WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    l1 AS (SELECT *, len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS tokens FROM l0),
+    y AS (SELECT line, min(doc_id) AS first_id FROM l1 GROUP BY line, tokens HAVING tokens < 3 AND count(*) >= 50 OR tokens >= 20 AND count(*) >= 2),
+    l AS (SELECT rid, doc_id, line FROM l1 WHERE tokens >= 3),
     k AS (SELECT *, list_transform(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> ''),
                                    lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tk FROM l),
     f AS (SELECT *, len(tk) AS n, list_slice(tk, 1, 3) AS lead, count(*) OVER (PARTITION BY len(tk), list_slice(tk, 1, 3)) AS c FROM k),
@@ -139,7 +142,7 @@ LINES_SQL = r"""
     m AS (SELECT n, lead, line, list(CASE WHEN fixed THEN tok ELSE '<*>' END ORDER BY i) AS template FROM x GROUP BY ALL HAVING 10 * count(*) FILTER (fixed) >= 8 * n),
     p AS (SELECT rid, doc_id, line, template FROM f JOIN m USING (n, lead, line)),
     r AS (SELECT template, min(doc_id) AS first_id FROM p GROUP BY template HAVING count(DISTINCT doc_id) >= 10),
-    z AS (SELECT DISTINCT rid, line FROM p JOIN r USING (template) WHERE doc_id > first_id),
+    z AS (SELECT rid, line FROM p JOIN r USING (template) WHERE doc_id > first_id UNION SELECT rid, line FROM l1 JOIN y USING (line) WHERE doc_id > first_id),
     o AS (SELECT rid, generate_subscripts(string_split(t, chr(10)), 1) AS i, unnest(string_split(t, chr(10))) AS line FROM d),
     q AS (SELECT o.rid, count(*) FILTER (regexp_matches(o.line, '[^\x20\x09-\x0D]')) AS n_lines, count(z.rid) AS n_dropped,
                  coalesce(string_agg(o.line, chr(10) ORDER BY i) FILTER (z.rid IS NULL), '') AS kept FROM o LEFT JOIN z ON o.rid = z.rid AND o.line = z.line GROUP BY o.rid)

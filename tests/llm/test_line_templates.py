@@ -29,6 +29,31 @@ def test_templates_generalise_variable_fields(spark):
     assert line_templates.drop_recurring_lines(df.limit(0)).count() == 0
 
 
+def dropped(df):
+    return sorted(((r.doc_id, r.text, r.n_dropped) for r in line_templates.drop_recurring_lines(df).selectExpr("row.doc_id", "text", "n_dropped").collect()), key=str)
+
+
+def test_passages_and_short_lines(spark):
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(61))
+    rows = [(i, f"{passage}\nown {'abcdefghi'[i]}") for i in range(9)]  # a passage of nine documents
+    rows += [(100 + i, "Read more") for i in range(300)] + [(900 + i, "Home") for i in range(49)]
+    other = passage.replace("word", "term")
+    rows += [(1000, f"{other}\nRead more later"), (1001, f"{other[:-1]}\nx"), (1002, f"{other} \ny")]  # not the same line
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {i: (t, n) for i, t, n in dropped(df)}
+    assert got[0] == (rows[0][1], 0) and all(got[i] == (f"own {'abcdefghi'[i]}", 1) for i in range(1, 9))
+    assert got[100] == ("Read more", 0) and all(got[100 + i] == ("", 1) for i in range(1, 300))
+    assert all(got[900 + i] == ("Home", 0) for i in range(49)) and got[1000][1] == got[1001][1] == got[1002][1] == 0
+
+
+def test_rows_of_one_id_and_null_ids(spark):
+    long = " ".join("abcdefghijklmnopqrstuvwxyz")
+    only = " ".join("zyxwvutsrqponmlkjihgfedcba")
+    rows = [(None, f"{long}\na"), (None, f"{long}\nb"), (None, only), (None, only), (3, long), (3, f"{long}\nc"), (3, long), (7, f"{long}\n{long}\nd")]
+    got = dropped(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == sorted([(None, "a", 1), (None, "b", 1), (None, only, 0), (None, only, 0), (3, long, 0), (3, f"{long}\nc", 0), (3, long, 0), (7, "d", 2)], key=str)
+
+
 def test_shuffled_leaves_give_the_same(spark, monkeypatch):
     want = spark_rows(queries.op8_line_dedup(spark, "/root/testdata/sf0.001"))
     monkeypatch.setattr(line_templates, "BROADCAST_LEAVES", 0)
