@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -42,3 +44,30 @@ def first_line(spark: SparkSession, path: str) -> str | None:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.delete(p, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file whole."""
+    fs, p = _open(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8", "replace")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small text file; an error where it is there already."""
+    fs, p = _open(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since the newest change of a file, or of a folder and of what is directly in it."""
+    fs, p = _open(spark, path)
+    newest = max([fs.getFileStatus(p).getModificationTime(), *[s.getModificationTime() for s in fs.listStatus(p)]])
+    return max(0.0, time.time() - newest / 1000)

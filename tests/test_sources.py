@@ -51,6 +51,70 @@ def test_model_round_trip_and_contract(spark, scratch):
         A.contract_check(labels2, spark.createDataFrame([(0, "Nausea"), (1, "Rash"), (2, "Fall")], "label_id int, label string"))
 
 
+def _save(spark, folder, n):
+    thr = spark.createDataFrame([(0, n / 10)], "label_id int, threshold double")
+    labels = spark.createDataFrame([(0, f"L{n}")], "label_id int, label string")
+    return A.save_model(spark, folder, np.full(3, float(n)), thr, labels, FeatureModel(["A"], [], [], [], [], 1.0, float(n)), {"f1": n % 3, f"only{n}": 1}, {"n": n})
+
+
+def _whole(spark, folder, version=None):
+    """The number every table of the version read holds."""
+    genome, thr, labels, fm, cfg = A.load_model(spark, folder, version)
+    found = {int(genome[0]), round(thr.first()[1] * 10), int(labels.first()[1][1:]), int(fm.weight_median), int(cfg["n"])}
+    assert len(found) == 1
+    return found.pop()
+
+
+def test_store_commits_last_and_readers_stay_with_their_version(spark, scratch, monkeypatch):
+    folder = os.path.join(scratch, "store")
+    assert A.versions(spark, folder) == [] and A.compare_runs(spark, folder).count() == 0
+    with pytest.raises(FileNotFoundError):
+        A.load_model(spark, folder)
+    first = _save(spark, folder, 1)
+    reader = A.pinned(spark, folder)
+    with monkeypatch.context() as m:  # a writer lost before its commit
+        m.setattr(A, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            _save(spark, folder, 2)
+    assert _whole(spark, folder) == 1 and len(A.versions(spark, folder)) == 1
+    with open(os.path.join(folder, "log", f"{2:012d}.json"), "w") as f:  # an entry not written to its end
+        f.write('{"number": 2, "na')
+    assert _whole(spark, folder) == 1
+    third = _save(spark, folder, 3)
+    assert (first.number, third.number) == (1, 3) and _whole(spark, folder) == 3 and _whole(spark, folder, reader) == 1
+    assert _whole(spark, folder, A.pinned(spark, folder, 1)) == 1
+
+
+def test_store_numbers_are_taken_once(spark, scratch, monkeypatch):
+    folder = os.path.join(scratch, "store")
+    matching, seen = A.FS.matching, []
+
+    def late(spark, pattern):  # both writers list the log before either has committed
+        seen.append(pattern)
+        return [] if len(seen) <= 2 else matching(spark, pattern)
+
+    monkeypatch.setattr(A.FS, "matching", late)
+    assert [A._commit(spark, folder, n).number for n in ("v-a", "v-b")] == [1, 2]
+    assert [(v.number, v.name) for v in A.versions(spark, folder)] == [(1, "v-a"), (2, "v-b")]
+
+
+def test_store_expires_tables_and_keeps_runs(spark, scratch):
+    folder = os.path.join(scratch, "store")
+    for n in (1, 2, 3, 4):
+        _save(spark, folder, n)
+    os.makedirs(os.path.join(folder, "data", "v-lost", "weights"))
+    assert len(A.expire(spark, folder, keep=2)) == 2  # the lost writer may still be at work
+    assert A.expire(spark, folder, keep=2, grace=0) == ["data/v-lost"]
+    assert _whole(spark, folder) == 4 and _whole(spark, folder, A.pinned(spark, folder, 3)) == 3
+    with pytest.raises(FileNotFoundError):
+        A.pinned(spark, folder, 1)
+    with pytest.raises(ValueError):
+        A.expire(spark, folder, keep=0)
+    runs = sorted((tuple(r) for r in A.compare_runs(spark, folder).where("metric = 'f1'").collect()))
+    assert runs == [(1, "f1", 1.0, None, False), (2, "f1", 2.0, 1.0, True), (3, "f1", 0.0, -2.0, False), (4, "f1", 1.0, 1.0, False)]
+    assert A.compare_runs(spark, folder).where("metric = 'only3'").first()["change"] is None
+
+
 def test_rows_do_not_depend_on_the_columns_read(spark, scratch):
     with open(os.path.join(scratch, "DEMO25Q1.txt"), "w") as f:
         f.write("primaryid$age$age_cod$sex$wt\n1$10$YR$M$70\n2$20$YR$F$60$extra\n3$30\n\n4$NA$$null$\n")
