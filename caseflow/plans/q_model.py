@@ -6,6 +6,8 @@ hash-derived first individual of the searches and its thresholds are hash-derive
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,8 @@ from ..operators import labels as L
 from ..operators import step as ST
 from ..operators import validate as V
 from ..operators.split import hash_split
-from ..session import written
+from ..session import ensure_checkpoint_dir, written
+from ..sources import artefacts as A
 from ..sources.driver_views import view
 from . import sqlcte as Q
 from .q_cases import SEED, TEST_MIN_FREQ, cases_from_views
@@ -101,6 +104,39 @@ def q_test_case_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CM.case_table(CM.predict(rows, model), model)
 
 
+@query("model_store", "S8 S9 S10 M13 J13 T8", f"""WITH {_FIT},
+    saved AS (SELECT 1 AS run, k, label, 0.5 AS t FROM thr UNION ALL SELECT 2, k, label, t FROM thr),
+    runs AS (SELECT run, avg(t) AS m FROM saved GROUP BY run)
+    SELECT CAST(run AS BIGINT) AS run, CAST(k AS BIGINT) AS label_id, label, round(t, 9) AS threshold, round(w, 9) AS bias, round(m, 9) AS mean_threshold,
+           round(CASE WHEN run = 2 THEN m - 0.5 END, 9) AS change, run = (SELECT CASE WHEN max(m) FILTER (run = 2) > 0.5 THEN 2 ELSE 1 END FROM runs) AS best
+    FROM saved JOIN b2 USING (k) JOIN runs USING (run)""")
+def q_model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted model saved twice, with flat thresholds and with its own, and a writer that never commits in between; both versions
+    read back from the store, labels checked against the data, each with its run's metric."""
+    cases = written(cases_from_views(spark, sf_dir), "cases")
+    model = model_of(cases)
+    vocab = written(L.label_vocab(cases, TEST_MIN_FREQ).select("label_id", "label"), "labels")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}"
+
+    def save(thresholds: list[float]) -> None:
+        table = spark.createDataFrame(list(enumerate(thresholds)), "label_id int, threshold double")
+        metrics = {"mean_threshold": sum(thresholds) / max(len(thresholds), 1)}
+        A.save_model(spark, folder, model.genome, table, vocab, model.featurizer, metrics, {"hidden": model.hidden})
+
+    save([0.5] * len(model.labels))
+    vocab.limit(0).write.parquet(f"{folder}/data/v-unfinished/labels")
+    save(model.thresholds)
+    told = []
+    for version in A.versions(spark, folder):
+        genome, thresholds, labels, _, _ = A.load_model(spark, folder, version)
+        A.contract_check(labels, vocab)
+        bias = spark.createDataFrame([(i, float(b)) for i, b in enumerate(genome[len(genome) - len(model.labels):])], "label_id int, bias double")
+        told.append(labels.join(thresholds, "label_id").join(bias, "label_id").withColumn("run", F.lit(version.number).cast("long")))
+    rows = told[0].unionByName(told[1]).join(A.compare_runs(spark, folder).where("metric = 'mean_threshold'"), "run")
+    return rows.select("run", F.col("label_id").cast("long").alias("label_id"), "label", F.round("threshold", 9).alias("threshold"), F.round("bias", 9).alias("bias"),
+                       F.round("value", 9).alias("mean_threshold"), F.round("change", 9).alias("change"), "best")
+
+
 _KNOWN = f"""nm AS (SELECT upper({S.strip_ws('drug_name')}) AS name, arg_max(stitch_id, row_order) AS id FROM c_names GROUP BY 1),
     kin AS (SELECT DISTINCT stitch_flat, {S.py_title(S.strip_ws('side_effect'))} AS label FROM c_known
             WHERE meddra_type = 'PT' AND {S.py_title(S.strip_ws('side_effect'))} IN (SELECT label FROM vocab))"""
