@@ -66,9 +66,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A path under the shared checkpoint folder that no other table has."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table under the shared checkpoint folder: several readers share one computation, the lineage ends,
     and no executor memory is held."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

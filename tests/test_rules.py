@@ -322,7 +322,7 @@ def peeled(pts):
     return [front[i] for i in range(len(pts))]
 
 
-def test_fronts_dominators_and_spacing(spark, monkeypatch):
+def test_fronts_dominators_and_spacing(spark):
     rng = np.random.default_rng(4)
     for _ in range(20):
         pts = np.round(rng.random((60, 2)) * 5) / 5  # many ties and duplicates
@@ -334,9 +334,36 @@ def test_fronts_dominators_and_spacing(spark, monkeypatch):
     crowd = {r["ind"]: r["crowd"] for r in PA.crowding(PA.pareto_rank(df)).collect()}
     assert np.allclose([crowd[i] for i in range(60)], ST.spacing(pts, ST.layers(pts)))
     assert [r["ind"] for r in PA.survivors(PA.crowding(PA.pareto_rank(df)), 60).collect()] == list(ST.by_front(pts))
-    monkeypatch.setattr(PA, "MAX_POINTS", 59)
-    with pytest.raises(ValueError):
-        PA.pareto_rank(df)
+
+
+def dominators(pts):
+    return [sum((p >= q).all() and (p > q).any() for p in pts) for q in pts]
+
+
+@pytest.mark.parametrize("shape", ["ties", "chain", "front", "spread"])
+def test_fronts_over_many_strips(spark, shape):
+    rng = np.random.default_rng(9)
+    x = rng.random(90)
+    pts = {"ties": np.round(rng.random((90, 2)) * 6) / 6, "chain": np.c_[x, x], "front": np.c_[x, -x], "spread": rng.random((90, 2))}[shape]
+    if shape == "ties":
+        pts[:30] = pts[0]  # a third of the rows are one point
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "ind int, o1 double, o2 double").repartition(3)
+    rows = {r["ind"]: r for r in PA.pareto_rank(df, strip=25).collect()}
+    assert len(rows) == 90
+    assert [rows[i]["front"] for i in range(90)] == peeled(pts)
+    assert [rows[i]["n_dominators"] for i in range(90)] == dominators(pts)
+
+
+def test_points_without_objectives(spark):
+    rows = [(1, 1.0, 2.0, "p"), (2, None, 5.0, "q"), (3, float("nan"), 5.0, None), (4, 0.0, 1.0, "r"), (5, -0.0, 1.0, "s"), (None, 0.5, 2.0, "t")]
+    df = spark.createDataFrame(rows, "ind int, o1 double, o2 double, r string")  # r: a column of a name used inside
+    want = sorted([(1, 0, 0), (2, None, None), (3, None, None), (4, 2, 2), (5, 2, 2), (None, 1, 1)], key=str)
+    for strip in (2, 100):
+        got = PA.pareto_rank(df, strip=strip)
+        assert got.columns == ["ind", "o1", "o2", "r", "front", "n_dominators"]
+        assert sorted([(x["ind"], x["front"], x["n_dominators"]) for x in got.collect()], key=str) == want
+    assert PA.pareto_rank(df.limit(0)).count() == 0
+    assert [x["front"] for x in PA.pareto_rank(df.where("ind in (2, 3)"), strip=1).collect()] == [None, None]
 
 
 def test_step_equals_the_dataframe_operators(spark):
