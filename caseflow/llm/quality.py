@@ -156,12 +156,17 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES
 def measured(docs: DataFrame, names: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and the named measures of every document, with the cascade's verdict beside them.
 
-    ``failed_rule``: the first rejecting rule in the estimated order, or null. Here all measures are wanted, so the
-    cascade reads them as columns.
+    ``failed_rule``: the first rejecting rule in the estimated order, or null; ``n_rules_tried``: rules that the cascade looked at.
+    The named measures are wanted for every document and are taken once; all others are taken inside the cascade, where a
+    rule that is not reached costs nothing. Null and empty texts measure 0; repeated rows get equal rows; other columns are
+    left out, whatever their names; an empty table gives an empty table.
     """
-    needed = list(dict.fromkeys([*names, *MEASURES]))
     ordered = order_rules(docs, BASE_RULES + MORE_RULES, text_col)
     rows = _prepared(docs, text_col).withColumn("ws", words(F.col("text")))
     inline = lambda n: MEASURES[n](F.col("text"), F.col("ws")).alias(n)
-    rows = rows.select(F.col("row")[id_col].alias("id"), *map(inline, needed))
-    return rows.select(F.col("id").alias(id_col), *names, verdict(ordered, F.col).alias("failed_rule"))
+    rows = rows.select(F.col("row")[id_col].alias("id"), "text", "ws", *map(inline, names))
+    failed = verdict(ordered, lambda n: F.col(n) if n in names else inline(n))
+    rows = rows.select(F.col("id"), *names, failed.alias("failed_rule"))
+    place = F.array_position(F.array(*[F.lit(r.name) for r in ordered]), F.col("failed_rule"))
+    tried = F.coalesce(place, F.lit(len(ordered))).cast("int")
+    return rows.select(F.col("id").alias(id_col), *names, "failed_rule", tried.alias("n_rules_tried"))

@@ -32,6 +32,19 @@ def test_measures_equal_brute_force(spark):
     assert got == {i: brute(t) for i, t in enumerate(TEXTS)}
 
 
+def test_rules_tried_follow_the_order(spark):
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TEXTS)], "doc_id long, text string, failed_rule int")
+    order = quality.order_rules(df, quality.BASE_RULES + quality.MORE_RULES)
+    wanted = list(quality.MEASURES)
+    for names in ([], ["n_symbols"], wanted):  # which measures are wanted never changes a verdict
+        for r in quality.measured(df, names).collect():
+            m = quality._prepared(df.where(f"doc_id = {r.doc_id}"), "text")
+            flags = m.select(*[quality._with_words(lambda m, ws, x=x: x.rejects(m)).alias(x.name) for x in order]).first()
+            hits = [i for i, x in enumerate(order) if flags[x.name]]
+            assert (r.failed_rule, r.n_rules_tried) == ((order[hits[0]].name, hits[0] + 1) if hits else (None, len(order)))
+    assert quality.measured(df.limit(0), wanted).count() == 0
+
+
 def test_cascade_keeps_what_no_rule_rejects(spark):
     rows = [(i, t, "n") for i, t in enumerate(TEXTS)] + [(None, "good words here are not many but they are twenty or more in this one text so it stays here for sure", None)] * 2
     df = spark.createDataFrame(rows, "doc_id long, text string, row string")
