@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 
@@ -17,13 +18,32 @@ from ..functions.expr import HASH_SCALE
 from .score import NetShape
 
 
+#: Draws of at least so many keys are kept for the next search of a lock step, which asks for the same ones.
+KEPT_DRAWS = 4096
+
+
 def uniform(seed: int, tag: str, gen: int, *keys, end: str = "") -> np.ndarray:
     """Uniform draws in [0, 1), one for each combination of the key arrays (an outer product)."""
-    rows = [f"{seed}:{tag}:{gen}"]
-    for key in keys:
-        rows = [f"{r}:{k}" for r in rows for k in np.asarray(key).tolist()]
-    raw = [int.from_bytes(hashlib.md5((r + end).encode()).digest()[:6], "big") for r in rows]
-    return (np.array(raw, dtype=np.float64) / HASH_SCALE).reshape([len(np.asarray(k)) for k in keys])
+    lists = tuple(tuple(np.asarray(key).tolist()) for key in keys)
+    size = math.prod(map(len, lists))
+    draws = (_kept if size >= KEPT_DRAWS else _drawn)(f"{seed}:{tag}:{gen}", lists, end)
+    return draws.reshape([len(key) for key in lists])
+
+
+def _drawn(prefix: str, lists: tuple, end: str) -> np.ndarray:
+    rows = [prefix]
+    for key in lists:
+        rows = [f"{r}:{k}" for r in rows for k in key]
+    digests = b"".join([hashlib.md5((r + end).encode()).digest() for r in rows])
+    words = np.frombuffer(digests, dtype=">u8")[::2] >> 16  # the first 48 bits of each
+    return words.astype(np.float64) / HASH_SCALE
+
+
+@lru_cache(maxsize=32)
+def _kept(prefix: str, lists: tuple, end: str) -> np.ndarray:
+    draws = _drawn(prefix, lists, end)
+    draws.setflags(write=False)
+    return draws
 
 
 def normal(seed: int, tag: str, gen: int, *keys) -> np.ndarray:

@@ -429,16 +429,14 @@ def q_nsga_step(spark, sf_dir):
 @query("evolve_run", "E10 E11 E12 W3")
 def q_evolve_run(spark, sf_dir):
     """The whole search: 80 individuals, 300 generations; history with running best."""
-    with cached(emb_labelled(spark, sf_dir)) as data:
-        _, _, hist = EV.evolve(data, EMB_SHAPE, EV.GAConfig())
+    _, _, hist = EV.evolve(emb_labelled(spark, sf_dir), EMB_SHAPE, EV.GAConfig())
     return EV.running_best(hist)
 
 
 @query("nsga2", "E14 T5 U3")
 def q_nsga2(spark, sf_dir):
     """NSGA-II: 60 individuals, 40 generations; the final front (precision_macro, recall_macro)."""
-    with cached(emb_labelled(spark, sf_dir)) as data:
-        return PL.nsga2(data, EMB_SHAPE, seed=SEED)
+    return PL.nsga2(emb_labelled(spark, sf_dir), EMB_SHAPE, seed=SEED)
 
 
 @query("feature_select", "E13 E9 A21 A22 M12")
