@@ -3,10 +3,10 @@
 ``fit_features`` runs a handful of aggregations over the training cases and
 returns a small model: three top-k vocabularies, at most ``tfidf_terms``
 tf-idf terms with their idf, and two medians — all bounded by
-configuration.  ``transform_features`` is then a pure projection: the
-vocabularies become literal arrays, so multi-hot flags, residual tokens,
-term counts and the L2 norm are array expressions evaluated row by row —
-no join and no shuffle, whatever the number of cases.
+configuration.  ``transform_features`` is then a narrow pass: the
+vocabularies become literal arrays, a row's terms and residual tokens their
+positions in them, and flags, term counts and the L2 norm are filled in
+batch by batch — no join and no shuffle, whatever the number of cases.
 """
 
 from __future__ import annotations
@@ -14,10 +14,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import expr as X
+from ..session import written
 from .labels import term_frequency, topk_terms
 
 # Vocabulary sizes, tf-idf settings, defaults and feature names.
@@ -85,15 +88,24 @@ def _lit_array(values: list[str]) -> Column:
 def residual_tokens(drug: Column, other: Column, indi: Column, model: FeatureModel) -> Column:
     """Terms outside the closed vocabularies, lower-cased, in list order.
     (A filter per list, not a set difference, so repeated terms keep their count.)"""
+    return _residual(norm_terms(drug), norm_terms(other), norm_terms(indi), model)
+
+
+def _residual(drug: Column, other: Column, indi: Column, model: FeatureModel) -> Column:
+    """``residual_tokens`` of lists of normalised terms."""
     dv, ov, iv = _lit_array(model.drug_vocab), _lit_array(model.other_vocab), _lit_array(model.indi_vocab)
-    keep = lambda arr, voc: F.transform(F.filter(norm_terms(arr), lambda t: ~F.array_contains(voc, t)), F.lower)
+    keep = lambda terms, voc: F.transform(F.filter(terms, lambda t: ~F.array_contains(voc, t)), F.lower)
     return F.concat(keep(drug, dv), keep(other, ov), keep(indi, iv))
 
 
+def _as_text(tokens: Column) -> Column:
+    # the terms are joined once, not again in a branch
+    return F.filter(F.array(F.array_join(tokens, " "), F.lit(UNKNOWN)), lambda t: F.length(t) > 0)[0]
+
+
 def residual_text(drug: Column, other: Column, indi: Column, model: FeatureModel) -> Column:
     """Space-joined residual terms, or the word ``unknown``."""
-    j = F.array_join(residual_tokens(drug, other, indi, model), " ")
-    return F.when(F.length(j) > 0, j).otherwise(F.lit(UNKNOWN))
+    return _as_text(residual_tokens(drug, other, indi, model))
 
 
 def text_tokens(text: Column) -> Column:
@@ -106,11 +118,11 @@ def fit_tfidf(docs: DataFrame, text: str = "text", key: str = "doc_id", min_df:
     """M3 fit + A5: terms with df >= min_df, the max_terms with the highest corpus
     frequency (ties by term), idf = ln((1+n)/(1+df)) + 1; returned alphabetically."""
     n = docs.count()
-    # Two counts by term, of tokens and of documents: only the vocabulary is shuffled.  The outer explode keeps the optimizer
-    # from evaluating the tokens a second time in a filter on their number.
-    tokens = text_tokens(F.col(text))
-    count = lambda arr, name: docs.select(F.explode_outer(arr).alias("term")).where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias(name))
-    st = count(tokens, "ctf").join(count(F.array_distinct(tokens), "df").where(F.col("df") >= min_df), "term")
+    # One pass and one count by term, of tokens and of those that are the document's first of the term: only the vocabulary is
+    # shuffled.  The outer explode keeps the optimizer from evaluating the tokens a second time in a filter on their number.
+    tokens = docs.select(text_tokens(F.col(text)).alias("ts")).select("ts", F.posexplode_outer("ts").alias("at", "term")).where("term IS NOT NULL")
+    first = F.array_position("ts", F.col("term")) == F.col("at") + 1
+    st = tokens.groupBy("term").agg(F.count("*").alias("ctf"), F.count_if(first).alias("df")).where(F.col("df") >= min_df)
     top = st.orderBy(F.desc("ctf"), "term").limit(max_terms).collect()  # at most max_terms rows
     top = sorted(top, key=lambda r: r["term"])
     return [r["term"] for r in top], [math.log((1 + n) / (1 + r["df"])) + 1.0 for r in top]
@@ -165,8 +177,10 @@ def exact_median(df: DataFrame, col: str) -> float | None:
 
 
 def medians(df: DataFrame) -> tuple[float, float]:
-    """A4: medians of age and weight; 50 / 70 when there is none."""
-    age, weight = exact_median(df, "age_years"), exact_median(df, "weight_kg")
+    """A4: medians of age and weight; 50 / 70 when there is none.  Every pass reads the two columns as written once: ``df``
+    may be a whole case assembly."""
+    values = written(df.select("age_years", "weight_kg"), "medians")
+    age, weight = exact_median(values, "age_years"), exact_median(values, "weight_kg")
     return AGE_DEFAULT if age is None else age, WEIGHT_DEFAULT if weight is None else weight
 
 
@@ -175,8 +189,9 @@ def fit_features(train: DataFrame, top_drugs: int = TOP_DRUGS, top_indi: int = T
                  key: str = "primaryid") -> FeatureModel:
     """M1: learn the vocabularies, the residual tf-idf and the medians on train."""
     def vocab(col: str, k: int) -> list[str]:
-        t = train.select(norm_terms(F.col(col)).alias("_t"))
-        return [r["term"] for r in topk_terms(term_frequency(t, "_t"), k).orderBy("pos").collect()]
+        # counted as they are spelt, then only the different ones are normalised
+        spelt = term_frequency(train, col, "_t").select(F.upper(X.strip_ws("_t")).alias("term"), "n").where(F.length("term") > 0)
+        return [r["term"] for r in topk_terms(spelt.groupBy("term").agg(F.sum("n").alias("n")), k).orderBy("pos").collect()]
 
     m = FeatureModel(vocab("drug", top_drugs), vocab("indications", top_indi), vocab("other_drugs", top_other))
     docs = train.select(key, residual_text(F.col("drug"), F.col("other_drugs"), F.col("indications"), m).alias("text"))
@@ -203,13 +218,76 @@ def multi_hot(arr: Column, vocab: list[str]) -> Column:
     return F.transform(F.array(norm_terms(arr)), flags)[0]
 
 
+def places(terms: Column, vocab: list[str]) -> Column:
+    """Positions (from 0) in ``vocab`` of those ``terms`` that it has, repeated terms repeated."""
+    found = F.transform(terms, lambda t: F.array_position(_lit_array(vocab), t).cast("int") - 1)
+    return F.filter(found, lambda p: p >= 0)
+
+
+def _cells(col, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and values of an Arrow list column of ``n`` rows."""
+    lengths = col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(n), lengths), col.flatten().to_numpy(zero_copy_only=False)
+
+
+def _unit_counts(col, n: int, idf: np.ndarray) -> np.ndarray:
+    """(n, terms) matrix of counts x idf from a list column of term positions, L2-normalised."""
+    rows, at = _cells(col, n)
+    x = np.bincount(rows * len(idf) + at, minlength=n * len(idf)).reshape(n, len(idf)) * idf
+    norm = np.sqrt((x * x).sum(1, keepdims=True))
+    return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+
+
+def _list_array(x: np.ndarray):
+    import pyarrow as pa
+
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+
+
+def with_tfidf(df: DataFrame, text: Column, terms: list[str], idf: list[float], out: str, keep: list[str]) -> DataFrame:
+    """M3 transform: ``keep`` and ``out``, the vector of ``tfidf_vector``; positions are found in the row, counted by batch."""
+    weights, schema = np.array(idf, dtype=np.float64), T.StructType([*[df.schema[c] for c in keep], T.StructField(out, T.ArrayType(T.DoubleType()))])
+
+    def run(batches):
+        import pyarrow as pa
+
+        for rb in batches:
+            vectors = _unit_counts(rb.column(len(keep)), rb.num_rows, weights)
+            yield pa.RecordBatch.from_arrays([*rb.columns[:len(keep)], _list_array(vectors)], names=[*keep, out])
+
+    return df.select(*keep, places(text_tokens(F.coalesce(text, F.lit(""))), terms).alias("_tf")).mapInArrow(run, schema)
+
+
 def transform_features(df: DataFrame, model: FeatureModel, out: str = "features") -> DataFrame:
-    """M4: fixed-width row drug | indi | other | tf | 8 demographic (width = model.dim)."""
-    resid = residual_text(F.col("drug"), F.col("other_drugs"), F.col("indications"), model)
-    vec = F.concat(multi_hot(F.col("drug"), model.drug_vocab), multi_hot(F.col("indications"), model.indi_vocab),
-                   multi_hot(F.col("other_drugs"), model.other_vocab),
-                   tfidf_vector(resid, model.tfidf_terms, model.tfidf_idf), F.array(*demographics(model)))
-    return df.withColumn(out, vec)
+    """M4: fixed-width row drug | indi | other | tf | 8 demographic (width = model.dim).
+
+    A row's terms and tokens become positions in the vocabularies; the wide row is filled in for an Arrow batch at a time, since
+    a flag or a count for each vocabulary term is as many interpreted expressions a row.
+    """
+    keep = [c for c in df.columns if c != out]
+    blocks = [("drug", model.drug_vocab), ("indications", model.indi_vocab), ("other_drugs", model.other_vocab)]
+    starts = np.cumsum([0, *[len(vocab) for _, vocab in blocks]]).tolist()
+    rows = df.withColumns({f"_{c}": norm_terms(F.col(c)) for c, _ in blocks})  # once a row, for flags and residual text
+    resid = _as_text(_residual(F.col("_drug"), F.col("_other_drugs"), F.col("_indications"), model))
+    hot = [places(F.col(f"_{c}"), vocab).alias(f"_at_{c}") for c, vocab in blocks]
+    tokens = places(text_tokens(resid), model.tfidf_terms).alias("_tf")
+    idf, dim, lo, n_kept = np.array(model.tfidf_idf, dtype=np.float64), model.dim, starts[-1], len(keep)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for rb in batches:
+            n = rb.num_rows
+            x = np.zeros((n, dim))
+            for k, start in enumerate(starts[:-1]):
+                rows, at = _cells(rb.column(n_kept + k), n)
+                x[rows, start + at] = 1.0
+            x[:, lo:lo + len(idf)] = _unit_counts(rb.column(n_kept + 3), n, idf)
+            x[:, lo + len(idf):] = _cells(rb.column(n_kept + 4), n)[1].reshape(n, -1)
+            yield pa.RecordBatch.from_arrays([*rb.columns[:n_kept], _list_array(x)], names=[*keep, out])
+
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(out, T.ArrayType(T.DoubleType()))])
+    return rows.select(*keep, *hot, tokens, F.array(*demographics(model)).alias("_demo")).mapInArrow(run, schema)
 
 
 def sparse_entries(df: DataFrame, key: str, features: str = "features") -> DataFrame:

@@ -74,7 +74,7 @@ def q_multi_hot(spark, sf_dir):
 def q_residual_tfidf(spark, sf_dir):
     cases, model = fitted(spark, sf_dir)
     resid = FT.residual_text(F.col("drug"), F.col("other_drugs"), F.col("indications"), model)
-    v = cases.select("primaryid", FT.tfidf_vector(resid, model.tfidf_terms, model.tfidf_idf).alias("tf"))
+    v = FT.with_tfidf(cases, resid, model.tfidf_terms, model.tfidf_idf, "tf", ["primaryid"])
     e = FT.sparse_entries(v, "primaryid", "tf")
     terms = spark.createDataFrame(list(enumerate(model.tfidf_terms)), "feature_id int, term string")
     return e.join(F.broadcast(terms), "feature_id").select("primaryid", "term", F.round("value", 9).alias("value"))
@@ -92,7 +92,7 @@ def q_residual_tfidf(spark, sf_dir):
 def q_text_tfidf(spark, sf_dir):
     docs = view(spark, sf_dir, "c_text")
     terms, idf = FT.fit_tfidf(docs, "text", "doc_id")
-    v = docs.select("doc_id", FT.tfidf_vector(F.col("text"), terms, idf).alias("tf"))
+    v = FT.with_tfidf(docs, F.col("text"), terms, idf, "tf", ["doc_id"])
     e = FT.sparse_entries(v, "doc_id", "tf")
     tt = spark.createDataFrame(list(enumerate(terms)), "feature_id int, term string")
     return e.join(F.broadcast(tt), "feature_id").select("doc_id", "term", F.round("value", 9).alias("value"))

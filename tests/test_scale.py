@@ -63,3 +63,53 @@ def test_searches_in_lock_step_share_their_draws():
     a, b = (ST.uniform(11, "mut", 1, np.arange(80), np.arange(60)) for _ in range(2))
     assert ST._kept.cache_info().hits == before + 1 and a.shape == (80, 60) and np.array_equal(a, b)
     assert a[3, 4] == int.from_bytes(hashlib.md5(b"11:mut:1:3:4").digest()[:6], "big") / 2 ** 48
+
+
+def test_medians_compute_their_input_once(spark, scratch):
+    import os
+
+    from caseflow.operators import features as FT
+
+    def seen(batches):
+        for pdf in batches:
+            open(f"{scratch}/{os.getpid()}-{os.urandom(6).hex()}", "w").close()
+            yield pdf
+
+    rows = [(float(i % 37), float(i) if i % 3 else None) for i in range(999)]
+    df = spark.createDataFrame(rows, "age_years double, weight_kg double").coalesce(1).mapInPandas(seen, "age_years double, weight_kg double")
+    assert FT.medians(df) == (18.0, float(np.median([w for _, w in rows if w is not None])))
+    assert len(os.listdir(scratch)) == 1
+    assert FT.medians(df.where("false")) == (50.0, 70.0)
+
+
+def test_feature_rows_and_tfidf_equal_the_column_forms(spark):
+    from caseflow.operators import features as FT
+
+    m = FT.FeatureModel(["A", "B"], ["X"], ["A"], ["cc", "unknown"], [1.5, 2.0], 40.0, 70.0)
+    rows = [(1, [" a", "C cc", "cc"], ["x", None], None, None, 80.0, "m "), (2, None, None, ["a", "b"], 20.0, None, None),
+            (3, [], ["zz"], ["A"], float("nan"), 1.0, "F"), (4, ["B", "B"], None, [" "], 61.0, 0.0, "U")]
+    df = spark.createDataFrame(rows, "primaryid long, drug array<string>, indications array<string>, other_drugs array<string>, age_years double, weight_kg double, sex string")
+    text = FT.residual_text(F.col("drug"), F.col("other_drugs"), F.col("indications"), m)
+    vector = FT.tfidf_vector(text, m.tfidf_terms, m.tfidf_idf)
+    want = F.concat(FT.multi_hot(F.col("drug"), m.drug_vocab), FT.multi_hot(F.col("indications"), m.indi_vocab),
+                    FT.multi_hot(F.col("other_drugs"), m.other_vocab), vector, F.array(*FT.demographics(m)))
+    got = {r["primaryid"]: r["features"] for r in FT.transform_features(df, m).collect()}
+    assert len(got) == 4 and FT.transform_features(df, m).columns == [*df.columns, "features"]
+    for r in df.select("primaryid", want.alias("w"), vector.alias("v")).collect():
+        assert np.allclose(got[r["primaryid"]], r["w"], rtol=0, atol=1e-12, equal_nan=True)
+    for r in FT.with_tfidf(df, text, m.tfidf_terms, m.tfidf_idf, "tf", ["primaryid"]).join(df.select("primaryid", vector.alias("v")), "primaryid").collect():
+        assert np.allclose(r["tf"], r["v"], rtol=0, atol=1e-12)
+    empty = FT.transform_features(df, FT.FeatureModel())
+    assert all(len(r["features"]) == 8 for r in empty.collect())
+    assert [r["tf"] for r in FT.with_tfidf(df, text, [], [], "tf", ["primaryid"]).collect()] == [[]] * 4
+
+
+def test_lines_of_long_rows_are_never_broadcast(spark, scratch):
+    from caseflow.sources import delimited as D
+
+    with open(f"{scratch}/DEMO1.txt", "w") as f:
+        f.write("a$b\n" + "".join(f'{i}$"x\ny"\n' for i in range(50)) + "51$z\n")
+    df = D.read_batches(spark, scratch, "DEMO")
+    assert sorted(tuple(r) for r in df.select("a", "b").collect()) == sorted([(str(i), "x\ny") for i in range(50)] + [("51", "z")])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan.split("Join")[1] and plan.count("strategy=merge") == 2
