@@ -10,7 +10,7 @@ A field that begins with a quote ends at the next single quote; a doubled quote
 inside are text, what follows the closing quote belongs to the field, and a quote elsewhere is an ordinary character.  Files are
 still read in splits: each line that has a quote tells how it ends when it begins outside quotes and when it begins inside; these
 two-state maps are composed along each split, then along the splits of a file, which gives the state at every split and the
-lines that belong to one row.  Only those lines are shuffled; files without such lines are read in one pass after the scan.
+lines that belong to one row.  Lines meet those marks in a sort-merge join; files without such lines are read in one pass after the scan.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ from ..session import written
 from . import files as FS
 
 SEP = "$"
-#: Lines of rows that span lines whose places are broadcast at most; beyond, their join shuffles.
-BROADCAST_LINES = 1_000_000
 
 # Column names of the headerless knowledge-base files.
 EFFECT_COLUMNS = ["stitch_flat", "stitch_stereo", "umls_se", "meddra_type", "umls_meddra", "side_effect"]
@@ -150,9 +148,7 @@ def file_rows(spark: SparkSession, paths: list[str], sep: str = SEP, header: str
         lines = lines.join(F.broadcast(table), ["_path", "_block", "_at"], "left_anti")
     if not any(r["opens"] for r in found):
         return lines.select("value", "_file", at.alias("_row"))
-    members = written(_lines_of_long_rows(lines, sep), "members")
-    if members.count() <= BROADCAST_LINES:
-        members = F.broadcast(members)
+    members = written(_lines_of_long_rows(lines, sep), "members").hint("merge")  # as many as the files have such lines: shuffled, never broadcast
     keys = ["_path", "_block", "_at"]
     alone = lines.join(members, keys, "left_anti").select("value", "_file", at.alias("_row"))
     parts = lines.join(members, keys).groupBy("_path", "_file", "_start").agg(F.sort_array(F.collect_list(F.struct("_block", "_at", "value"))).alias("p"))
