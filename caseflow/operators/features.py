@@ -258,6 +258,30 @@ def with_tfidf(df: DataFrame, text: Column, terms: list[str], idf: list[float],
     return df.select(*keep, places(text_tokens(F.coalesce(text, F.lit(""))), terms).alias("_tf")).mapInArrow(run, schema)
 
 
+def located(df: DataFrame, model: FeatureModel, keep: list[str]) -> DataFrame:
+    """``keep`` and, of each row, the positions of its terms and residual tokens in the vocabularies and its demographics:
+    what ``filled`` makes the wide row from."""
+    blocks = [("drug", model.drug_vocab), ("indications", model.indi_vocab), ("other_drugs", model.other_vocab)]
+    rows = df.withColumns({f"_{c}": norm_terms(F.col(c)) for c, _ in blocks})  # once a row, for flags and residual text
+    resid = _as_text(_residual(F.col("_drug"), F.col("_other_drugs"), F.col("_indications"), model))
+    hot = [places(F.col(f"_{c}"), vocab).alias(f"_at_{c}") for c, vocab in blocks]
+    tokens = places(text_tokens(resid), model.tfidf_terms).alias("_tf")
+    return rows.select(*keep, *hot, tokens, F.array(*demographics(model)).alias("_demo"))
+
+
+def filled(columns: list, n: int, model: FeatureModel) -> np.ndarray:
+    """(n, dim) matrix of the feature rows from the Arrow columns that ``located`` adds."""
+    starts = np.cumsum([0, len(model.drug_vocab), len(model.indi_vocab), len(model.other_vocab)]).tolist()
+    idf, lo = np.array(model.tfidf_idf, dtype=np.float64), starts[-1]
+    x = np.zeros((n, model.dim))
+    for k, start in enumerate(starts[:-1]):
+        rows, at = _cells(columns[k], n)
+        x[rows, start + at] = 1.0
+    x[:, lo:lo + len(idf)] = _unit_counts(columns[3], n, idf)
+    x[:, lo + len(idf):] = _cells(columns[4], n)[1].reshape(n, -1)
+    return x
+
+
 def transform_features(df: DataFrame, model: FeatureModel, out: str = "features") -> DataFrame:
     """M4: fixed-width row drug | indi | other | tf | 8 demographic (width = model.dim).
 
@@ -265,29 +289,16 @@ def transform_features(df: DataFrame, model: FeatureModel, out: str = "features"
     a flag or a count for each vocabulary term is as many interpreted expressions a row.
     """
     keep = [c for c in df.columns if c != out]
-    blocks = [("drug", model.drug_vocab), ("indications", model.indi_vocab), ("other_drugs", model.other_vocab)]
-    starts = np.cumsum([0, *[len(vocab) for _, vocab in blocks]]).tolist()
-    rows = df.withColumns({f"_{c}": norm_terms(F.col(c)) for c, _ in blocks})  # once a row, for flags and residual text
-    resid = _as_text(_residual(F.col("_drug"), F.col("_other_drugs"), F.col("_indications"), model))
-    hot = [places(F.col(f"_{c}"), vocab).alias(f"_at_{c}") for c, vocab in blocks]
-    tokens = places(text_tokens(resid), model.tfidf_terms).alias("_tf")
-    idf, dim, lo, n_kept = np.array(model.tfidf_idf, dtype=np.float64), model.dim, starts[-1], len(keep)
 
     def run(batches):
         import pyarrow as pa
 
         for rb in batches:
-            n = rb.num_rows
-            x = np.zeros((n, dim))
-            for k, start in enumerate(starts[:-1]):
-                rows, at = _cells(rb.column(n_kept + k), n)
-                x[rows, start + at] = 1.0
-            x[:, lo:lo + len(idf)] = _unit_counts(rb.column(n_kept + 3), n, idf)
-            x[:, lo + len(idf):] = _cells(rb.column(n_kept + 4), n)[1].reshape(n, -1)
-            yield pa.RecordBatch.from_arrays([*rb.columns[:n_kept], _list_array(x)], names=[*keep, out])
+            x = filled(rb.columns[len(keep):], rb.num_rows, model)
+            yield pa.RecordBatch.from_arrays([*rb.columns[:len(keep)], _list_array(x)], names=[*keep, out])
 
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(out, T.ArrayType(T.DoubleType()))])
-    return rows.select(*keep, *hot, tokens, F.array(*demographics(model)).alias("_demo")).mapInArrow(run, schema)
+    return located(df, model, keep).mapInArrow(run, schema)
 
 
 def sparse_entries(df: DataFrame, key: str, features: str = "features") -> DataFrame:

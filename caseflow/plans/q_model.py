@@ -83,9 +83,10 @@ def q_score_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every assembled case, missing attributes included, through featurizer, network and thresholds."""
     cases = written(cases_from_views(spark, sf_dir), "cases")
     model = model_of(cases)
-    scored = CM.predict(cases.select("primaryid", "drug", "other_drugs", "indications", "age_years", "weight_kg", "sex"), model)
-    best = F.get(CM.top_labels(model, 1), F.lit(0))
-    return scored.select("primaryid", F.size(CM.predicted_labels(model)).alias("n_predicted"), best["label"].alias("top_label"), F.round(-best["n"], 6).alias("max_p"))
+    rows = cases.select("primaryid", "drug", "other_drugs", "indications", "age_years", "weight_kg", "sex")
+    scored = CM.predict(rows, model, CM.predicted_labels(model), CM.top_labels(model, 1))
+    best = F.get("top", F.lit(0))
+    return scored.select("primaryid", F.size("predicted").alias("n_predicted"), best["label"].alias("top_label"), F.round(best["p"], 6).alias("max_p"))
 
 
 @query("test_case_table", "M9 U2 A12", f"""WITH {_FIT}, {_CASE_X}, {_FORWARD}, {_SPLIT},
@@ -101,7 +102,7 @@ def q_test_case_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = written(cases_from_views(spark, sf_dir), "cases")
     model = model_of(cases)
     rows = test_cases(cases).select("primaryid", "age_years", "sex", "weight_kg", "drug", "other_drugs", "indications", "reaction_list")
-    return CM.case_table(CM.predict(rows, model), model)
+    return CM.case_table(rows, model)
 
 
 @query("model_store", "S8 S9 S10 M13 J13 T8", f"""WITH {_FIT},
@@ -164,7 +165,7 @@ def q_kb_model_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = written(cases_from_views(spark, sf_dir), "cases")
     model = model_of(cases)
     top = L.topk_terms(L.term_frequency(cases, "drug"), TOP_DRUGS).select(F.col("term").alias("drug"))
-    scored = CM.predict(CM.generic_cases(top), model).select(F.col("name").alias("drug"), CM.predicted_labels(model).alias("predicted"))
+    scored = CM.predict(CM.generic_cases(top), model, CM.predicted_labels(model)).select(F.col("name").alias("drug"), "predicted")
     labels = spark.createDataFrame([(n,) for n in model.labels], "label string")
     scores = V.drug_scores(scored, V.map_names(top, view(spark, sf_dir, "c_names"), with_suffixes=False), V.known_effects(view(spark, sf_dir, "c_known")), labels)
     return V.validation_report(scores).select("drug", "stitch_found", "effects_in_vocab", "n_predicted", "tp",
@@ -183,14 +184,14 @@ def q_kb_case_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = written(cases_from_views(spark, sf_dir), "cases")
     model = model_of(cases)
     rows = test_cases(cases).select("primaryid", "drug", "other_drugs", "indications", "age_years", "weight_kg", "sex")
-    scored = CM.predict(rows, model)
-    top = scored.select("primaryid", F.posexplode(CM.top_labels(model, TOP_LABELS)).alias("pos", "t"))
-    drugs = scored.select("primaryid", F.explode("drug").alias("drug"))
+    scored = CM.predict(rows, model, CM.top_labels(model, TOP_LABELS))
+    top = scored.select("primaryid", F.posexplode("top").alias("pos", "t"))
+    drugs = rows.select("primaryid", F.explode("drug").alias("drug"))
     mapped = V.map_names(drugs.select("drug").distinct(), view(spark, sf_dir, "c_names"), with_suffixes=False)
     effects = V.known_effects(view(spark, sf_dir, "c_known"))
     known = mapped.join(effects, F.col("stitch_id") == F.col("stitch_flat")).select("drug", "known")
     by_case = drugs.join(L.dimension(known), "drug").groupBy("primaryid").agg(F.array_distinct(F.flatten(F.collect_list("known"))).alias("known"))
     out = top.join(by_case, "primaryid", "left")
     is_known = F.coalesce(F.array_contains("known", F.col("t.label")), F.lit(False))
-    return out.select("primaryid", (F.col("pos") + 1).alias("rank"), F.col("t.label").alias("label"), F.round(-F.col("t.n"), 6).alias("p"),
+    return out.select("primaryid", (F.col("pos") + 1).alias("rank"), F.col("t.label").alias("label"), F.round("t.p", 6).alias("p"),
                       V.outcome(F.col("t.predicted"), is_known).alias("outcome"))

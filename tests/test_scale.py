@@ -113,3 +113,49 @@ def test_lines_of_long_rows_are_never_broadcast(spark, scratch):
     assert sorted(tuple(r) for r in df.select("a", "b").collect()) == sorted([(str(i), "x\ny") for i in range(50)] + [("51", "z")])
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plan.split("Join")[1] and plan.count("strategy=merge") == 2
+
+
+def _case_model(labels, thresholds):
+    from caseflow.operators import casemodel as CM
+    from caseflow.operators import features as FT
+
+    featurizer = FT.FeatureModel(["A", "B"], ["X"], ["C"], ["cold", "unknown"], [1.5, 1.0], 40.0, 60.0)
+    shape = CM.SC.NetShape(featurizer.dim, 3, len(labels))
+    return CM.CaseModel(featurizer, np.random.default_rng(5).normal(size=shape.n_params), 3, labels, thresholds)
+
+
+def test_label_sets_are_made_in_the_scoring_pass(spark):
+    """Label sets and top labels against a loop over the labels: labels out of order, equal probabilities, ages without number."""
+    from caseflow.operators import casemodel as CM
+    from caseflow.operators import features as FT
+
+    labels = ["b", "a", "Z", "é", "c"]
+    model = _case_model(labels, [0.4, 0.6, 0.5, 0.5, 0.0])
+    w1, b1, w2, b2 = model.shape.unpack(model.genome)
+    w2[:, 1], b2[1] = w2[:, 0], b2[0]  # "a" and "b" are always as probable as each other
+    rows = [(str(i), ["a "] * (i % 2) + ["zz cold"] * (i % 3), None if i % 4 else ["C", "q"], ["x"] if i % 5 else [], None if i % 3 else i * 1.0,
+             float("nan") if i == 7 else 50.0, "m" if i % 2 else None) for i in range(60)]
+    cases = spark.createDataFrame(rows, "primaryid string, drug array<string>, other_drugs array<string>, indications array<string>, age_years double, weight_kg double, sex string")
+    probs = {r.primaryid: CM.SC.forward(np.array([r.features]), model.genome, model.shape)[0] for r in FT.transform_features(cases, model.featurizer).collect()}
+    got = CM.predict(cases, model, CM.probabilities(), CM.predicted_labels(model), CM.top_labels(model, 1, "one"), CM.top_labels(model, 9, "all")).collect()
+    assert len(got) == 60 and np.isnan(probs["7"]).all()
+    for r in got:
+        p = probs[r.primaryid]
+        np.testing.assert_allclose(r.probs, p, rtol=1e-12)
+        above = lambda i: not p[i] < model.thresholds[i]  # noqa: B023, E731
+        assert r.predicted == sorted((labels[i] for i in range(5) if above(i)), key=str.encode)
+        best = sorted(range(5), key=lambda i: (-p[i] if p[i] == p[i] else 9, labels[i].encode()))  # noqa: B023
+        assert [(t.label, t.predicted) for t in r["all"]] == [(labels[i], above(i)) for i in best]
+        assert [t.label for t in r["one"]] == [labels[best[0]]]
+    none = _case_model([], [])
+    empty = CM.predict(cases, none, CM.predicted_labels(none), CM.top_labels(none, 1)).collect()
+    assert len(empty) == 60 and all(r.predicted == [] and r.top == [] for r in empty)
+
+
+def test_score_cases_evaluates_no_expression_per_label(spark):
+    """The plan after the assembled cases is one pass over Arrow batches: no label in it, no probabilities between its steps."""
+    from caseflow.plans import q_model
+
+    df = q_model.q_score_cases(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "probs" not in plan and "zip_with" not in plan and "Exchange" not in plan
